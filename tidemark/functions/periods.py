@@ -34,14 +34,14 @@ def period_start(period) -> Column:
     """First day of a ``YYYY-MM`` or ``YYYY-MM-DD`` period, as a date."""
     p = _col(period)
     return F.coalesce(
-        F.try_to_date(p, F.lit("yyyy-MM-dd")),
-        F.try_to_date(p, F.lit("yyyy-MM")),
+        F.try_to_date(p, "yyyy-MM-dd"),
+        F.try_to_date(p, "yyyy-MM"),
     )
 
 
 def parse_date(text) -> Column:
     """``YYYY-MM-DD`` prefix of a text column as a date, null if malformed."""
-    return F.try_to_date(F.substring(_col(text), 1, 10), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.substring(_col(text), 1, 10), "yyyy-MM-dd")
 
 
 def days_between(later, earlier) -> Column:

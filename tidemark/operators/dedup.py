@@ -25,8 +25,13 @@ def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column],
-                   drop_nulls: bool = True) -> DataFrame:
-    """One row per ``keys``: the row with the greatest ``order_by`` tuple."""
+                   drop_nulls: bool = True, also: dict[str, Column] | None = None) -> DataFrame:
+    """One row per ``keys``: the row with the greatest ``order_by`` tuple.
+
+    ``also`` adds other aggregates over the same groups (same shuffle), e.g.
+    ``{"first_seen": F.min("ts")}``.
+    """
+    also = also or {}
     keys = list(keys)
     if drop_nulls:
         df = drop_null_keys(df, keys)
@@ -35,10 +40,11 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str |
     packed = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)],
                       *[F.col(c) for c in payload])
     return (
-        df.groupBy(*keys).agg(F.max(packed).alias("_m"))
+        df.groupBy(*keys).agg(F.max(packed).alias("_m"),
+                              *[agg.alias(name) for name, agg in also.items()])
         .select(*[F.col(c) for c in df.columns if c in keys] +
-                [F.col(f"_m.{c}").alias(c) for c in payload])
-        .select(*df.columns)
+                [F.col(f"_m.{c}").alias(c) for c in payload] + [F.col(n) for n in also])
+        .select(*df.columns, *also)
     )
 
 
