@@ -33,10 +33,10 @@ def period_of(ts, fmt: str = "yyyy-MM") -> Column:
 def period_start(period) -> Column:
     """First day of a ``YYYY-MM`` or ``YYYY-MM-DD`` period, as a date."""
     p = _col(period)
-    return F.coalesce(
-        F.try_to_date(p, "yyyy-MM-dd"),
-        F.try_to_date(p, "yyyy-MM"),
-    )
+    # Pick the format by length: a parse that fails is far costlier than one
+    # that succeeds, so valid periods never try the wrong format.
+    return F.when(F.length(p) == 7, F.try_to_date(p, "yyyy-MM")).otherwise(
+        F.try_to_date(p, "yyyy-MM-dd"))
 
 
 def parse_date(text) -> Column:

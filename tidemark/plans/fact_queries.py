@@ -292,7 +292,7 @@ spread AS (
          CAST(strptime(period || '-01', '%Y-%m-%d') AS DATE) + to_months(CAST(k AS INTEGER)) AS t
   FROM attr, range(12) AS r(k))
 SELECT strftime(t, '%Y-%m') AS period, department_id, department_name,
-       sum(termination_count) AS termination_count_12m
+       CAST(sum(termination_count) AS BIGINT) AS termination_count_12m
 FROM spread
 WHERE t <= (SELECT CAST(strptime(max(period) || '-01', '%Y-%m-%d') AS DATE) FROM attr)
 GROUP BY strftime(t, '%Y-%m'), department_id, department_name

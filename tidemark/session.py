@@ -21,6 +21,9 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # A JSON object with a repeated key keeps the last value instead of
+    # failing the whole ingest job.
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.ui.enabled": "false",
 }
 

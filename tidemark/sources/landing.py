@@ -41,13 +41,14 @@ def parse_with_rescue(text: Column, fields: Sequence[str], rescued: str = RESCUE
     a JSON object is rescued whole (as the raw text).
     """
     fields = list(fields)
-    parsed = F.from_json(text, string_schema(fields))
+    # One parse per line: the whole object as a text->text map; declared
+    # fields are looked up in it, the rest is rescued.
     every = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
     declared = F.array(*[F.lit(f) for f in fields]) if fields else F.array().cast("array<string>")
     extra = F.map_filter(every, lambda k, v: ~F.array_contains(declared, k))
     rescue = (F.when(every.isNull() & text.isNotNull(), text)
               .when(F.size(extra) > 0, F.to_json(extra)))
-    return [parsed.getField(f).alias(f) for f in fields] + [rescue.alias(rescued)]
+    return [F.try_element_at(every, F.lit(f)).alias(f) for f in fields] + [rescue.alias(rescued)]
 
 
 def with_audit(df: DataFrame, run_id: str, path: Column | None = None) -> DataFrame:
