@@ -30,17 +30,25 @@ def headcount_by_period(df: DataFrame, key: str, period_col: str = "period",
 def headcount_gate(df: DataFrame, key: str, period_col: str = "period",
                    active: Column | None = None, threshold_pct: float = DEFAULT_THRESHOLD_PCT,
                    lookback: int = 3) -> DataFrame:
-    """Columns: period, headcount, rolling_avg, variance_pct, is_anomaly."""
+    """Columns: period, headcount, rolling_avg, variance_pct, is_anomaly.
+
+    One pass over the per-period counts, no self join: ``_n`` numbers the
+    non-zero periods in order; a range frame over ``_n`` then picks the last
+    ``lookback`` non-zero periods before each row (``[-lookback, -1]`` for a
+    non-zero row, ``[-(lookback-1), 0]`` for a zero row, whose ``_n`` is
+    that of the last non-zero period before it).
+    """
     h = headcount_by_period(df, key, period_col, active)
-    w = Window.orderBy(period_col)
-    # Mean of the last `lookback` non-zero periods up to and including this
-    # row, computed on non-zero rows only; then carried to the next rows.
-    nonzero = h.where(F.col("headcount") > 0).select(
-        period_col,
-        F.avg("headcount").over(w.rowsBetween(-(lookback - 1), 0)).alias("_avg_upto"))
-    j = h.join(nonzero, period_col, "left")
-    prior = F.last("_avg_upto", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    out = j.select(period_col, "headcount", prior.alias("rolling_avg"))
+    nz = F.when(F.col("headcount") > 0, F.col("headcount"))
+    n = F.sum(F.when(F.col("headcount") > 0, 1).otherwise(0)).over(
+        Window.orderBy(period_col).rowsBetween(Window.unboundedPreceding, 0))
+    by_n = Window.orderBy("_n")
+    before_nonzero = F.avg("_nz").over(by_n.rangeBetween(-lookback, -1))
+    before_zero = F.avg("_nz").over(by_n.rangeBetween(-(lookback - 1), 0))
+    out = (h.withColumn("_nz", nz).withColumn("_n", n)
+           .select(period_col, "headcount",
+                   F.when(F.col("_nz").isNotNull(), before_nonzero).otherwise(before_zero)
+                   .alias("rolling_avg")))
     var = F.abs(F.col("headcount") - F.col("rolling_avg")) / F.col("rolling_avg") * 100
     out = out.withColumn("variance_pct", F.when(F.col("rolling_avg") > 0, var))
     return out.withColumn(

@@ -68,9 +68,9 @@ def rolling_attrition(summary: DataFrame, months: int = 12, period_col: str = "p
     """
     if last_period is None:
         last_period = summary.select(F.max(period_col)).scalar()
-    last = F.to_date(last_period if isinstance(last_period, Column) else F.lit(last_period),
+    last = F.try_to_date(last_period if isinstance(last_period, Column) else F.lit(last_period),
                      "yyyy-MM")
-    start = F.to_date(F.col(period_col), "yyyy-MM")
+    start = F.try_to_date(F.col(period_col), "yyyy-MM")
     spread = summary.select(
         dept_col, name_col, count_col,
         F.explode(F.sequence(F.lit(0), F.lit(months - 1))).alias("_k"),

@@ -133,8 +133,13 @@ def q_attrition_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_attrition_rolling(spark: SparkSession, d: str) -> DataFrame:
-    """A2r: the same over the trailing 12 months."""
-    return marts.rolling_attrition(q_attrition_summary(spark, d))
+    """A2r: the same over the trailing 12 months, up to the last month shipped.
+
+    The last month is a scalar over one column of ``lineitem`` (a cheap scan),
+    not over the summary, which would re-run the whole movement plan."""
+    li = table(spark, d, "lineitem").where(F.col("l_partkey").isNotNull())
+    last = li.select(F.max(period_of("l_shipdate"))).scalar()
+    return marts.rolling_attrition(q_attrition_summary(spark, d), last_period=last)
 
 
 def q_workforce_movements(spark: SparkSession, d: str) -> DataFrame:
@@ -294,7 +299,8 @@ spread AS (
 SELECT strftime(t, '%Y-%m') AS period, department_id, department_name,
        CAST(sum(termination_count) AS BIGINT) AS termination_count_12m
 FROM spread
-WHERE t <= (SELECT CAST(strptime(max(period) || '-01', '%Y-%m-%d') AS DATE) FROM attr)
+WHERE t <= (SELECT CAST(strptime(max(strftime(l_shipdate, '%Y-%m')) || '-01', '%Y-%m-%d') AS DATE)
+            FROM lineitem WHERE l_partkey IS NOT NULL)
 GROUP BY strftime(t, '%Y-%m'), department_id, department_name
 """,
     "workforce_movements": f"""
