@@ -2,7 +2,7 @@
 
 One pass: per key, ``lag``/``lead`` over its periods; the global next period
 comes from the (checked, broadcast) period sequence. Each row yields zero to
-two events through ``inline(filter(array(...)))``, so the three event kinds
+two events (an ``explode`` of optional events, kept in generated code), so the three event kinds
 come out of one scan and one shuffle instead of three scans and a self join.
 
 Semantics (defaults follow the reference):
@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.compare import any_changed
+from tidemark.functions.rows import emit
 from tidemark.operators.periods import period_sequence
 
 HIRE, TRANSFER, TERMINATION = "HIRE", "TRANSFER", "TERMINATION"
@@ -68,12 +69,11 @@ def movements(snapshots: DataFrame, keys: Sequence[str], period_col: str,
     nulls = [F.lit(None).cast(types[t]) for t in tracked]
     now = [F.col(t) for t in tracked]
     before = [F.col(f"_p_{t}") for t in tracked]
-    evs = F.array(
+    return emit(s, keys, [
         F.when(first_seen, event(F.col(period_col), HIRE, nulls, now)),
         F.when(is_transfer, event(F.col(period_col), TRANSFER, before, now)),
         F.when(gone, event(F.col("_next"), TERMINATION, now, nulls)),
-    )
-    return s.select(*keys, F.inline(F.filter(evs, lambda e: e.isNotNull())))
+    ])
 
 
 def hires(mv: DataFrame, event_col: str = "event_type") -> DataFrame:

@@ -2,7 +2,7 @@
 
 ``quality_log`` evaluates every rule of an entity in one scan: each rule is
 compiled with ``F.expr`` and a row yields one log entry per failed rule
-through ``inline(filter(array(...)))``. A rule fails when its predicate is
+(an ``explode`` of optional entries, kept in generated code). A rule fails when its predicate is
 not true (``NOT coalesce(rule, false)``), so an unknown result counts as a
 failure. A row that fails a CRITICAL rule gets only its CRITICAL entries.
 Referential rules are one left join against the distinct referenced keys
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.rows import emit
 from tidemark.operators.dedup import latest_per_key
 from tidemark.sources.rules import SEVERITIES, Rule
 
@@ -83,15 +84,17 @@ def quality_log(df: DataFrame, entity: str, rules: Sequence[Rule], key=None, per
             F.lit(r.severity).alias("severity"), actual.alias("actual_value"))))
     if not entries:
         return empty_log(df.sparkSession, key_name)
-    fails = F.filter(F.array(*entries), lambda e: e.isNotNull())
-    out = base.select(
-        _opt(base, ingested, "timestamp").alias("_ingested_at"),
-        _opt(base, source, "string").alias("_source_file_name"),
-        _opt(base, key, "string").alias(key_name),
-        _opt(base, period, "string").alias("period"),
-        F.inline(fails))
+    ids = base.select(
+        *[F.col(c) for c in base.columns],
+        _opt(base, ingested, "timestamp").alias("_q_ingested"),
+        _opt(base, source, "string").alias("_q_source"),
+        _opt(base, key, "string").alias("_q_key"),
+        _opt(base, period, "string").alias("_q_period"))
+    out = emit(ids, ["_q_ingested", "_q_source", "_q_key", "_q_period"], entries)
     return out.select(
-        "_ingested_at", "_source_file_name", F.lit(entity).alias("entity"), key_name, "period",
+        F.col("_q_ingested").alias("_ingested_at"), F.col("_q_source").alias("_source_file_name"),
+        F.lit(entity).alias("entity"), F.col("_q_key").alias(key_name),
+        F.col("_q_period").alias("period"),
         "field", "rule", "severity", "actual_value",
         F.lit(True).alias("requires_review"), F.lit(False).alias("resolved"),
         F.lit(None).cast("string").alias("resolved_by"),

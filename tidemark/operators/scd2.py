@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.compare import same_values
+from tidemark.functions.rows import emit
 from tidemark.operators.periods import period_sequence
 
 START = "__START_AT"
@@ -52,8 +53,8 @@ def apply_snapshot(dim: DataFrame, snapshot: DataFrame, keys: Sequence[str],
         F.lit(True).alias("_in_c"))
     snap = snapshot.select(*keys, *[F.col(t).alias(f"_s_{t}") for t in tracked],
                            F.lit(True).alias("_in_s"))
-    # The as-of value is materialised as a column first: it may be a scalar
-    # subquery, which cannot sit inside the higher-order function below.
+    # The as-of value is materialised as a column first (it may be a scalar
+    # subquery) so it is evaluated once per row.
     j = cur.join(snap, on=keys, how="full_outer").withColumn("_as_of", p)
     p = F.col("_as_of")
     in_c = F.col("_in_c").isNotNull()
@@ -67,9 +68,7 @@ def apply_snapshot(dim: DataFrame, snapshot: DataFrame, keys: Sequence[str],
     opened = F.struct(*[F.col(k) for k in keys], *[F.col(f"_s_{t}").alias(t) for t in tracked],
                       p.cast(start_type).alias(start_col),
                       F.lit(None).cast(start_type).alias(end_col))
-    rows = F.filter(F.array(F.when(in_c, kept), F.when(in_s & ~same, opened)),
-                    lambda r: r.isNotNull())
-    changed = j.select(F.inline(rows))
+    changed = emit(j, [], [F.when(in_c, kept), F.when(in_s & ~same, opened)])
     return history.unionByName(changed)
 
 
