@@ -114,3 +114,33 @@ def test_gate_stops_the_chain(spark, tmp_path):
         put(base, "2025-04", ent, [])
     with pytest.raises(HeadcountAnomaly):
         run_warehouse(spark, base, str(tmp_path / "wh"))
+
+
+def test_chain_options(spark, tmp_path):
+    """Contract dedup (X6), end at termination date (X7), rehire."""
+    base = str(tmp_path / "landing")
+    landing(base)
+    # E3 gets a second open contract from February; E4 is terminated in
+    # January but stays listed (as the source system does)
+    for p in ("2025-02", "2025-03"):
+        put(base, p, "contracts", [{"contract_id": "K3b", "employee_id": "E3",
+                                    "contract_type": "TEMP", "start_date": "2025-02-01"}],
+            name="part-1.json")
+    put(base, "2025-02", "employees", [{"employee_id": "E4", "hire_date": "2024-01-15",
+                                        "termination_date": "2025-01-20",
+                                        "department_id": "D1", "role_id": "R1"}], name="part-1.json")
+    out = str(tmp_path / "wh")
+    plain = run_warehouse(spark, base, out, gate=False)
+    hm = spark.read.parquet(plain.tables["headcount_monthly"])
+    feb = hm.where("period = '2025-02'").agg(F.sum("employee_count")).first()[0]
+    deduped = run_warehouse(spark, base, str(tmp_path / "wh2"), gate=False,
+                            one_contract_per_employee=True, end_at_termination=True)
+    hm2 = spark.read.parquet(deduped.tables["headcount_monthly"])
+    feb2 = hm2.where("period = '2025-02'").agg(F.sum("employee_count")).first()[0]
+    assert feb2 == feb - 1          # E3 counted once
+    mv = spark.read.parquet(deduped.tables["fact_workforce_movements"])
+    assert mv.where("employee_id = 'E4' AND event_type = 'TERMINATION'").count() == 1
+    # dim_date is appended once: a second run adds nothing
+    d1 = spark.read.parquet(deduped.tables["dim_date"]).count()
+    again = run_warehouse(spark, base, str(tmp_path / "wh2"), gate=False)
+    assert spark.read.parquet(again.tables["dim_date"]).count() == d1 == 4748

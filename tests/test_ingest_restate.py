@@ -78,3 +78,23 @@ def test_audit_row_requires_parameters(spark):
         audit_row(spark, "E1", "2025-01", "2025-02", "")
     r = audit_row(spark, "E1", "2025-01", "2025-02", "me", rows_removed=2, rows_added=1).first()
     assert r["status"] == "SUCCESS" and r["rows_added"] == 1
+
+
+def test_foreach_batch_drives_a_fold(spark, tmp_path):
+    """A stream drives a batch function once per micro-batch."""
+    from tidemark.streaming.ingest import ingest_each_batch, landing_stream
+    base = str(tmp_path / "landing")
+    write_lines(f"{base}/2025-01/departments/a.json", [{"department_id": "D1", "name": "A"}])
+    write_lines(f"{base}/2025-02/departments/a.json", [{"department_id": "D1", "name": "B"}])
+    seen = []
+    stream = landing_stream(spark, base, "departments", max_files_per_trigger=1)
+    ingest_each_batch(stream, lambda df, i: seen.append(sorted(r["name"] for r in df.collect())),
+                      str(tmp_path / "ck"))
+    assert sorted(x for b in seen for x in b) == ["A", "B"] and len(seen) == 2
+
+
+def test_normalize_period():
+    from tidemark.functions.periods import normalize_period
+    assert normalize_period("2025-1") == "2025-01"
+    assert normalize_period(" 2025-01-5") == "2025-01-05"
+    assert normalize_period("bad") == "bad"

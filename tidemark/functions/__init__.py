@@ -4,6 +4,7 @@ from tidemark.functions.compare import any_changed, same_values
 from tidemark.functions.periods import (
     PERIOD_IN_PATH,
     days_between,
+    normalize_period,
     parse_date,
     period_from_path,
     period_of,
@@ -14,6 +15,6 @@ __all__ = [
     "band", "pct_2dp", "salary_band", "tenure_band", "to_cents",
     "calendar_columns", "fiscal_period", "fiscal_year",
     "any_changed", "same_values",
-    "PERIOD_IN_PATH", "days_between", "parse_date", "period_from_path", "period_of",
+    "PERIOD_IN_PATH", "days_between", "normalize_period", "parse_date", "period_from_path", "period_of",
     "period_start",
 ]

@@ -47,3 +47,14 @@ def parse_date(text) -> Column:
 def days_between(later, earlier) -> Column:
     """Whole days from ``earlier`` to ``later`` (negative when reversed)."""
     return F.datediff(_col(later), _col(earlier))
+
+
+def normalize_period(p: str | None) -> str | None:
+    """``'2025-1'`` -> ``'2025-01'`` (and ``'2025-1-5'`` -> ``'2025-01-05'``) for
+    period parameters typed by hand; other text is returned stripped."""
+    if p is None:
+        return None
+    parts = p.strip().split("-")
+    if len(parts) in (2, 3) and all(x.isdigit() for x in parts):
+        return "-".join([parts[0].zfill(4)] + [x.zfill(2) for x in parts[1:]])
+    return p.strip()

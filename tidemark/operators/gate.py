@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.periods import normalize_period
+
 DEFAULT_THRESHOLD_PCT = 10.0
 
 
@@ -56,7 +58,10 @@ def headcount_gate(df: DataFrame, key: str, period_col: str = "period",
 
 
 def assert_no_anomaly(gate: DataFrame, period: str, period_col: str = "period") -> dict:
-    """Raise ``HeadcountAnomaly`` if ``period`` is flagged; return its row."""
+    """Raise ``HeadcountAnomaly`` if ``period`` is flagged; return its row.
+
+    A period typed as ``2025-1`` is read as ``2025-01``."""
+    period = normalize_period(period)
     rows = gate.where(F.col(period_col) == period).collect()
     if not rows:
         raise HeadcountAnomaly(f"no headcount rows for period {period}")

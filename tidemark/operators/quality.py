@@ -171,3 +171,10 @@ def resolve(log: DataFrame, resolutions: DataFrame,
         else:
             cols.append(F.col(c))
     return j.select(*cols)
+
+
+def steward_review(log: DataFrame, show: int = 50) -> tuple[dict, DataFrame]:
+    """V2: open-issue counts (one small action) and the first ``show`` open
+    entries, worst first, for display."""
+    counts = summary(log).first().asDict()
+    return counts, review(log).limit(show)

@@ -27,7 +27,7 @@ from tidemark.operators.movements import movements
 from tidemark.operators.scd2 import current, replay_snapshots
 from tidemark.sources.landing import ENTITY_FIELDS
 from tidemark.sources.rules import RuleSet
-from tidemark.sources.tables import write_table
+from tidemark.sources.tables import append_once, write_table
 from tidemark.streaming.ingest import ingest_to_bronze
 
 # Natural key of each dimension entity.
@@ -120,22 +120,40 @@ class Silver:
     dim_date: DataFrame | None = None
 
 
-def silver(bronze: dict[str, DataFrame], rules: RuleSet) -> Silver:
+def silver(bronze: dict[str, DataFrame], rules: RuleSet, rehire: bool = False,
+           null_safe: bool = False, end_at_termination: bool = False) -> Silver:
+    """``rehire``/``null_safe``: movement options (see ``movements``).
+    ``end_at_termination``: an employee still listed after their termination
+    date counts as gone for movements (the source keeps terminated staff in
+    later snapshots, so absence alone finds few terminations)."""
     emp = employee_snapshots(bronze["employees"])
     dims = {"employees": dimension(emp, "employees")}
     for ent in ("departments", "job_roles", "contracts"):
         dims[ent] = dimension(snapshots(bronze[ent], DIM_KEYS[ent]), ent)
     head = fact_headcount(emp)
-    moves = movements(head, ["employee_id"], "period", ["department_id", "role_id"])
+    present = head
+    if end_at_termination:
+        ended = F.try_to_date(F.substring("termination_date", 1, 10), "yyyy-MM-dd") < F.col(
+            "period_date")
+        present = head.where(~F.coalesce(ended, F.lit(False)))
+    moves = movements(present, ["employee_id"], "period", ["department_id", "role_id"],
+                      rehire=rehire, null_safe=null_safe)
     return Silver(dims, head, fact_payroll(bronze["payroll_events"], bronze["employees"]),
                   fact_compensation(bronze["compensation"]), moves,
                   quality(bronze, head, rules))
 
 
-def gold(s: Silver) -> dict[str, DataFrame]:
+def gold(s: Silver, one_contract_per_employee: bool = False) -> dict[str, DataFrame]:
+    """``one_contract_per_employee``: join only each employee's latest open
+    contract (by start date, then contract id); by default every open
+    contract is joined, so an employee with two open contracts counts twice."""
     dept = current(s.dims["departments"]).select("department_id",
                                                  F.col("name").alias("department_name"))
-    contracts = current(s.dims["contracts"]).select("employee_id", "contract_type")
+    open_contracts = current(s.dims["contracts"])
+    if one_contract_per_employee:
+        open_contracts = latest_per_key(open_contracts, ["employee_id"],
+                                        ["start_date", "contract_id"])
+    contracts = open_contracts.select("employee_id", "contract_type")
     roles = current(s.dims["job_roles"]).select("role_id", "band", "job_family")
     employees = current(s.dims["employees"]).select("employee_id", "role_id", "department_id")
     comp = s.fact_compensation
@@ -174,27 +192,31 @@ def ingest_all(spark: SparkSession, landing: str, out_root: str,
 
 def run_warehouse(spark: SparkSession, landing: str, out_root: str,
                   rules: RuleSet | None = None, period: str | None = None,
-                  gate: bool = True) -> RunResult:
+                  gate: bool = True, one_contract_per_employee: bool = False,
+                  **silver_options) -> RunResult:
     """Bronze -> silver -> gate -> gold -> review, in that order."""
     rules = rules or RuleSet.load(spark, RULES_PATH)
     res = RunResult()
     bronze_paths = ingest_all(spark, landing, out_root)
     bronze = {e: spark.read.parquet(p) for e, p in bronze_paths.items()}
     res.tables.update({f"bronze_{e}": p for e, p in bronze_paths.items()})
-    s = silver(bronze, rules)
+    s = silver(bronze, rules, **silver_options)
     version = uuid.uuid4().hex[:8]
     silver_tables = {f"dim_{e}": d for e, d in s.dims.items()}
     silver_tables.update(fact_headcount=s.fact_headcount, fact_payroll=s.fact_payroll,
                          fact_compensation=s.fact_compensation,
-                         fact_workforce_movements=s.movements, data_quality_log=s.quality_log,
-                         dim_date=dim_date(spark))
+                         fact_workforce_movements=s.movements, data_quality_log=s.quality_log)
+    # The calendar is appended once and never rewritten.
+    append_once(dim_date(spark), f"{out_root}/silver/dim_date", ["date_id"])
+    res.tables["dim_date"] = f"{out_root}/silver/dim_date"
     for name, df in silver_tables.items():
         path = f"{out_root}/silver/{name}/v-{version}"
         part = ["period"] if name in ("fact_headcount", "fact_payroll") else []
         write_table(df, path, "overwrite", part)
         res.tables[name] = path
     # Gold and the gate read the written silver tables, not the lineage.
-    rd = {n: spark.read.parquet(p) for n, p in res.tables.items() if not n.startswith("bronze_")}
+    rd = {n: spark.read.parquet(p) for n, p in res.tables.items()
+          if not n.startswith("bronze_") and n != "dim_date"}
     s2 = Silver({e: rd[f"dim_{e}"] for e in s.dims}, rd["fact_headcount"], rd["fact_payroll"],
                 rd["fact_compensation"], rd["fact_workforce_movements"], rd["data_quality_log"])
     g = headcount_gate(s2.fact_headcount, "employee_id", "period",
@@ -204,7 +226,7 @@ def run_warehouse(spark: SparkSession, landing: str, out_root: str,
         period = s2.fact_headcount.select(F.max("period")).first()[0]
     if gate:
         res.gate = assert_no_anomaly(g, period)
-    for name, df in gold(s2).items():
+    for name, df in gold(s2, one_contract_per_employee).items():
         path = f"{out_root}/gold/{name}/v-{version}"
         write_table(df, path)
         res.tables[name] = path

@@ -61,7 +61,10 @@ def append_once(df: DataFrame, name: str, keys: Sequence[str]) -> int:
     if table_exists(spark, name):
         existing = read_table(spark, name).select(*keys)
         new = df.join(existing, list(keys), "left_anti")
-        # Materialise before appending: the anti join reads the target.
+        # Materialise before appending (the anti join reads the target) into
+        # the shared checkpoint folder, so the lineage survives lost executors.
+        from tidemark.session import scratch_root
+        scratch_root(spark)
         new = new.checkpoint(eager=True)
     else:
         new = df
