@@ -52,6 +52,29 @@ def apply_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+def cluster_conf(input_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of parquet.
+
+    Shuffle partitions start high enough that no task holds more than about
+    ``target_partition_bytes`` of input-sized shuffle data (at least three
+    waves of tasks), and AQE coalesces them down to the advisory size at run
+    time; skewed partitions over 1 GB and 5x the median are split. Scans read
+    512 MB splits. Broadcasts stay the explicit, size-checked ones plus
+    AQE's own runtime conversions under 64 MB.
+    """
+    parts = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(min(parts, 200_000)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 ** 3),
+        "spark.sql.files.maxPartitionBytes": str(512 * 1024 ** 2),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+    }
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -74,6 +74,12 @@ def append_once(df: DataFrame, name: str, keys: Sequence[str]) -> int:
     return n
 
 
+def register_views(frames: dict[str, DataFrame]) -> None:
+    """Expose DataFrames to SQL users under names."""
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+
+
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """S15."""
     return spark.createDataFrame([], schema)
