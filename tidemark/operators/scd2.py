@@ -83,22 +83,26 @@ def empty_dimension(snapshot: DataFrame, keys: Sequence[str], tracked: Sequence[
 
 def replay_snapshots(snapshots: DataFrame, keys: Sequence[str], tracked: Sequence[str],
                      period_col: str, start_col: str = START, end_col: str = END) -> DataFrame:
-    """Type-2 history of every snapshot at once (D3); equals folding D2."""
+    """Type-2 history of every snapshot at once (D3); equals folding D2.
+
+    One shuffle by key and one sort; everything after runs on rows already in
+    (key, period) order: a row opens a version when the key was absent in the
+    previous existing period or a tracked value changed; it closes one when
+    the next row opens one. Only first and last rows of each version are
+    kept, and a version ends at the period after its last row (null if that
+    row is in the latest period).
+    """
     keys, tracked = list(keys), list(tracked)
     seq = period_sequence(snapshots, period_col).select(period_col, "_idx", "_next")
     s = snapshots.select(*keys, *tracked, period_col).join(seq, period_col)
     w = Window.partitionBy(*keys).orderBy("_idx")
     prev_idx = F.lag("_idx").over(w)
     unchanged = same_values([F.col(t) for t in tracked], [F.lag(t).over(w) for t in tracked])
-    brk = (prev_idx.isNull() | (prev_idx != F.col("_idx") - 1) | ~unchanged).cast("int")
-    versioned = (
-        s.withColumn("_brk", brk)
-        .withColumn("_ver", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    )
-    # One group per version; the group keys are a superset of the window's
-    # partition keys, so this aggregate reuses the window's shuffle.
-    g = versioned.groupBy(*keys, "_ver", *tracked).agg(
-        F.min(period_col).alias(start_col),
-        F.max(F.struct("_idx", "_next")).getField("_next").alias(end_col),
-    )
-    return g.select(*keys, *tracked, start_col, end_col)
+    opens = prev_idx.isNull() | (prev_idx != F.col("_idx") - 1) | ~unchanged
+    s = s.withColumn("_open", opens)
+    s = s.withColumn("_last", F.lead("_open", 1, True).over(w))
+    edges = s.where(F.col("_open") | F.col("_last"))
+    edges = edges.withColumn(
+        "_end", F.when(F.col("_last"), F.col("_next")).otherwise(F.lead("_next").over(w)))
+    return edges.where(F.col("_open")).select(
+        *keys, *tracked, F.col(period_col).alias(start_col), F.col("_end").alias(end_col))

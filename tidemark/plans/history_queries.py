@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from tidemark.operators import movements as mv
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.scd2 import apply_snapshot, current, replay_snapshots
-from tidemark.plans.source_tables import USER_DAY_SNAP_SQL, table, user_day_snapshots
+from tidemark.plans.source_tables import (
+    PART_MONTH_SNAP_SQL,
+    USER_DAY_SNAP_SQL,
+    part_month_snapshots,
+    table,
+    user_day_snapshots,
+)
 
 
 def q_latest_per_key(spark: SparkSession, d: str) -> DataFrame:
@@ -56,8 +62,14 @@ def q_terminations(spark, d):
     return mv.terminations(q_movements(spark, d))
 
 
+def q_part_supplier_history(spark: SparkSession, d: str) -> DataFrame:
+    """D3 on the largest table: which supplier shipped each part, as type-2 history."""
+    return replay_snapshots(part_month_snapshots(spark, d), ["l_partkey"], ["l_suppkey"], "period")
+
+
 QUERIES = {
     "latest_per_key": q_latest_per_key,
+    "part_supplier_history": q_part_supplier_history,
     "scd2_replay": q_scd2_replay,
     "scd2_apply": q_scd2_apply,
     "scd2_current": q_scd2_current,
@@ -102,7 +114,24 @@ WHERE p.next_period IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM snap n WHERE n.user_id = c.user_id AND n.period = p.next_period)
 """
 
+_PART_REPLAY_SQL = f"""
+WITH {PART_MONTH_SNAP_SQL},
+p AS (SELECT period, row_number() OVER (ORDER BY period) AS idx FROM (SELECT DISTINCT period FROM psnap) d),
+s AS (SELECT psnap.l_partkey, psnap.l_suppkey, psnap.period, p.idx FROM psnap JOIN p USING (period)),
+f AS (
+  SELECT *, CASE WHEN lag(idx) OVER w IS NULL OR lag(idx) OVER w <> idx - 1
+                   OR lag(l_suppkey) OVER w IS DISTINCT FROM l_suppkey THEN 1 ELSE 0 END AS brk
+  FROM s WINDOW w AS (PARTITION BY l_partkey ORDER BY idx)),
+v AS (SELECT *, sum(brk) OVER (PARTITION BY l_partkey ORDER BY idx
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ver FROM f),
+g AS (SELECT l_partkey, ver, l_suppkey, min(idx) AS s_idx, max(idx) AS e_idx
+      FROM v GROUP BY l_partkey, ver, l_suppkey)
+SELECT g.l_partkey, g.l_suppkey, ps.period AS __START_AT, pe.period AS __END_AT
+FROM g JOIN p ps ON ps.idx = g.s_idx LEFT JOIN p pe ON pe.idx = g.e_idx + 1
+"""
+
 ORACLE = {
+    "part_supplier_history": _PART_REPLAY_SQL,
     "latest_per_key": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM (
   SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.periods import period_from_path, period_of
 from tidemark.operators import quality as dq
+from tidemark.operators.facts import optional_column
 from tidemark.operators.restate import restate
 from tidemark.plans.source_tables import table
 from tidemark.plans.table_rules import TABLE_RULES
@@ -87,6 +88,15 @@ def q_rescue_fields(spark: SparkSession, d: str) -> DataFrame:
     return e.select(*parse_with_rescue(doc, EVENT_DECLARED))
 
 
+def q_rescued_late_column(spark: SparkSession, d: str) -> DataFrame:
+    """A column absent from the declared schema (``k``) is still
+    selected, from the rescued JSON, as the reference's late
+    ``compensation_category`` should have been."""
+    docs = q_rescue_fields(spark, d)
+    return docs.select("event_id", "user_id", optional_column(docs, "k").alias("k"),
+                       optional_column(docs, "value").alias("value"))
+
+
 def q_ingest_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Land events as JSON by day, stream them into bronze
     (availableNow, checkpointed), read bronze back with the period from the path."""
@@ -108,6 +118,7 @@ QUERIES = {
     "dq_review": q_dq_review,
     "restate": q_restate,
     "rescue_fields": q_rescue_fields,
+    "rescued_late_column": q_rescued_late_column,
     "ingest_roundtrip": q_ingest_roundtrip,
 }
 
@@ -190,6 +201,11 @@ WHERE NOT coalesce(period >= '{RESTATE_START}' AND period <= '{RESTATE_END}'
                    AND o_custkey IN (SELECT o_custkey FROM s), false)
 UNION ALL
 SELECT * FROM c
+""",
+    "rescued_late_column": """
+SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id,
+       json_extract_string(props, '$.k') AS k, CAST(value AS VARCHAR) AS value
+FROM events
 """,
     "rescue_fields": """
 SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, event_type,
