@@ -144,3 +144,34 @@ def test_chain_options(spark, tmp_path):
     d1 = spark.read.parquet(deduped.tables["dim_date"]).count()
     again = run_warehouse(spark, base, str(tmp_path / "wh2"), gate=False)
     assert spark.read.parquet(again.tables["dim_date"]).count() == d1 == 4748
+
+
+def test_restatement(spark, tmp_path):
+    """Corrected files for one employee and period range replace its
+    rows in a new bronze version; the audit row records the counts."""
+    from tidemark.plans.hr import restate_bronze, silver
+    from tidemark.sources.rules import RuleSet
+    base = str(tmp_path / "landing")
+    landing(base)
+    out = str(tmp_path / "wh")
+    res = run_warehouse(spark, base, out, gate=False)
+    fixes = str(tmp_path / "restatements")
+    put(fixes, "2025-02", "employees", [{"employee_id": "E5", "hire_date": "2024-01-15",
+                                         "department_id": "D2", "role_id": "R2"}], name="fix-1.json")
+    put(fixes, "2025-01", "employees", [{"employee_id": "E6", "hire_date": "2024-01-15",
+                                         "department_id": "D2", "role_id": "R2"}], name="fix-2.json")
+    path, audit = restate_bronze(spark, res.tables["bronze_employees"], fixes, "employees", "E5",
+                                 "2025-2", "2025-02", "steward", out)
+    assert audit["rows_added"] == 1 and audit["rows_removed"] == 1
+    assert (audit["start_period"], audit["end_period"]) == ("2025-02", "2025-02")
+    bronze = {e: spark.read.parquet(p) for e, p in res.tables.items() if e.startswith("bronze_")}
+    bronze = {e[len("bronze_"):]: df for e, df in bronze.items()}
+    bronze["employees"] = spark.read.parquet(path)
+    s = silver(bronze, RuleSet.load(spark, __import__("tidemark.plans.hr", fromlist=["x"]).RULES_PATH))
+    e5 = [(r["department_id"], r["__START_AT"], r["__END_AT"])
+          for r in s.dims["employees"].where("employee_id = 'E5'").orderBy("__START_AT").collect()]
+    assert e5 == [("D1", "2025-01", "2025-02"), ("D2", "2025-02", "2025-03"), ("D1", "2025-03", None)]
+    log = spark.read.parquet(f"{out}/silver/restatement_audit_log")
+    assert log.count() == 1
+    with pytest.raises(ValueError):
+        restate_bronze(spark, path, fixes, "employees", "", "2025-01", "2025-02", "x", out)

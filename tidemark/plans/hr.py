@@ -25,9 +25,11 @@ from tidemark.operators.facts import compensation_fact, payroll_fact, repair_bef
 from tidemark.operators.gate import assert_no_anomaly, headcount_gate
 from tidemark.operators.movements import movements
 from tidemark.operators.scd2 import current, replay_snapshots
-from tidemark.sources.landing import ENTITY_FIELDS
+from tidemark.functions.periods import normalize_period
+from tidemark.operators.restate import audit_row, restate
+from tidemark.sources.landing import ENTITY_FIELDS, read_landing
 from tidemark.sources.rules import RuleSet
-from tidemark.sources.tables import append_once, write_table
+from tidemark.sources.tables import append_once, write_new, write_table
 from tidemark.streaming.ingest import ingest_to_bronze
 
 # Natural key of each dimension entity.
@@ -232,3 +234,33 @@ def run_warehouse(spark: SparkSession, landing: str, out_root: str,
         res.tables[name] = path
     res.review = dq.summary(spark.read.parquet(res.tables["data_quality_log"])).first().asDict()
     return res
+
+
+def restate_bronze(spark: SparkSession, bronze_path: str, corrections_landing: str, entity: str,
+                   employee_id: str, start_period: str, end_period: str, triggered_by: str,
+                   out_root: str, key: str = "employee_id") -> tuple[str, dict]:
+    """R1 + R2 on a bronze table: the employee's rows in [start, end] are
+    replaced by the corrected files landed under ``corrections_landing``
+    (same layout as the landing folder; newest ingest wins), the result is
+    written as a new bronze version (the table being read is never
+    overwritten) and an audit row is appended. Returns (new path, audit row).
+    """
+    start_period, end_period = normalize_period(start_period), normalize_period(end_period)
+    # validate parameters before any work
+    audit_row(spark, employee_id, start_period, end_period, triggered_by)
+    base = spark.read.parquet(bronze_path)
+    with_p = base.withColumn("_period", period_from_path("_source_file_name"))
+    corr = (read_landing(spark, corrections_landing, entity, run_id=f"restate-{uuid.uuid4().hex}")
+            .where(F.col(key) == employee_id)
+            .withColumn("_period", period_from_path("_source_file_name")))
+    new = restate(with_p, corr.select(*with_p.columns), [key], "_period", start_period,
+                  end_period, row_keys=[key, "_period"], ingested_col="_ingested_at")
+    path = write_new(new.drop("_period"), f"{out_root}/bronze/{entity}_restated")
+    before = base.count()
+    after = spark.read.parquet(path)
+    added = after.where(F.col("_pipeline_run_id").startswith("restate-")).count()
+    removed = before - (after.count() - added)
+    audit = audit_row(spark, employee_id, start_period, end_period, triggered_by,
+                      rows_removed=removed, rows_added=added)
+    write_table(audit, f"{out_root}/silver/restatement_audit_log", "append")
+    return path, audit.first().asDict()
