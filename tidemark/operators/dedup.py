@@ -29,23 +29,28 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str |
     """One row per ``keys``: the row with the greatest ``order_by`` tuple.
 
     ``also`` adds other aggregates over the same groups (same shuffle), e.g.
-    ``{"first_seen": F.min("ts")}``.
+    ``{"first_seen": F.min("ts")}``. Rows whose keys are null are dropped
+    after the aggregate (they collapse to one group per map task first, so a
+    mass of null keys is no hot spot, and derived keys are computed once).
     """
     also = also or {}
     keys = list(keys)
-    if drop_nulls:
-        df = drop_null_keys(df, keys)
     payload = [c for c in df.columns if c not in keys]
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    # Order columns that are plain payload columns are packed once only.
+    as_order = {c: f"_o{i}" for i, c in enumerate(order_by)
+                if isinstance(c, str) and c in payload}
     packed = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)],
-                      *[F.col(c) for c in payload])
-    return (
+                      *[F.col(c) for c in payload if c not in as_order])
+    out = (
         df.groupBy(*keys).agg(F.max(packed).alias("_m"),
                               *[agg.alias(name) for name, agg in also.items()])
         .select(*[F.col(c) for c in df.columns if c in keys] +
-                [F.col(f"_m.{c}").alias(c) for c in payload] + [F.col(n) for n in also])
+                [F.col(f"_m.{as_order.get(c, c)}").alias(c) for c in payload] +
+                [F.col(n) for n in also])
         .select(*df.columns, *also)
     )
+    return drop_null_keys(out, keys) if drop_nulls else out
 
 
 def latest_per_key_by_path(df: DataFrame, keys: Sequence[str],
