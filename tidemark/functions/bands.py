@@ -23,15 +23,17 @@ def _col(c) -> Column:
 def band(value, edges: Sequence, labels: Sequence[str]) -> Column:
     """``labels[i]`` for the first ``edges[i]`` with value < edge, else the last label.
 
-    Null in, null out.
+    Null in, null out (no branch matches a null). The value is referenced
+    once per edge only: Catalyst may inline it into pushed-down filters.
     """
     if len(labels) != len(edges) + 1:
         raise ValueError("need exactly one more label than edges")
     v = _col(value)
-    out = F.when(v.isNull(), F.lit(None).cast("string"))
+    out = None
     for edge, label in zip(edges, labels):
-        out = out.when(v < F.lit(edge), F.lit(label))
-    return out.otherwise(F.lit(labels[-1]))
+        cond = v < F.lit(edge)
+        out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
+    return out.when(v >= F.lit(edges[-1]), F.lit(labels[-1]))
 
 
 def tenure_band(days) -> Column:
@@ -44,9 +46,10 @@ def salary_band(amount, edges: Sequence = SALARY_EDGES,
 
 
 def non_negative(value) -> Column:
-    """Negative values become null (a data error, not a real value)."""
-    v = _col(value)
-    return F.when(v < 0, F.lit(None)).otherwise(v)
+    """Negative values become null (a data error, not a real value).
+
+    Written with one reference to the value so inlining it stays cheap."""
+    return F.nullif(F.greatest(_col(value), F.lit(-1)), F.lit(-1))
 
 
 def pct_2dp(part, whole) -> Column:

@@ -33,10 +33,15 @@ def period_of(ts, fmt: str = "yyyy-MM") -> Column:
 def period_start(period) -> Column:
     """First day of a ``YYYY-MM`` or ``YYYY-MM-DD`` period, as a date."""
     p = _col(period)
-    # Pick the format by length: a parse that fails is far costlier than one
-    # that succeeds, so valid periods never try the wrong format.
-    return F.when(F.length(p) == 7, F.try_to_date(p, "yyyy-MM")).otherwise(
-        F.try_to_date(p, "yyyy-MM-dd"))
+    # ``YYYY-MM`` is built from two integers (no formatter, cheap enough to be
+    # repeated where Catalyst inlines it into pushed-down filters); other
+    # lengths are parsed as ``yyyy-MM-dd``. Malformed text gives null.
+    y = F.substring(p, 1, 4).try_cast("int")
+    m = F.substring(p, 6, 2).try_cast("int")
+    monthly = (F.length(p) == 7) & (F.substring(p, 5, 1) == "-") & m.between(1, 12) & \
+        y.between(1, 9999)
+    return F.when(monthly, F.make_date(y, m, F.lit(1))).when(
+        F.length(p) != 7, F.try_to_date(p, "yyyy-MM-dd"))
 
 
 def parse_date(text) -> Column:

@@ -30,10 +30,11 @@ def with_tenure(rows: DataFrame, period_col: str = "period", hire_date="hire_dat
 
     ``tenure_days_raw`` keeps negative values so a quality rule can still see
     them; ``tenure_days`` nulls them (a hire after the period is a data error).
+    An existing ``period_date`` column is used as is.
     """
-    pd = period_start(F.col(period_col))
+    pd = F.col("period_date") if "period_date" in rows.columns else period_start(F.col(period_col))
     hd = as_date(hire_date)
-    raw = F.when(hd.isNotNull() & pd.isNotNull(), F.datediff(pd, hd))
+    raw = F.datediff(pd, hd)  # null when either date is null
     return (
         rows.withColumn("period_date", pd)
         .withColumn("tenure_days_raw", raw.cast("int"))

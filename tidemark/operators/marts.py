@@ -116,5 +116,6 @@ def tenure_bands(fact: DataFrame, dims: Sequence[DimJoin],
     counts = count_by(fact, dims, group, key, "employee_count",
                       active & F.col("tenure_band").isNotNull())
     total = F.sum("employee_count").over(Window.partitionBy(*share_of))
-    return counts.withColumn("pct_of_department", pct_2dp(F.col("employee_count"), total)).select(
-        *group, "employee_count", "pct_of_department")
+    return (counts.withColumn("_total", total)
+            .withColumn("pct_of_department", pct_2dp(F.col("employee_count"), F.col("_total")))
+            .select(*group, "employee_count", "pct_of_department"))

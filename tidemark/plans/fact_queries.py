@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.periods import period_of
+from tidemark.functions.periods import period_of, period_start
 from tidemark.operators import marts
 from tidemark.operators import movements as mv
 from tidemark.operators.calendar import dim_date_covering
@@ -40,8 +40,11 @@ def q_headcount_fact(spark: SparkSession, d: str) -> DataFrame:
     # One row per customer and month here, so this window's partitions are
     # bounded by the number of months, whatever the skew of the raw orders.
     hire = F.min("_first").over(Window.partitionBy("o_custkey")).cast("date")
+    # period_date is computed below the window, so filters on tenure pushed
+    # down later stop at the window instead of re-deriving it per use.
     monthly = monthly.select("o_custkey", "period", "role_id", hire.alias("hire_date"),
-                             F.lit(None).cast("date").alias("termination_date"))
+                             F.lit(None).cast("date").alias("termination_date"),
+                             period_start(F.col("period")).alias("period_date"))
     cust = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"),
                                               F.col("c_nationkey").alias("department_id"))
     fact = with_tenure(monthly.join(cust, "o_custkey", "left"), "period", F.col("hire_date"))
