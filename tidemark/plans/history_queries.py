@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import movements as mv
 from tidemark.operators.dedup import latest_per_key
-from tidemark.operators.scd2 import apply_snapshot, current, replay_snapshots
+from tidemark.operators.scd2 import apply_snapshot, as_of, current, replay_snapshots
 from tidemark.plans.source_tables import (
     PART_MONTH_SNAP_SQL,
     USER_DAY_SNAP_SQL,
@@ -45,6 +45,15 @@ def q_scd2_current(spark: SparkSession, d: str) -> DataFrame:
     return current(q_scd2_replay(spark, d))
 
 
+# Fixed value: the day the as-of query looks at.
+AS_OF_DAY = "2024-01-15"
+
+
+def q_scd2_as_of(spark: SparkSession, d: str) -> DataFrame:
+    """P13 (as of a day): each user's version valid on AS_OF_DAY."""
+    return as_of(q_scd2_replay(spark, d), AS_OF_DAY)
+
+
 def q_movements(spark: SparkSession, d: str) -> DataFrame:
     """M4: all hire / transfer / termination events in one pass."""
     return mv.movements(user_day_snapshots(spark, d), ["user_id"], "period", ["state"])
@@ -73,6 +82,7 @@ QUERIES = {
     "scd2_replay": q_scd2_replay,
     "scd2_apply": q_scd2_apply,
     "scd2_current": q_scd2_current,
+    "scd2_as_of": q_scd2_as_of,
     "movements": q_movements,
     "hires": q_hires,
     "transfers": q_transfers,
@@ -140,6 +150,8 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderp
     "scd2_replay": _REPLAY_SQL,
     "scd2_apply": _REPLAY_SQL,
     "scd2_current": f"SELECT * FROM ({_REPLAY_SQL}) r WHERE __END_AT IS NULL",
+    "scd2_as_of": f"""SELECT * FROM ({_REPLAY_SQL}) r
+WHERE __START_AT <= '{AS_OF_DAY}' AND (__END_AT IS NULL OR __END_AT > '{AS_OF_DAY}')""",
     "movements": _MOVEMENTS_SQL,
     "hires": f"SELECT * FROM ({_MOVEMENTS_SQL}) m WHERE event_type = 'HIRE'",
     "transfers": f"SELECT * FROM ({_MOVEMENTS_SQL}) m WHERE event_type = 'TRANSFER'",
