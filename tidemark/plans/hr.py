@@ -123,15 +123,19 @@ class Silver:
 
 
 def silver(bronze: dict[str, DataFrame], rules: RuleSet, rehire: bool = False,
-           null_safe: bool = False, end_at_termination: bool = False) -> Silver:
+           null_safe: bool = False, end_at_termination: bool = False,
+           dims: dict[str, DataFrame] | None = None) -> Silver:
     """``rehire``/``null_safe``: movement options (see ``movements``).
     ``end_at_termination``: an employee still listed after their termination
     date counts as gone for movements (the source keeps terminated staff in
-    later snapshots, so absence alone finds few terminations)."""
+    later snapshots, so absence alone finds few terminations).
+    ``dims``: dimensions maintained elsewhere (incrementally); by default
+    they are replayed from all bronze history."""
     emp = employee_snapshots(bronze["employees"])
-    dims = {"employees": dimension(emp, "employees")}
-    for ent in ("departments", "job_roles", "contracts"):
-        dims[ent] = dimension(snapshots(bronze[ent], DIM_KEYS[ent]), ent)
+    if dims is None:
+        dims = {"employees": dimension(emp, "employees")}
+        for ent in ("departments", "job_roles", "contracts"):
+            dims[ent] = dimension(snapshots(bronze[ent], DIM_KEYS[ent]), ent)
     head = fact_headcount(emp)
     present = head
     if end_at_termination:
@@ -192,19 +196,37 @@ def ingest_all(spark: SparkSession, landing: str, out_root: str,
     return paths
 
 
+def incremental_dimensions(spark: SparkSession, landing: str, out_root: str) -> dict[str, str]:
+    """Fold the newly landed periods into each stored dimension (no replay)."""
+    from tidemark.plans.incremental import maintain_dimension
+
+    repair = {"employees": lambda s: repair_before(s, "termination_date", "hire_date")}
+    return {ent: maintain_dimension(spark, landing, ent, f"{out_root}/silver/dim_{ent}",
+                                    f"{out_root}/_checkpoints/dim_{ent}", DIM_KEYS[ent],
+                                    prepare=repair.get(ent))
+            for ent in DIM_KEYS}
+
+
 def run_warehouse(spark: SparkSession, landing: str, out_root: str,
                   rules: RuleSet | None = None, period: str | None = None,
                   gate: bool = True, one_contract_per_employee: bool = False,
-                  **silver_options) -> RunResult:
-    """Bronze -> silver -> gate -> gold -> review, in that order."""
+                  incremental: bool = False, **silver_options) -> RunResult:
+    """Bronze -> silver -> gate -> gold -> review, in that order.
+
+    ``incremental=True`` keeps the type-2 dimensions up to date by folding
+    only newly landed periods into their stored versions instead of
+    replaying all bronze history (see ``plans.incremental``)."""
     rules = rules or RuleSet.load(spark, RULES_PATH)
     res = RunResult()
     bronze_paths = ingest_all(spark, landing, out_root)
     bronze = {e: spark.read.parquet(p) for e, p in bronze_paths.items()}
     res.tables.update({f"bronze_{e}": p for e, p in bronze_paths.items()})
-    s = silver(bronze, rules, **silver_options)
+    dim_paths = incremental_dimensions(spark, landing, out_root) if incremental else {}
+    dims = {e: spark.read.parquet(p) for e, p in dim_paths.items()} if incremental else None
+    s = silver(bronze, rules, dims=dims, **silver_options)
     version = uuid.uuid4().hex[:8]
-    silver_tables = {f"dim_{e}": d for e, d in s.dims.items()}
+    silver_tables = {f"dim_{e}": d for e, d in s.dims.items() if e not in dim_paths}
+    res.tables.update({f"dim_{e}": p for e, p in dim_paths.items()})
     silver_tables.update(fact_headcount=s.fact_headcount, fact_payroll=s.fact_payroll,
                          fact_compensation=s.fact_compensation,
                          fact_workforce_movements=s.movements, data_quality_log=s.quality_log)

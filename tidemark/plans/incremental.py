@@ -16,7 +16,7 @@ restatement and a replay.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,9 +81,12 @@ def maintain_dimension(spark: SparkSession, landing: str, entity: str, dim_root:
                        checkpoint: str, keys: Sequence[str],
                        tracked: Sequence[str] | None = None,
                        layout: str = "{base}/*/{entity}/",
-                       timeout_s: float | None = None) -> str | None:
+                       timeout_s: float | None = None,
+                       prepare: Callable[[DataFrame], DataFrame] | None = None) -> str | None:
     """Stream new landing files of ``entity`` and fold each new period into
-    the dimension stored under ``dim_root``; returns the latest version."""
+    the dimension stored under ``dim_root``; returns the latest version.
+    ``prepare`` is applied to the per-period snapshot rows before folding
+    (e.g. a field repair)."""
     from tidemark.functions.periods import period_from_path
 
     tracked = [c for c in ENTITY_FIELDS[entity] if c not in keys] if tracked is None else tracked
@@ -93,6 +96,8 @@ def maintain_dimension(spark: SparkSession, landing: str, entity: str, dim_root:
         rows = (batch.where(F.col(keys[0]).isNotNull())
                 .withColumn("period", period_from_path("_source_file_name")))
         snaps = latest_per_key(rows, list(keys) + ["period"], ["_ingested_at", "_source_file_name"])
+        if prepare is not None:
+            snaps = prepare(snaps)
         fold_new_periods(spark, dim_root, snaps, keys, tracked, "period")
 
     ingest_each_batch(stream, handle, checkpoint, timeout_s)
