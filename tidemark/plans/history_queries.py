@@ -31,10 +31,10 @@ def q_scd2_apply(spark: SparkSession, d: str) -> DataFrame:
     """The history of every day but the last, then the last day's snapshot
     applied on top; must equal the full replay."""
     snap = user_day_snapshots(spark, d)
-    # The last day as a scalar over two raw columns (cheap), not over the
-    # deduplicated snapshot.
+    # The last day: one scalar from two raw columns (a cheap scan, not the
+    # deduplicated snapshot), fetched once and used as a literal.
     ev = table(spark, d, "events").where(F.col("user_id").isNotNull())
-    last_day = ev.select(F.max(F.date_format("ts", "yyyy-MM-dd"))).scalar()
+    last_day = ev.select(F.max(F.date_format("ts", "yyyy-MM-dd"))).first()[0]
     before = replay_snapshots(snap.where(F.col("period") < last_day), ["user_id"], ["state"], "period")
     latest = snap.where(F.col("period") == last_day)
     return apply_snapshot(before, latest, ["user_id"], ["state"], last_day)
