@@ -10,8 +10,9 @@ from a snapshot is closed at that snapshot.
   passed through without being shuffled.
 * ``replay_snapshots`` builds the same result for all snapshots in one pass:
   versions are islands of consecutive periods with equal values
-  (gaps-and-islands with ``lag`` and a running sum), so there is no loop over
-  periods. Both expect one row per key and period (see ``latest_per_key``).
+  (gaps-and-islands with ``lag``/``lead`` over each key's periods), so there
+  is no loop over periods. Both expect one row per key and period (see
+  ``latest_per_key``).
 """
 
 from __future__ import annotations
