@@ -198,3 +198,15 @@ def test_incremental_chain_equals_replay(spark, tmp_path):
     g1 = spark.read.parquet(inc.tables["headcount_monthly"]).collect()
     g2 = spark.read.parquet(rep.tables["headcount_monthly"]).collect()
     assert sorted(map(tuple, g1), key=order) == sorted(map(tuple, g2), key=order)
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from tidemark.__main__ import main
+    base = str(tmp_path / "landing")
+    landing(base)
+    out = str(tmp_path / "wh")
+    assert main(["run", "--landing", base, "--out", out, "--no-gate"]) == 0
+    res = json.loads(capsys.readouterr().out)
+    assert res["review"]["total_issues"] > 0
+    assert main(["review", "--log", res["tables"]["data_quality_log"], "--show", "5"]) == 0
+    assert '"critical"' in capsys.readouterr().out
