@@ -1,4 +1,9 @@
-"""DataFrame -> DataFrame operators."""
+"""DataFrame -> DataFrame operators.
+
+``movements`` and ``restate`` are also submodule names, so those two
+functions are imported from their modules: ``from
+tidemark.operators.movements import movements``.
+"""
 
 from tidemark.operators.calendar import dim_date, dim_date_covering
 from tidemark.operators.dedup import drop_null_keys, latest_per_key, latest_per_key_by_path
@@ -19,7 +24,7 @@ from tidemark.operators.marts import (
     tenure_bands,
     workforce_movements,
 )
-from tidemark.operators.movements import hires, movements, terminations, transfers
+from tidemark.operators.movements import hires, terminations, transfers
 from tidemark.operators.periods import bounded_broadcast, period_sequence
 from tidemark.operators.quality import (
     empty_log,
@@ -32,7 +37,7 @@ from tidemark.operators.quality import (
     union_logs,
     unresolved,
 )
-from tidemark.operators.restate import audit_row, restate
+from tidemark.operators.restate import audit_row
 from tidemark.operators.scd2 import (
     apply_snapshot,
     as_of,
@@ -46,8 +51,8 @@ __all__ = [
     "compensation_fact", "optional_column", "payroll_fact", "repair_before", "valid_amounts",
     "with_tenure", "HeadcountAnomaly", "assert_no_anomaly", "headcount_gate",
     "attrition_summary", "compensation_bands", "headcount_monthly", "rolling_attrition",
-    "tenure_bands", "workforce_movements", "hires", "movements", "terminations", "transfers",
+    "tenure_bands", "workforce_movements", "hires", "terminations", "transfers",
     "bounded_broadcast", "period_sequence", "empty_log", "log_schema", "quality_log", "resolve",
-    "review", "steward_review", "summary", "union_logs", "unresolved", "audit_row", "restate",
+    "review", "steward_review", "summary", "union_logs", "unresolved", "audit_row",
     "apply_snapshot", "as_of", "current", "empty_dimension", "replay_snapshots",
 ]
