@@ -114,3 +114,10 @@ def test_replay_equals_fold_of_apply(spark):
     assert cur.groupBy(*KEYS).count().where("count > 1").count() == 0
     assert as_of(spark.createDataFrame(replay, DIM_COLS), "2025-03").groupBy(*KEYS).count() \
         .where("count > 1").count() == 0
+
+
+def test_values_containing_the_hash_delimiter_are_a_change(spark):
+    # ('a|b', 'c') and ('a', 'b|c') join to the same text with '|'
+    d = dim(spark, [("E1", "a|b", "c", "2025-01", None)])
+    out = apply_snapshot(d, snap(spark, [("E1", "a", "b|c")]), KEYS, TRACKED, "2025-02")
+    assert rows(out) == [("E1", "a", "b|c", "2025-02", None), ("E1", "a|b", "c", "2025-01", "2025-02")]
