@@ -195,9 +195,11 @@ def test_incremental_chain_equals_replay(spark, tmp_path):
         b = spark.read.parquet(rep.tables[f"dim_{ent}"]).select(*a.columns)
         assert sorted(map(tuple, a.collect()), key=order) == sorted(map(tuple, b.collect()), key=order)
     assert inc.tables["dim_employees"].endswith("v-3")
-    g1 = spark.read.parquet(inc.tables["headcount_monthly"]).collect()
-    g2 = spark.read.parquet(rep.tables["headcount_monthly"]).collect()
-    assert sorted(map(tuple, g1), key=order) == sorted(map(tuple, g2), key=order)
+    for t in ("headcount_monthly", "fact_workforce_movements", "workforce_movements",
+              "attrition_summary"):
+        a = spark.read.parquet(inc.tables[t])
+        b = spark.read.parquet(rep.tables[t]).select(*a.columns)
+        assert sorted(map(tuple, a.collect()), key=order) == sorted(map(tuple, b.collect()), key=order), t
 
 
 def test_command_line(spark, tmp_path, capsys):

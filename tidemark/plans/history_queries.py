@@ -59,6 +59,11 @@ def q_movements(spark: SparkSession, d: str) -> DataFrame:
     return mv.movements(user_day_snapshots(spark, d), ["user_id"], "period", ["state"])
 
 
+def q_movements_from_history(spark: SparkSession, d: str) -> DataFrame:
+    """M4 from type-2 history: the same events, derived from the versions."""
+    return mv.movements_from_history(q_scd2_replay(spark, d), ["user_id"], ["state"])
+
+
 def q_hires(spark, d):
     return mv.hires(q_movements(spark, d))
 
@@ -84,6 +89,7 @@ QUERIES = {
     "scd2_current": q_scd2_current,
     "scd2_as_of": q_scd2_as_of,
     "movements": q_movements,
+    "movements_from_history": q_movements_from_history,
     "hires": q_hires,
     "transfers": q_transfers,
     "terminations": q_terminations,
@@ -153,6 +159,7 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderp
     "scd2_as_of": f"""SELECT * FROM ({_REPLAY_SQL}) r
 WHERE __START_AT <= '{AS_OF_DAY}' AND (__END_AT IS NULL OR __END_AT > '{AS_OF_DAY}')""",
     "movements": _MOVEMENTS_SQL,
+    "movements_from_history": _MOVEMENTS_SQL,
     "hires": f"SELECT * FROM ({_MOVEMENTS_SQL}) m WHERE event_type = 'HIRE'",
     "transfers": f"SELECT * FROM ({_MOVEMENTS_SQL}) m WHERE event_type = 'TRANSFER'",
     "terminations": f"SELECT * FROM ({_MOVEMENTS_SQL}) m WHERE event_type = 'TERMINATION'",

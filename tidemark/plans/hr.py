@@ -23,7 +23,7 @@ from tidemark.operators.calendar import dim_date
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.facts import compensation_fact, payroll_fact, repair_before, with_tenure
 from tidemark.operators.gate import assert_no_anomaly, headcount_gate
-from tidemark.operators.movements import movements
+from tidemark.operators.movements import movements, movements_from_history
 from tidemark.operators.scd2 import current, replay_snapshots
 from tidemark.functions.periods import normalize_period
 from tidemark.operators.restate import audit_row, restate
@@ -132,12 +132,21 @@ def silver(bronze: dict[str, DataFrame], rules: RuleSet, rehire: bool = False,
     ``dims``: dimensions maintained elsewhere (incrementally); by default
     they are replayed from all bronze history."""
     emp = employee_snapshots(bronze["employees"])
+    dims_given = dims is not None
     if dims is None:
         dims = {"employees": dimension(emp, "employees")}
         for ent in ("departments", "job_roles", "contracts"):
             dims[ent] = dimension(snapshots(bronze[ent], DIM_KEYS[ent]), ent)
     head = fact_headcount(emp)
     present = head
+    if dims_given and not (end_at_termination or rehire):
+        # Events follow from the versions of the maintained dimension: work
+        # in proportion to versions, not to all snapshot rows.
+        moves = movements_from_history(dims["employees"], ["employee_id"],
+                                       ["department_id", "role_id"], null_safe=null_safe)
+        return Silver(dims, head, fact_payroll(bronze["payroll_events"], bronze["employees"]),
+                      fact_compensation(bronze["compensation"]), moves,
+                      quality(bronze, head, rules))
     if end_at_termination:
         ended = F.try_to_date(F.substring("termination_date", 1, 10), "yyyy-MM-dd") < F.col(
             "period_date")
