@@ -82,14 +82,19 @@ def scratch_root(spark: SparkSession) -> str:
     only invent one (under the system temp folder) when the session has
     none, which is the case in local tests.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext  # absent in Spark Connect sessions
+    except Exception:  # noqa: BLE001
+        sc = None
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         import tempfile
         root = os.path.join(tempfile.gettempdir(), "tidemark-checkpoints")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
