@@ -205,6 +205,20 @@ def ingest_all(spark: SparkSession, landing: str, out_root: str,
     return paths
 
 
+def append_new_periods(df: DataFrame, path: str, period_col: str = "period") -> str:
+    """Write the periods of ``df`` newer than those already in the table at
+    ``path`` (partitioned by period; only those partitions are written)."""
+    spark = df.sparkSession
+    from tidemark.sources.tables import table_exists
+    if table_exists(spark, path):
+        last = spark.read.parquet(path).agg(F.max(period_col)).first()[0]
+        if last is not None:
+            df = df.where(F.col(period_col) > F.lit(last))
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(period_col).parquet(path))
+    return path
+
+
 def incremental_dimensions(spark: SparkSession, landing: str, out_root: str) -> dict[str, str]:
     """Fold the newly landed periods into each stored dimension (no replay)."""
     from tidemark.plans.incremental import maintain_dimension
@@ -236,9 +250,17 @@ def run_warehouse(spark: SparkSession, landing: str, out_root: str,
     version = uuid.uuid4().hex[:8]
     silver_tables = {f"dim_{e}": d for e, d in s.dims.items() if e not in dim_paths}
     res.tables.update({f"dim_{e}": p for e, p in dim_paths.items()})
-    silver_tables.update(fact_headcount=s.fact_headcount, fact_payroll=s.fact_payroll,
-                         fact_compensation=s.fact_compensation,
-                         fact_workforce_movements=s.movements, data_quality_log=s.quality_log)
+    if incremental:
+        # Facts: only periods newer than those stored are built and written
+        # (the period filter reaches below the dedup aggregate).
+        for name, df in (("fact_headcount", s.fact_headcount), ("fact_payroll", s.fact_payroll),
+                         ("fact_compensation", s.fact_compensation)):
+            res.tables[name] = append_new_periods(df, f"{out_root}/silver/{name}")
+        s = Silver(s.dims, None, None, None, s.movements, s.quality_log)
+    silver_tables.update(fact_workforce_movements=s.movements, data_quality_log=s.quality_log)
+    if not incremental:
+        silver_tables.update(fact_headcount=s.fact_headcount, fact_payroll=s.fact_payroll,
+                             fact_compensation=s.fact_compensation)
     # The calendar is appended once and never rewritten.
     append_once(dim_date(spark), f"{out_root}/silver/dim_date", ["date_id"])
     res.tables["dim_date"] = f"{out_root}/silver/dim_date"
