@@ -3,7 +3,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.scd2 import replay_snapshots

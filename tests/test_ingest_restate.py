@@ -3,7 +3,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from tidemark.functions.periods import period_from_path
 from tidemark.operators.dedup import latest_per_key

@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from tidemark.operators import quality as dq
 from tidemark.sources.rules import Rule
