@@ -97,3 +97,19 @@ def test_normalize_period():
     assert normalize_period("2025-1") == "2025-01"
     assert normalize_period(" 2025-01-5") == "2025-01-05"
     assert normalize_period("bad") == "bad"
+
+
+def test_latest_per_key_by_path(spark):
+    import datetime as dt
+
+    from tidemark.operators.dedup import latest_per_key_by_path
+    t1, t2 = dt.datetime(2025, 3, 1), dt.datetime(2025, 3, 2)
+    df = spark.createDataFrame([
+        ("E1", "D1", "/l/2025-01/employees/a.json", t2),
+        ("E1", "D2", "/l/2025-02/employees/a.json", t1),   # newer period wins over newer ingest
+        ("E2", "D3", "/l/2025-02/employees/a.json", t1),
+        ("E2", "D4", "/l/2025-02/employees/b.json", t2),   # same period: newer ingest wins
+    ], "employee_id string, department_id string, _source_file_name string, _ingested_at timestamp")
+    got = {r["employee_id"]: r["department_id"]
+           for r in latest_per_key_by_path(df, ["employee_id"]).collect()}
+    assert got == {"E1": "D2", "E2": "D4"}
