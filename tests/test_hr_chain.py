@@ -215,3 +215,23 @@ def test_command_line(spark, tmp_path, capsys):
     assert res["review"]["total_issues"] > 0
     assert main(["review", "--log", res["tables"]["data_quality_log"], "--show", "5"]) == 0
     assert '"critical"' in capsys.readouterr().out
+
+
+def test_resolutions_persist_across_runs(spark, tmp_path):
+    from tidemark.plans.hr import record_resolutions
+    base = str(tmp_path / "landing")
+    landing(base)
+    out = str(tmp_path / "wh")
+    first = run_warehouse(spark, base, out, gate=False)
+    log = spark.read.parquet(first.tables["data_quality_log"])
+    picked = log.where("entity = 'payroll_events' AND field = 'employee_id'")
+    n = picked.count()
+    assert n == 3
+    record_resolutions(spark, out, picked.select(
+        "_ingested_at", "entity", "field", "employee_id",
+        F.lit("steward").alias("resolved_by"), F.current_timestamp().alias("resolved_at"),
+        F.lit("ACCEPT").alias("resolution_type")))
+    second = run_warehouse(spark, base, out, gate=False)
+    log2 = spark.read.parquet(second.tables["data_quality_log"])
+    assert log2.where("resolved").count() == n
+    assert second.review["total_issues"] == first.review["total_issues"] - n

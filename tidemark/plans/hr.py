@@ -205,6 +205,21 @@ def ingest_all(spark: SparkSession, landing: str, out_root: str,
     return paths
 
 
+RESOLUTION_KEYS = ["_ingested_at", "entity", "field", "employee_id"]
+
+
+def record_resolutions(spark: SparkSession, out_root: str, resolutions: DataFrame) -> str:
+    """V3, persisted: append steward resolutions (the match columns
+    ``_ingested_at, entity, field, employee_id`` plus ``resolved_by``,
+    ``resolved_at``, ``resolution_type``); every later run applies them to
+    the quality log it writes. Bronze ingest times never change, so an entry
+    keeps its identity from run to run."""
+    path = f"{out_root}/silver/dq_resolutions"
+    cols = RESOLUTION_KEYS + ["resolved_by", "resolved_at", "resolution_type"]
+    write_table(resolutions.select(*cols), path, "append")
+    return path
+
+
 def append_new_periods(df: DataFrame, path: str, period_col: str = "period") -> str:
     """Write the periods of ``df`` newer than those already in the table at
     ``path`` (partitioned by period; only those partitions are written)."""
@@ -257,7 +272,12 @@ def run_warehouse(spark: SparkSession, landing: str, out_root: str,
                          ("fact_compensation", s.fact_compensation)):
             res.tables[name] = append_new_periods(df, f"{out_root}/silver/{name}")
         s = Silver(s.dims, None, None, None, s.movements, s.quality_log)
-    silver_tables.update(fact_workforce_movements=s.movements, data_quality_log=s.quality_log)
+    log = s.quality_log
+    resolutions = f"{out_root}/silver/dq_resolutions"
+    from tidemark.sources.tables import table_exists
+    if table_exists(spark, resolutions):
+        log = dq.resolve(log, spark.read.parquet(resolutions), on=RESOLUTION_KEYS)
+    silver_tables.update(fact_workforce_movements=s.movements, data_quality_log=log)
     if not incremental:
         silver_tables.update(fact_headcount=s.fact_headcount, fact_payroll=s.fact_payroll,
                              fact_compensation=s.fact_compensation)
