@@ -159,4 +159,4 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that overlap no benchmark item, all columns kept.
     Rows without doc_id are kept."""
-    return docs.join(overlaps(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(overlaps(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(*(f"`{c}`" for c in docs.columns))

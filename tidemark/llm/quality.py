@@ -109,25 +109,37 @@ def fails(rule: Rule) -> Column:
     return broken & (F.col("n_words") >= rule.from_words)
 
 
+def _counts(text: Column) -> Column:
+    """All measures of a text as one struct. Words are bound inside, so that a
+    filter pushed below a projection never splits a text once per word."""
+    text = F.coalesce(text, F.lit(""))
+    return _bound(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda words: F.struct(
+        *(c.cast("long").alias(n) for n, c in measures(text, words).items())))
+
+
+def _judged(counted: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    base = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
+    broken = F.concat_ws(",", *(F.when(fails(r), F.lit(r.name)) for r in rules))
+    return counted.withColumns({"base_failed": base, "failed": broken}).withColumn(
+        "kept", ~F.col("base_failed") & (F.col("failed") == ""))
+
+
 def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """All columns' verdicts by document: the counts, ``base_failed``,
-    ``kept`` and ``failed`` (names of the broken rules, comma-joined, in table
-    order). ``docs`` needs doc_id and text.
+    """Every document's counts, ``base_failed``, ``kept`` and ``failed`` (names
+    of the broken rules, comma-joined, in table order). ``docs`` needs doc_id
+    and text.
 
     A null text counts as empty: no words, so it fails the base. A null doc_id
     stays; repeated rows are judged each; other columns are not read; an empty
     table gives no rows.
     """
-    # Words are bound inside the expression, so that a filter that Spark pushes
-    # below the projection never splits a text anew for each of its words.
-    text = F.coalesce(F.col("text"), F.lit(""))
-    counts = _bound(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda words: F.struct(
-        *(c.cast("long").alias(n) for n, c in measures(text, words).items())))
-    counted = docs.select("doc_id", counts.alias("c")).select("doc_id", "c.*")
-    base = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    broken = F.concat_ws(",", *(F.when(fails(r), F.lit(r.name)) for r in rules))
-    return counted.withColumns({"base_failed": base, "failed": broken}).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("failed") == ""))
+    return _judged(docs.select("doc_id", _counts(F.col("text")).alias("c")).select("doc_id", "c.*"), rules)
+
+
+def kept_rows(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, all columns as they are."""
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), _counts(F.col("text")).alias("c"))
+    return _judged(whole.select("row", "c.*"), rules).where("kept").select("row.*")
 
 
 def _sql_rules() -> str:

@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, decontaminate, html, license_scan, packing, pii, quality, substring_dedup, token_count
+from tidemark.llm import chat, decontaminate, html, license_scan, ngram_join, packing, pii, quality, substring_dedup, token_count
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -70,6 +70,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@_query("op7_ngram_jaccard")
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of linked documents that every document belongs to."""
+    return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 @_query("op8_substring_dedup")
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated 13-word windows."""
