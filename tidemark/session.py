@@ -7,7 +7,7 @@ splitting) and resolves the folder used to cut lineage.
 
 from __future__ import annotations
 
-import os
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -65,7 +65,7 @@ def cluster_conf(input_bytes: int, total_cores: int,
     """
     parts = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
     return {
-        "spark.sql.shuffle.partitions": str(min(parts, 200_000)),
+        "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 ** 3),
@@ -78,22 +78,19 @@ def cluster_conf(input_bytes: int, total_cores: int,
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be a shared file system the cluster names; we
-    only invent one (under the system temp folder) when the session has
-    none, which is the case in local tests.
+    On a cluster it must be set, as no folder of one machine can stand in for
+    it; without it this raises. Only a local session, which has one machine,
+    gets a folder of its own under the system's temp folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext  # absent in Spark Connect sessions
-    except Exception:  # noqa: BLE001
-        sc = None
-    if not root and sc is not None:
-        root = sc.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        import tempfile
-        root = os.path.join(tempfile.gettempdir(), "tidemark-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if sc is not None and sc._jsc.sc().getCheckpointDir().isEmpty():
+        root = getattr(sc, "_tidemark_scratch", None)
+    if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = sc._tidemark_scratch = tempfile.mkdtemp(prefix="tidemark-")
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
