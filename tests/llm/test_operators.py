@@ -1,0 +1,332 @@
+"""Operators against plain versions, and their defined results on odd rows."""
+
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+import brute  # noqa: E402
+
+from tidemark.llm import (  # noqa: E402
+    chat, decontaminate, html, license_scan, ngram_join, packing, pii, quality, substring_dedup, token_count,
+)
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
+BASE = " ".join(f"w{i}" for i in range(80))
+NEAR = BASE.replace("w40", "x40")
+SHARED = " ".join(f"s{i}" for i in range(20))
+
+# doc_id, text, and a column whose name operators use themselves.
+DOCS = [
+    (5, BASE, "a"), (3, BASE, "b"), (9, NEAR, "c"), (11, f"one two {SHARED} three", "d"), (4, f"{SHARED} four five", "e"),
+    (6, None, "f"), (7, "", "g"), (8, " \t\n ", "h"), (None, BASE, "i"), (12, "short", "j"), (13, "SHORT", "k"), (14, "two words", "l"),
+    (20, "long " * 30_000, "m"), (21, "ä b\x0bc\x0cd  e " * 20, "n"), (5, BASE, "a"), (22, "tail " + BASE, "o"),
+    (23, "MIT License and the Apache license, under the General Public License. mit license", "p"),
+    (24, "mail me at a.b@c.de or x@y or +1 (374) 555-9996 card 4111 1111 1111 1111 ip 10.0.0.256 10.0.0.255.1", "q"),
+    (25, 'say token = "11acdfb36bb72224148e6160f674b4be45601bff" end', "r"), (26, "<|endoftext|> Été <|startoftext|>ΑΣ \U0001f600 漢字", "s"),
+]
+SCHEMA = "doc_id long, text string, row string"
+EMPTY: list = []
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(DOCS, SCHEMA).repartition(3).withColumn("kept", F.lit(1)).withColumn("h", F.lit("x")).cache()
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame(EMPTY, SCHEMA)
+
+
+def pairs(rows=None):
+    return [(d, t) for d, t, _ in (DOCS if rows is None else rows)]
+
+
+def same(got, want):
+    order = lambda rows: sorted(map(repr, rows))
+    assert order(map(tuple, got)) == order(want)
+
+
+def test_quality_counts(docs, none):
+    got = quality.quality(docs).select("doc_id", "n_words", "n_repeat_words", "n_dup_lines", "base_failed").collect()
+    want = []
+    for d, t in pairs():
+        w = brute.WORD.findall(t or "")
+        lines = [x for x in (t or "").split("\n") if brute.WORD.search(x)]
+        n = brute.repeated_words(t or "")
+        want.append((d, len(w), n, len(lines) - len(set(lines)), len(w) < 10 or 100 * n > 20 * len(w)))
+    same(got, want)
+    assert quality.quality(none).count() == 0
+
+
+def test_quality_filters_are_cheap_and_keep_columns(docs):
+    kept = quality.kept_rows(docs)
+    assert kept.columns == docs.columns
+    assert kept.count() == quality.quality(docs).where("kept").count()
+
+
+PAGES = [
+    (1, "<html><head><title>T</title></head><body><nav>menu</nav><header>site</header><article><header><h1>H &amp; x</h1></header>"
+        "<p>One <b>two\n  three</b><p>Four<br>five<aside>side</aside><div class='comments'>c</div></article><footer>f</footer>",
+     "H & x\nOne two three\nFour five"),
+    (2, None, ""), (3, "", ""), (4, "<nav>only a menu</nav>", ""),
+    (5, "<body><div class=sidebar>links</div><div><p>A long enough paragraph of text here.</p><p>B.</p><p>And another long one follows it.</p></div>",
+     "A long enough paragraph of text here.\nB.\nAnd another long one follows it."),
+    (6, "<article><p>cut &am", "cut &am"), (7, "<article><p>cut <a hre", "cut"), (8, "<article><script>var x='<p>no</p>'</script><p>yes", "yes"),
+    (9, "<main><p>a</p><form>f<input>g</form><p>b</p></main>", "a\nb"), (10, "plain text only", "plain text only"),
+]
+
+
+def test_html(spark):
+    df = spark.createDataFrame([(p, h, p) for p, h, _ in PAGES], "page_id long, html string, text long").withColumn("url", F.lit(None).cast("string"))
+    got = {r.page_id: (r.text, r.n_chars) for r in html.extract(df).collect()}
+    assert got == {p: (t, len(t)) for p, _, t in PAGES}
+    assert html.extract(df.where("false")).count() == 0
+
+
+def test_packing_round_trip(docs, none):
+    import zlib
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    rows = packing.pack(docs, path, with_ids=True).collect()
+    want = sorted(((d, library.encode(t or "", add_special_tokens=False).ids + [0]) for d, t in pairs()), key=repr)
+    by, sequences = {}, {}
+    for r in rows:
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes()) and len(r.ids) == r.length
+        by.setdefault((r.doc_id, r.doc_tokens), []).append((r.start, list(r.ids)))
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for (d, n), pieces in by.items():
+        copies = [ids for e, ids in want if e == d and len(ids) == n]
+        at = {}
+        for start, ids in pieces:
+            at.setdefault(start, []).append(ids)
+        assert all(len(v) == len(copies) for v in at.values())
+        assert sum((v[0] for _, v in sorted(at.items())), []) == copies[0]
+    for parts in sequences.values():
+        place = 0
+        for offset, length in sorted(parts):
+            assert offset == place
+            place += length
+        assert place <= 1024
+    assert packing.pack(none, path).count() == 0
+
+
+def test_packing_pads_little(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words, "), (F.col("id") * 7 % 500).cast("int")).alias("text")).coalesce(1)
+    used = [r[1] for r in packing.pack(docs, path).groupBy("sequence_id").agg(F.sum("length")).collect()]
+    padded = sum(0 if n & (n - 1) == 0 else 1024 - n for n in used)
+    assert padded < 0.02 * sum(used)
+
+
+def test_token_counts(docs, none):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    got = token_count.count_tokens(docs, path, chunk_chars=1000).collect()
+    want = []
+    for d, t in pairs():
+        n = len(library.encode(t or "", add_special_tokens=False).ids)
+        want.append((d, len((t or "").encode()), n, n > 2048))
+    same(got, want)
+    assert token_count.count_tokens(none, path).count() == 0
+
+
+def test_transducer_is_the_library():
+    hypothesis = pytest.importorskip("hypothesis")
+    st = hypothesis.strategies
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, machine = Tokenizer.from_file(path), token_count.transducer(path)
+    letters = st.text(alphabet="abcdefghijklmnopqrstuvwxyzABCÄÖÜéßñ0123456789 \n\t'.,!?<|>&-", max_size=60)
+    parts = st.lists(st.one_of(letters, st.sampled_from(["<|endoftext|>", "'s", "the", "ing"])), max_size=6)
+
+    @hypothesis.settings(max_examples=300, deadline=None)
+    @hypothesis.given(parts, st.integers(1, 20))
+    def check(texts, chunk):
+        text = "".join(texts)
+        assert machine.count(text) == machine.count(text, chunk) == len(library.encode(text, add_special_tokens=False).ids)
+
+    check()
+
+
+def test_substring_dedup(docs, none):
+    got = substring_dedup.dedup_substrings(docs, bucket_bytes=4000, flush_bytes=500)
+    same(got.select("doc_id", "n_words", "n_removed", "kept_sha256").collect(), brute.substring_dedup(pairs()))
+    assert substring_dedup.dedup_substrings(none).count() == 0
+
+
+def test_substring_dedup_hot_passage(spark):
+    rows = [(i, f"{'a%d ' % i * 3}{SHARED} {'b%d ' % (i % 7) * 15}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = substring_dedup.dedup_substrings(docs, bucket_bytes=5000, flush_bytes=3000)
+    same(got.select("doc_id", "n_words", "n_removed", "kept_sha256").collect(), brute.substring_dedup(rows))
+
+
+def near_rows():
+    """Chains and groups of near copies, with edits spread over the text."""
+    rows = []
+    for g in range(6):
+        words = [f"g{g}w{i}" for i in range(120)]
+        for k in range(12):
+            w = list(words)
+            for e in range(k):
+                w[(e * 37 + 5 * g) % 120] = f"g{g}e{e}"
+            rows.append((100 * g + k, " ".join(w)))
+    return rows
+
+
+def test_jaccard_components(spark, docs, none):
+    rows = near_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    same(ngram_join.jaccard_components(df, bucket_bytes=20_000, flush_bytes=8_000).collect(), brute.jaccard_classes(rows))
+    named = [(d, t) for d, t in pairs() if d is not None]
+    got = [r for r in ngram_join.jaccard_components(docs).collect() if r.doc_id is not None]
+    same(got, brute.jaccard_classes(named))
+    assert ngram_join.jaccard_components(none).count() == 0
+
+
+def test_one_of_each_keeps_the_smallest(docs):
+    left = ngram_join.one_of_each(docs)
+    assert left.columns == docs.columns
+    ids = [r.doc_id for r in left.collect()]
+    assert 3 in ids and 5 not in ids and None in ids
+
+
+def test_prefix_tree_bounds():
+    import numpy as np
+
+    tree = ngram_join.PrefixTree(np.zeros(0, np.uint64))
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 40)).astype(np.uint64)) for _ in range(200)]
+    for i, s in enumerate(sets):
+        tree.add(s, i, len(s))
+    for percent in (50, 80, 90):
+        for probe in sets[:30]:
+            want = {i for i, s in enumerate(sets) if 100 * len(np.intersect1d(s, probe)) >= percent * len(np.union1d(s, probe))}
+            assert set(tree.linked(probe, percent)) == want
+
+
+ITEMS = [(1, " ".join(f"q{i}" for i in range(30))), (2, "six words are in this one"), (3, "too short"), (4, None), (None, BASE),
+         (5, " ".join(f"Z{i}" for i in range(13))), (5, " ".join(f"Z{i}" for i in range(13)))]
+
+
+def test_decontamination(spark, docs, none):
+    words = [f"q{i}" for i in range(30)]
+    rows = pairs() + [(50, "x " + " ".join(words[3:20])), (51, " ".join(w if i % 6 else "r" for i, w in enumerate(words))),
+                      (52, " ".join(w if i % 3 else "r" for i, w in enumerate(words))), (53, "SIX words are in this one!"),
+                      (54, "so six WORDS are in this one is"), (55, " ".join(f"z{i}" if i not in (0, 12) else "r" for i in range(13)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("seed", F.lit(1)).repartition(3)
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    got = {tuple(r) for r in decontaminate.overlaps(df, bench).collect()}
+    assert got == brute.overlaps(rows, ITEMS, decontaminate.allowed)
+    assert {50, 51, 54, 55} == {d for d, _ in got}
+    left = decontaminate.decontaminated(df, bench)
+    assert left.columns == df.columns and left.count() == len(rows) - 4
+    assert decontaminate.overlaps(none, bench).count() == 0
+    assert decontaminate.overlaps(df, bench.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("window", range(5, 14))
+def test_masks_lose_no_substitution(window):
+    from itertools import combinations
+
+    kept = [set(m) for m in decontaminate.masks(window)]
+    for replaced in combinations(range(window), decontaminate.allowed(window)):
+        assert any(not m & set(replaced) for m in kept)
+
+
+TURNS = [(1, 0, "system", "be\\ni<ce <|im_end|>\n"), (1, 1, "user", None), (1, 2, "assistant", "a\\|b<|"), (1, 3, "user", "more"),
+         (2, 1, "assistant", "second"), (2, 0, "user", "first"), (2, 1, "assistant", "second"), (3, 0, "user", "no reply"),
+         (None, 0, "assistant", "unnamed"), (4, None, None, "x"), (4, 0, "ro\nle", "y"), (4, 1, "assistant", "")]
+
+
+def test_chat(spark):
+    df = spark.createDataFrame(TURNS, "conv_id long, turn long, role string, text string").withColumn("example", F.lit(0)).repartition(4)
+    examples = chat.format_examples(df)
+    got = [tuple(r)[:5] for r in chat.digest_examples(examples).collect()]
+    same(got, brute.conversations(TURNS))
+    for r in examples.collect():
+        turns = chat.read_turns(r.text)
+        if r.loss_end > r.loss_start:
+            assert turns[-1] == ("assistant", chat.unescape(r.text[r.loss_start:r.loss_end]))
+    assert chat.digest_examples(chat.format_examples(df.where("false"))).count() == 0
+
+
+def test_licenses(spark, docs, none):
+    notice = license_scan.TEMPLATES["mit"].upper().replace(" ", ", ", 4)
+    words = license_scan.TEMPLATES["bsd"].split()
+    rows = pairs() + [(60, f"x {notice} y"), (61, " ".join(words[:12] + ["extra"] + words[12:])), (62, " ".join(words[:8]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("label", F.lit(1)).repartition(3)
+    got = {r.doc_id: r for r in license_scan.scan_licenses(df).collect() if r.doc_id is not None}
+    assert (got[23].n_base, got[23].first_word, got[23].last_word, got[23].base_labels) == (4, 0, 11, "apache,gpl,mit")
+    assert got[60].labels == "mit" and got[60].n_base == 0 and 0.9 < got[60].score <= 1
+    assert got[61].labels == "bsd" and got[62].labels == "" and 0 < got[62].score < 0.5
+    assert got[6].n_words == 0 and got[6].first_word is None and got[6].score == 0
+    assert license_scan.scan_licenses(df).count() == len(rows)
+    assert license_scan.scan_licenses(none).count() == 0
+
+
+def test_pii_base(docs, none):
+    got = [tuple(r)[:6] for r in pii.report(docs, pii.Model()).collect()]
+    same(got, [brute.pii_row(*d) for d in pairs()])
+    assert pii.report(none).count() == 0
+
+
+def test_pii_patterns_match_the_plain_ones(spark):
+    hypothesis = pytest.importorskip("hypothesis")
+    import random
+
+    rng = random.Random(5)
+    pieces = ["a", "b.c", "@", ".", "-", "_", "+", " ", "  ", "1", "25", "256", "0", "(", ")", "é", "4111111111111111", "d-e", "\n", "%"]
+    rows = [(i, "".join(rng.choice(pieces) for _ in range(rng.randint(0, 40)))) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    same([tuple(r)[:6] for r in pii.report(df, pii.Model()).collect()], [brute.pii_row(*d) for d in rows])
+    assert hypothesis
+
+
+def key_rows(n=300):
+    import random
+
+    rng = random.Random(9)
+    rows = []
+    for i in range(n):
+        value = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+        rows.append((i, f'some words here token = "{value}" and more' if i % 3 == 0 else f"plain words number{i} only and ordinary-looking-words{i}"))
+    return rows
+
+
+def test_pii_learns_keys_and_leaves_plain_text(spark):
+    rows = key_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.report(df).collect()}
+    found = [d for d, s in got.items() if "secret:" in s]
+    assert sorted(found) == [d for d, t in rows if "token" in t]
+    clean = pii.redacted(df.withColumn("row", F.lit(1)))
+    assert clean.columns == ["doc_id", "text", "row"]
+    texts = {r.doc_id: r.text for r in clean.collect()}
+    assert texts[0] == 'some words here token = "[SECRET]" and more' and texts[1] == dict(rows)[1]
+
+
+def test_pii_plan_is_native(spark):
+    docs = spark.range(3).select(F.col("id").alias("doc_id"), F.lit("a@b.c").alias("text"))
+    plan = pii.report(docs, pii.Model())._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_redaction_joins_overlaps(docs):
+    got = {r.row: r.text for r in pii.redacted(docs.select("doc_id", "text", "row"), pii.Model()).collect()}
+    assert got["q"] == "mail me at [EMAIL] or x@y or [PHONE] card [CARD] ip 10.0.0.256 [IP].1"
+    assert got["f"] is None and got["a"] == BASE
