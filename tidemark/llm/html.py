@@ -7,7 +7,7 @@ which are never article text: menus, footers, sidebars, notices, adverts,
 forms, comments, scripts.
 
 The ratio of characters to tags of the blocks, in page order, is smoothed by a
-Gaussian kernel and split at a threshold, the smoothed mean. Runs of blocks
+Gaussian kernel and split at a threshold, half the smoothed mean. Runs of blocks
 above it are the content clusters. A cluster selects a region: the section
 (``article``, ``main``) around it if there is one, else the run itself with the
 short blocks between its ends. Inside a region nothing but marked parts is
@@ -149,7 +149,7 @@ def main_text(html: str, sigma: float = 1.0) -> str:
     if not kept:
         return ""
     ratio = smoothed(np.array([len(t) / n for t, n, _, _ in blocks]), sigma)
-    high = ratio >= ratio[kept].mean()
+    high = ratio >= ratio[kept].mean() / 2
     clusters = [i for i in kept if high[i]] or [max(kept, key=lambda i: ratio[i])]
     sections = {blocks[i][2] for i in clusters} - {0}
     if not sections:
