@@ -86,7 +86,7 @@ def test_run_warehouse(spark, tmp_path):
     # payroll: E99 is unknown, E2's second row has no number -> kept rows are valid
     pay = t["fact_payroll"]
     assert pay.where("employee_id = 'E99'").count() == 0
-    assert dict(pay.dtypes)["gross_pay"] == "bigint"
+    assert dict(pay.dtypes)["gross_pay"] == "decimal(18,2)"
     comp = t["fact_compensation"]
     assert comp.where("compensation_category = 'BASE'").count() == 10
     bands = t["compensation_bands"].collect()
@@ -146,35 +146,134 @@ def test_chain_options(spark, tmp_path):
     assert spark.read.parquet(again.tables["dim_date"]).count() == d1 == 4748
 
 
-def test_restatement(spark, tmp_path):
-    """Corrected files for one employee and period range replace its
-    rows in a new bronze version; the audit row records the counts."""
-    from tidemark.plans.hr import restate_bronze, silver
-    from tidemark.sources.rules import RuleSet
+def e_rows(spark, res, employee):
+    return [(r["department_id"], r["__START_AT"], r["__END_AT"]) for r in spark.read.parquet(
+        res.tables["dim_employees"]).where(f"employee_id = '{employee}'").orderBy("__START_AT").collect()]
+
+
+@pytest.mark.parametrize("incremental", [False, True])
+def test_restatement(spark, tmp_path, incremental):
+    """R1/R2 end to end: corrected files for one employee and period range take
+    the place of their rows, and the next run shows it in every table."""
+    from tidemark.plans.hr import restate_bronze
     base = str(tmp_path / "landing")
     landing(base)
     out = str(tmp_path / "wh")
-    res = run_warehouse(spark, base, out, gate=False)
+    res = run_warehouse(spark, base, out, gate=False, incremental=incremental)
     fixes = str(tmp_path / "restatements")
     put(fixes, "2025-02", "employees", [{"employee_id": "E5", "hire_date": "2024-01-15",
                                          "department_id": "D2", "role_id": "R2"}], name="fix-1.json")
     put(fixes, "2025-01", "employees", [{"employee_id": "E6", "hire_date": "2024-01-15",
                                          "department_id": "D2", "role_id": "R2"}], name="fix-2.json")
-    path, audit = restate_bronze(spark, res.tables["bronze_employees"], fixes, "employees", "E5",
-                                 "2025-2", "2025-02", "steward", out)
+    args = (spark, res.tables["bronze_employees"], fixes, "employees")
+    path, audit = restate_bronze(*args, "E5", "2025-2", "2025-02", "steward", out)
     assert audit["rows_added"] == 1 and audit["rows_removed"] == 1
     assert (audit["start_period"], audit["end_period"]) == ("2025-02", "2025-02")
-    bronze = {e: spark.read.parquet(p) for e, p in res.tables.items() if e.startswith("bronze_")}
-    bronze = {e[len("bronze_"):]: df for e, df in bronze.items()}
-    bronze["employees"] = spark.read.parquet(path)
-    s = silver(bronze, RuleSet.load(spark, __import__("tidemark.plans.hr", fromlist=["x"]).RULES_PATH))
-    e5 = [(r["department_id"], r["__START_AT"], r["__END_AT"])
-          for r in s.dims["employees"].where("employee_id = 'E5'").orderBy("__START_AT").collect()]
-    assert e5 == [("D1", "2025-01", "2025-02"), ("D2", "2025-02", "2025-03"), ("D1", "2025-03", None)]
+    again = run_warehouse(spark, base, out, gate=False, incremental=incremental)
+    assert e_rows(spark, again, "E5") == [("D1", "2025-01", "2025-02"), ("D2", "2025-02", "2025-03"),
+                                          ("D1", "2025-03", None)]
+    head = spark.read.parquet(again.tables["fact_headcount"])
+    assert head.where("employee_id = 'E5' AND period = '2025-02'").first()["department_id"] == "D2"
+    assert head.where("employee_id = 'E6' AND period = '2025-01'").first()["department_id"] == "D1"
+    # a second restatement, without corrected rows, removes the employee
+    _, audit = restate_bronze(*args, "E7", "2025-01", "2025-03", "steward", out)
+    assert (audit["rows_added"], audit["rows_removed"]) == (0, 3)
+    gone = run_warehouse(spark, base, out, gate=False, incremental=incremental)
+    assert e_rows(spark, gone, "E7") == [] and len(e_rows(spark, gone, "E5")) == 3
+    assert spark.read.parquet(gone.tables["fact_payroll"]).where("employee_id = 'E7'").count() == 0
     log = spark.read.parquet(f"{out}/silver/restatement_audit_log")
-    assert log.count() == 1
-    with pytest.raises(ValueError):
-        restate_bronze(spark, path, fixes, "employees", "", "2025-01", "2025-02", "x", out)
+    assert log.count() == 2
+    for bad in (("", "2025-01", "2025-02"), ("E5", "2025-03", "2025-02")):
+        with pytest.raises(ValueError):
+            restate_bronze(*args, *bad, "x", out)
+    assert log.count() == 2
+
+
+COMPARED = ("headcount_monthly", "fact_workforce_movements", "workforce_movements", "attrition_summary",
+            "fact_headcount", "fact_payroll", "fact_compensation", "compensation_bands", "tenure_bands")
+
+
+def assert_same_tables(spark, inc, rep):
+    order = lambda t: tuple("" if x is None else str(x) for x in t)
+    for t in COMPARED + tuple(f"dim_{e}" for e in ("employees", "departments", "job_roles", "contracts")):
+        a, b = spark.read.parquet(inc.tables[t]), spark.read.parquet(rep.tables[t])
+        cols = [c for c in sorted(a.columns) if c not in ("_ingested_at", "_source_file_name")]
+        assert sorted(map(tuple, a.select(cols).collect()), key=order) == \
+            sorted(map(tuple, b.select(cols).collect()), key=order), t
+
+
+def test_incremental_equals_full_for_late_split_and_corrected_files(spark, tmp_path):
+    """Files in a random order over several runs: late periods, periods in parts,
+    corrections, employees that become known after their payroll."""
+    import random
+    import shutil
+    base, now = str(tmp_path / "all"), 1_700_000_000
+    landing(base)
+    put(base, "2025-01", "employees", [{"employee_id": "E1", "hire_date": "2024-01-15", "department_id": "D2",
+                                        "role_id": "R2"}], name="fix.json")
+    put(base, "2025-01", "payroll_events", [
+        {"employee_id": "E1", "period": "2025-01", "gross_pay": "9999.25", "net_pay": "5000"},
+        {"employee_id": "E1", "period": "2025-01", "gross_pay": "100", "net_pay": "50.5"}], name="fix.json")
+    put(base, "2025-02", "employees", [{"employee_id": "E99", "hire_date": "2025-02-01", "department_id": "D1",
+                                        "role_id": "R1"}], name="more.json")
+    put(base, "2025-03", "compensation", [{"employee_id": "E2", "salary": "n/a"}], name="bad.json")
+    files = sorted(str(p.relative_to(base)) for p in tmp_path.joinpath("all").rglob("*.json"))
+    for i, f in enumerate(sorted(files, key=lambda f: ("part-0" not in f, f))):
+        os.utime(f"{base}/{f}", (now + i, now + i))
+    full = run_warehouse(spark, base, str(tmp_path / "wh_full"), gate=False)
+    pay = spark.read.parquet(full.tables["fact_payroll"]).where("employee_id = 'E1' AND period = '2025-01'")
+    assert sorted(float(r["gross_pay"]) for r in pay.collect()) == [100.0, 9999.25]
+    assert spark.read.parquet(full.tables["fact_payroll"]).where("employee_id = 'E2'").count() == 3
+    rng = random.Random(4)
+    first = [f for f in files if "2025-02" in f and "part-0" in f]
+    rest = [f for f in files if f not in first]
+    rng.shuffle(rest)
+    parts = [first, rest[:9], rest[9:]]
+    for part in parts:
+        for f in part:
+            os.makedirs(os.path.dirname(f"{tmp_path}/some/{f}"), exist_ok=True)
+            shutil.copy2(f"{base}/{f}", f"{tmp_path}/some/{f}")
+        for ent in ("employees", "departments", "job_roles", "contracts", "compensation", "payroll_events"):
+            put(str(tmp_path / "some"), "2024-12", ent, [], name="none.json")
+        inc = run_warehouse(spark, str(tmp_path / "some"), str(tmp_path / "wh"), gate=False, incremental=True)
+    assert_same_tables(spark, inc, full)
+
+
+def test_period_stopped_by_the_gate_can_be_repaired(spark, tmp_path):
+    """A short March trips the gate and commits nothing; its second part lands,
+    and the incremental run equals the full one."""
+    base, out = str(tmp_path / "landing"), str(tmp_path / "wh")
+    landing(base)
+    with open(f"{base}/2025-03/employees/part-0.json") as f:
+        lines = f.read().splitlines()
+    for p in ("2025-03",):
+        put(base, p, "employees", lines[:3])
+    with pytest.raises(HeadcountAnomaly):
+        run_warehouse(spark, base, out, incremental=True)
+    assert not os.path.exists(f"{out}/silver/fact_headcount")
+    put(base, "2025-03", "employees", lines[3:], name="part-1.json")
+    inc = run_warehouse(spark, base, out, incremental=True)
+    assert inc.gate["headcount"] == 10
+    assert_same_tables(spark, inc, run_warehouse(spark, base, str(tmp_path / "wh_full")))
+
+
+def test_rules_of_every_entity(spark, tmp_path):
+    """Rules on any entity are checked, references by name, a re-sent file once."""
+    from tidemark.sources.rules import RuleSet
+    base = str(tmp_path / "landing")
+    landing(base)
+    for name in ("a.json", "b.json"):       # the same file, sent twice
+        put(base, "2025-01", "departments", [{"department_id": "D9", "cost_centre": "C9"}], name=name)
+    rules = RuleSet.from_dict({"entities": {
+        "departments": [{"field": "name", "rule": "name IS NOT NULL", "severity": "ERROR"}],
+        "contracts": [{"field": "employee_id", "kind": "referential", "ref": "payroll_events",
+                       "ref_key": "employee_id", "severity": "WARNING"}]}})
+    put(base, "2025-02", "contracts", [{"contract_id": "KX", "employee_id": "EX", "contract_type": "TEMP",
+                                        "start_date": "2025-01-01"}], name="x.json")
+    res = run_warehouse(spark, base, str(tmp_path / "wh"), rules=rules, gate=False)
+    log = spark.read.parquet(res.tables["data_quality_log"])
+    assert sorted((r["entity"], r["field"], r["employee_id"]) for r in log.collect()) == [
+        ("contracts", "employee_id", "EX"), ("departments", "name", "D9")]
 
 
 def test_incremental_chain_equals_replay(spark, tmp_path):
@@ -218,7 +317,7 @@ def test_command_line(spark, tmp_path, capsys):
 
 
 def test_resolutions_persist_across_runs(spark, tmp_path):
-    from tidemark.plans.hr import record_resolutions
+    from tidemark.plans.hr import RESOLUTION_KEYS, record_resolutions
     base = str(tmp_path / "landing")
     landing(base)
     out = str(tmp_path / "wh")
@@ -228,7 +327,7 @@ def test_resolutions_persist_across_runs(spark, tmp_path):
     n = picked.count()
     assert n == 3
     record_resolutions(spark, out, picked.select(
-        "_ingested_at", "entity", "field", "employee_id",
+        *RESOLUTION_KEYS,
         F.lit("steward").alias("resolved_by"), F.current_timestamp().alias("resolved_at"),
         F.lit("ACCEPT").alias("resolution_type")))
     second = run_warehouse(spark, base, out, gate=False)

@@ -6,7 +6,6 @@ import pytest
 
 import __spark_entry__ as E
 from tidemark.operators.dedup import latest_per_key
-from tidemark.operators.periods import bounded_broadcast
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -34,11 +33,41 @@ def test_no_query_has_cartesian_or_nested_loop_joins(spark):
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
 
 
-def test_movements_single_scan_branch_no_self_join(spark):
-    p = plan(E.queries()["movements"](spark, SF))
-    # the only join is the (checked) broadcast of the period sequence
-    assert p.count("Join") == 1 and "BroadcastHashJoin" in p
-    assert "SortMergeJoin" not in p
+def jobs_started_by(spark, build):
+    """Jobs that building a DataFrame runs (none: its plan is declared only)."""
+    group = f"build-{build.__name__}"
+    spark.sparkContext.setJobGroup(group, "build")
+    try:
+        build(spark, SF)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_movements_scan_once_and_read_the_periods_off_the_raw_column(spark):
+    from tidemark.plans.history_queries import q_movements, q_part_supplier_history, q_scd2_replay
+    for build, column in ((q_movements, "ts"), (q_scd2_replay, "ts"), (q_part_supplier_history, "l_shipdate")):
+        p = plan(build(spark, SF))
+        # the only join is that of the period sequence
+        assert p.count("Join") == 1 and "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+        # the snapshots, and the raw column of the periods; by key, the distinct
+        # periods, and those few to one task
+        assert p.count("FileScan parquet") == 2
+        assert p.count("Exchange hashpartitioning") <= 3 and p.count("Exchange SinglePartition") == 1
+        assert column in p
+        # reading the table's schema is Spark's own small job; nothing else runs
+        assert jobs_started_by(spark, build) <= 2
+
+
+def test_fold_plan_grows_by_one_join_per_snapshot(spark):
+    from tidemark.operators.scd2 import apply_snapshot, empty_dimension
+    snaps = spark.range(5).selectExpr("id AS k", "'a' AS v")
+    dim = empty_dimension(snaps, ["k"], ["v"])
+    sizes = []
+    for i in range(8):
+        dim = apply_snapshot(dim, snaps, ["k"], ["v"], f"2025-0{i + 1}")
+        sizes.append(dim._jdf.queryExecution().analyzed().collectLeaves().size())
+    assert sizes == [2 + i for i in range(8)]
 
 
 def test_semi_join_stays_semi(spark):
@@ -49,10 +78,3 @@ def test_semi_join_stays_semi(spark):
 def test_scans_read_only_needed_columns(spark):
     p = E.queries()["headcount_gate"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in p
-
-
-def test_broadcast_only_below_the_bound(spark):
-    small = spark.range(10)
-    assert "broadcast" in str(bounded_broadcast(small, 100)._jdf.queryExecution().logical()).lower()
-    big = spark.range(1000)
-    assert bounded_broadcast(big, 100) is big

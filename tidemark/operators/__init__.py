@@ -25,7 +25,7 @@ from tidemark.operators.marts import (
     workforce_movements,
 )
 from tidemark.operators.movements import hires, terminations, transfers
-from tidemark.operators.periods import bounded_broadcast, period_sequence
+from tidemark.operators.periods import period_sequence
 from tidemark.operators.quality import (
     empty_log,
     log_schema,
@@ -52,7 +52,7 @@ __all__ = [
     "with_tenure", "HeadcountAnomaly", "assert_no_anomaly", "headcount_gate",
     "attrition_summary", "compensation_bands", "headcount_monthly", "rolling_attrition",
     "tenure_bands", "workforce_movements", "hires", "terminations", "transfers",
-    "bounded_broadcast", "period_sequence", "empty_log", "log_schema", "quality_log", "resolve",
+    "period_sequence", "empty_log", "log_schema", "quality_log", "resolve",
     "review", "steward_review", "summary", "union_logs", "unresolved", "audit_row",
     "apply_snapshot", "as_of", "current", "empty_dimension", "replay_snapshots",
 ]

@@ -53,6 +53,23 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str |
     return drop_null_keys(out, keys) if drop_nulls else out
 
 
+def rows_of_newest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """All rows of each ``keys`` group that have its greatest ``order_by`` tuple.
+
+    With the file's time and name as the order these are the rows of the newest
+    file that has the key, so a re-sent file replaces the former one and no line
+    of a file is lost. Null keys form groups of their own. The greatest tuple is
+    an aggregate combined map-side; rows meet it in a join, which Spark can
+    split where a key is hot.
+    """
+    newest = df.groupBy(*keys).agg(F.max(F.struct(*order_by)).alias("_newest")).select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], "_newest")
+    same = F.struct(*order_by).eqNullSafe(F.col("_newest"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return df.join(newest, same).select(*df.columns)
+
+
 def latest_per_key_by_path(df: DataFrame, keys: Sequence[str],
                            path_col: str = "_source_file_name",
                            ingested_col: str = "_ingested_at") -> DataFrame:

@@ -49,7 +49,11 @@ def repair_before(df: DataFrame, col: str, floor_col: str) -> DataFrame:
     return df.withColumn(col, F.when(bad, F.lit(None)).otherwise(F.col(col)))
 
 
-def valid_amounts(df: DataFrame, checks: dict[str, str], cast: str = "long") -> DataFrame:
+# Amounts keep their cents: text such as "3000.25" is a good amount.
+AMOUNT = "decimal(18,2)"
+
+
+def valid_amounts(df: DataFrame, checks: dict[str, str], cast: str = AMOUNT) -> DataFrame:
     """Keep rows whose amounts parse and satisfy ``op 0`` (``>=`` or ``>``).
 
     ``checks`` maps column -> ``">="`` or ``">"``; the columns are replaced
@@ -64,7 +68,7 @@ def valid_amounts(df: DataFrame, checks: dict[str, str], cast: str = "long") ->
 
 
 def payroll_fact(payroll: DataFrame, valid_keys: DataFrame, key: str | Sequence[str],
-                 cols: Sequence[str], cast: str = "long",
+                 cols: Sequence[str], cast: str = AMOUNT,
                  checks: dict[str, str] | None = None) -> DataFrame:
     """Rows whose key exists in ``valid_keys`` (semi join) with valid amounts."""
     keys = [key] if isinstance(key, str) else list(key)
@@ -86,7 +90,7 @@ def optional_column(df: DataFrame, name: str, rescued_col: str = "_rescued_data"
 
 
 def compensation_fact(comp: DataFrame, key: str, salary: str, cols: Sequence[str],
-                      optional: Sequence[str] = (), cast: str = "long",
+                      optional: Sequence[str] = (), cast: str = AMOUNT,
                       band_edges: Sequence | None = None) -> DataFrame:
     """D7 + F6: valid salaries, optional late columns, salary band."""
     extra = [optional_column(comp, c).alias(c) for c in optional]

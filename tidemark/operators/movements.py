@@ -1,9 +1,10 @@
 """Hire / transfer / termination events from consecutive snapshots (M1-M4).
 
-One pass: per key, ``lag``/``lead`` over its periods; the global next period
-comes from the (checked, broadcast) period sequence. Each row yields zero to
-two events (an ``explode`` of optional events, kept in generated code), so the three event kinds
-come out of one scan and one shuffle instead of three scans and a self join.
+Per key, ``lag``/``lead`` over its periods; the global next period comes from
+the broadcast period sequence, a distinct over the raw period column. Each row
+yields zero to two events (an ``explode`` of optional events, kept in generated
+code), so the three event kinds come out of one scan of the snapshots, one
+shuffle by key and one scan of the period column.
 
 Semantics (defaults follow the reference):
 
@@ -36,9 +37,12 @@ HIRE, TRANSFER, TERMINATION = "HIRE", "TRANSFER", "TERMINATION"
 
 def movements(snapshots: DataFrame, keys: Sequence[str], period_col: str,
               tracked: Sequence[str], rehire: bool = False, null_safe: bool = False,
-              event_col: str = "event_type", from_prefix: str = "from_") -> DataFrame:
+              event_col: str = "event_type", from_prefix: str = "from_",
+              periods: DataFrame | None = None) -> DataFrame:
+    """``periods``: the raw period column; without it the snapshots are read twice."""
     keys, tracked = list(keys), list(tracked)
-    seq = period_sequence(snapshots, period_col).select(period_col, "_prev", "_next")
+    seq = period_sequence(snapshots if periods is None else periods, period_col).select(
+        period_col, "_prev", "_next")
     s = snapshots.select(*keys, period_col, *tracked).join(seq, period_col)
     w = Window.partitionBy(*keys).orderBy(period_col)
     prev_seen = F.lag(period_col).over(w)

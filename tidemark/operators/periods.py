@@ -1,10 +1,14 @@
 """The ordered sequence of periods present in a snapshot table.
 
 Snapshot operators need, for every period, its position and its neighbours
-among the periods that exist. That table has one row per distinct period, so
-it is tiny next to the data; it is built with a distinct (partial aggregate,
-skew-safe) and an unpartitioned window over those few rows only, and it is
-broadcast only after its row count has been checked.
+among the periods that exist. That table has one row per distinct period: a
+distinct over one column (partial aggregate on the map side, skew-safe) and an
+unpartitioned window over those few rows. It is taken from the raw period
+column where the caller gives it, never from a deduplicated snapshot, and no
+job runs while the plan is built.
+
+A period names a month or a day, so the table has at most 366 rows for each
+year that the data covers; that bound is why it is marked for broadcast.
 """
 
 from __future__ import annotations
@@ -12,27 +16,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Above this many distinct periods the sequence is joined by shuffle instead
-# of being broadcast (one row per period is ~50 bytes, so the bound keeps a
-# broadcast under ~50 MB).
-MAX_BROADCAST_PERIODS = 1_000_000
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_PERIODS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` as is.
-
-    The count is a real check run on the cluster (``limit`` stops it early
-    when the table is large); past the bound Spark plans a shuffle join,
-    which AQE may still split when skewed.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def period_sequence(df: DataFrame, period_col: str, check_size: bool = True) -> DataFrame:
+def period_sequence(df: DataFrame, period_col: str) -> DataFrame:
     """Columns: ``period_col``, ``_idx`` (1-based), ``_prev``, ``_next``."""
     w = Window.orderBy(period_col)
-    seq = (
+    return F.broadcast(
         df.select(period_col).where(F.col(period_col).isNotNull()).distinct()
         .select(
             period_col,
@@ -41,4 +29,3 @@ def period_sequence(df: DataFrame, period_col: str, check_size: bool = True) ->
             F.lead(period_col).over(w).alias("_next"),
         )
     )
-    return bounded_broadcast(seq) if check_size else seq

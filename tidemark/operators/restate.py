@@ -2,8 +2,9 @@
 
 ``restate`` replaces, for every key present in ``corrections``, all of that
 key's rows in the period range by the corrections' rows; everything else is
-kept. It is one anti join (keys + range condition) and a union, so the base
-is never overwritten in place: write the result to a new location.
+kept. Rows outside the range pass through; only those inside meet the keys, in
+one anti join. The base is never overwritten in place: write the result to a
+new location.
 """
 
 from __future__ import annotations
@@ -22,17 +23,22 @@ from tidemark.operators.dedup import latest_per_key
 def restate(base: DataFrame, corrections: DataFrame, keys: Sequence[str], period_col: str,
             start: str, end: str, row_keys: Sequence[str] | None = None,
             ingested_col: str | None = None) -> DataFrame:
+    """Raises ValueError for a range that ends before it starts."""
+    check_range(start, end)
     keys = list(keys)
     in_range = (F.col(period_col) >= start) & (F.col(period_col) <= end)
     new = corrections.where(in_range)
     if row_keys and ingested_col:
         new = latest_per_key(new, row_keys, [ingested_col])
-    scope = new.select(*[F.col(k).alias(f"_s_{k}") for k in keys]).distinct()
-    cond = (base[period_col] >= start) & (base[period_col] <= end)
-    for k in keys:
-        cond = cond & (base[k] == scope[f"_s_{k}"])
-    kept = base.join(scope, cond, "left_anti")
-    return kept.unionByName(new.select(*base.columns))
+    scope = new.select(*keys).distinct()
+    outside = base.where(~F.coalesce(in_range, F.lit(False)))
+    inside = base.where(in_range).join(scope, keys, "left_anti").select(*base.columns)
+    return outside.unionByName(inside).unionByName(new.select(*base.columns))
+
+
+def check_range(start: str, end: str) -> None:
+    if start > end:
+        raise ValueError(f"Parameter validation failed: start_period {start} is after end_period {end}")
 
 
 AUDIT_SCHEMA = T.StructType([T.StructField(n, T.StringType(), True) for n in (

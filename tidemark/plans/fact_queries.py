@@ -16,6 +16,7 @@ from tidemark.plans.source_tables import (
     PART_MONTH_SNAP_SQL,
     USER_DAY_SNAP_SQL,
     part_month_snapshots,
+    part_months,
     table,
     user_day_snapshots,
 )
@@ -73,7 +74,8 @@ def _order_comp(spark, d):
     o = table(spark, d, "orders").select(
         "o_orderkey", "o_custkey",
         F.round("o_totalprice").cast("long").alias("salary"))
-    return compensation_fact(o, "o_custkey", "salary", ["o_orderkey", "o_custkey", "salary"])
+    return compensation_fact(o, "o_custkey", "salary", ["o_orderkey", "o_custkey", "salary"],
+                             cast="long")
 
 
 def q_compensation_banded(spark: SparkSession, d: str) -> DataFrame:
@@ -121,7 +123,8 @@ def q_compensation_bands(spark: SparkSession, d: str) -> DataFrame:
 
 def supplier_moves(spark: SparkSession, d: str) -> DataFrame:
     """M4 over parts: which supplier ships each part, month by month."""
-    return mv.movements(part_month_snapshots(spark, d), ["l_partkey"], "period", ["l_suppkey"])
+    return mv.movements(part_month_snapshots(spark, d), ["l_partkey"], "period", ["l_suppkey"],
+                        periods=part_months(spark, d))
 
 
 def _supplier_dim(spark, d):

@@ -12,8 +12,10 @@ from tidemark.plans.source_tables import (
     PART_MONTH_SNAP_SQL,
     USER_DAY_SNAP_SQL,
     part_month_snapshots,
+    part_months,
     table,
     user_day_snapshots,
+    user_days,
 )
 
 
@@ -24,7 +26,8 @@ def q_latest_per_key(spark: SparkSession, d: str) -> DataFrame:
 
 def q_scd2_replay(spark: SparkSession, d: str) -> DataFrame:
     """D3: full type-2 history of user states over all daily snapshots."""
-    return replay_snapshots(user_day_snapshots(spark, d), ["user_id"], ["state"], "period")
+    return replay_snapshots(user_day_snapshots(spark, d), ["user_id"], ["state"], "period",
+                            periods=user_days(spark, d))
 
 
 def q_scd2_apply(spark: SparkSession, d: str) -> DataFrame:
@@ -35,7 +38,9 @@ def q_scd2_apply(spark: SparkSession, d: str) -> DataFrame:
     # deduplicated snapshot), fetched once and used as a literal.
     ev = table(spark, d, "events").where(F.col("user_id").isNotNull())
     last_day = ev.select(F.max(F.date_format("ts", "yyyy-MM-dd"))).first()[0]
-    before = replay_snapshots(snap.where(F.col("period") < last_day), ["user_id"], ["state"], "period")
+    days = user_days(spark, d).where(F.col("period") < last_day)
+    before = replay_snapshots(snap.where(F.col("period") < last_day), ["user_id"], ["state"], "period",
+                              periods=days)
     latest = snap.where(F.col("period") == last_day)
     return apply_snapshot(before, latest, ["user_id"], ["state"], last_day)
 
@@ -56,7 +61,8 @@ def q_scd2_as_of(spark: SparkSession, d: str) -> DataFrame:
 
 def q_movements(spark: SparkSession, d: str) -> DataFrame:
     """M4: all hire / transfer / termination events in one pass."""
-    return mv.movements(user_day_snapshots(spark, d), ["user_id"], "period", ["state"])
+    return mv.movements(user_day_snapshots(spark, d), ["user_id"], "period", ["state"],
+                        periods=user_days(spark, d))
 
 
 def q_movements_from_history(spark: SparkSession, d: str) -> DataFrame:
@@ -78,7 +84,8 @@ def q_terminations(spark, d):
 
 def q_part_supplier_history(spark: SparkSession, d: str) -> DataFrame:
     """D3 on the largest table: which supplier shipped each part, as type-2 history."""
-    return replay_snapshots(part_month_snapshots(spark, d), ["l_partkey"], ["l_suppkey"], "period")
+    return replay_snapshots(part_month_snapshots(spark, d), ["l_partkey"], ["l_suppkey"], "period",
+                            periods=part_months(spark, d))
 
 
 QUERIES = {

@@ -10,6 +10,7 @@ stops (raises) when the gate flags the latest period.
 from __future__ import annotations
 
 import os
+import time
 import uuid
 from dataclasses import dataclass, field
 
@@ -20,16 +21,17 @@ from tidemark.functions.periods import period_from_path
 from tidemark.operators import marts
 from tidemark.operators import quality as dq
 from tidemark.operators.calendar import dim_date
-from tidemark.operators.dedup import latest_per_key
+from tidemark.operators.dedup import drop_null_keys, latest_per_key, rows_of_newest
 from tidemark.operators.facts import compensation_fact, payroll_fact, repair_before, with_tenure
 from tidemark.operators.gate import assert_no_anomaly, headcount_gate
 from tidemark.operators.movements import movements, movements_from_history
 from tidemark.operators.scd2 import current, replay_snapshots
 from tidemark.functions.periods import normalize_period
-from tidemark.operators.restate import audit_row, restate
-from tidemark.sources.landing import ENTITY_FIELDS, read_landing
+from tidemark.operators.restate import audit_row, check_range
+from tidemark.plans.incremental import latest_version, periods_of, update_dimension
+from tidemark.sources.landing import ENTITY_FIELDS, NEWEST, read_landing
 from tidemark.sources.rules import RuleSet
-from tidemark.sources.tables import append_once, write_new, write_table
+from tidemark.sources.tables import append_once, table_exists, write_table
 from tidemark.streaming.ingest import ingest_to_bronze
 
 # Natural key of each dimension entity.
@@ -44,11 +46,19 @@ RULES_PATH = os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(
     os.path.abspath(__file__)))), "config", "quality_rules.json")
 
 
+# What identifies a row of an entity within a period.
+ROW_KEYS = {**DIM_KEYS, "compensation": ["employee_id"], "payroll_events": ["employee_id", "period"]}
+
+
+def with_period(bronze: DataFrame) -> DataFrame:
+    """The period of each row's landing folder."""
+    return bronze.withColumn("period", period_from_path("_source_file_name"))
+
+
 def snapshots(bronze: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key and period: period from the file path, newest ingest
-    (then newest file name) wins, so a re-sent file does not double rows."""
-    b = bronze.withColumn("period", period_from_path("_source_file_name"))
-    return latest_per_key(b, keys + ["period"], ["_ingested_at", "_source_file_name"])
+    """One row per key and period: period from the file path, the row of the
+    newest file wins, so a re-sent file does not double rows."""
+    return latest_per_key(with_period(bronze), keys + ["period"], NEWEST)
 
 
 def employee_snapshots(bronze_employees: DataFrame) -> DataFrame:
@@ -57,11 +67,24 @@ def employee_snapshots(bronze_employees: DataFrame) -> DataFrame:
                          "hire_date")
 
 
-def dimension(snaps: DataFrame, entity: str) -> DataFrame:
+def entity_snapshots(bronze: DataFrame, entity: str) -> DataFrame:
+    return employee_snapshots(bronze) if entity == "employees" else snapshots(
+        bronze, DIM_KEYS[entity])
+
+
+def tracked_of(entity: str) -> list[str]:
+    return [c for c in ENTITY_FIELDS[entity] if c not in DIM_KEYS[entity]]
+
+
+def periods_with_keys(bronze: DataFrame, keys: list[str]) -> DataFrame:
+    """The raw period column of the rows that have a key."""
+    return with_period(drop_null_keys(bronze, keys)).select("period")
+
+
+def dimension(bronze: DataFrame, entity: str) -> DataFrame:
     """Type-2 dimension of an entity from its per-period snapshots (D3)."""
-    keys = DIM_KEYS[entity]
-    tracked = [c for c in ENTITY_FIELDS[entity] if c not in keys]
-    return replay_snapshots(snaps, keys, tracked, "period")
+    return replay_snapshots(entity_snapshots(bronze, entity), DIM_KEYS[entity], tracked_of(entity),
+                            "period", periods=periods_with_keys(bronze, DIM_KEYS[entity]))
 
 
 def fact_headcount(emp_snaps: DataFrame) -> DataFrame:
@@ -73,42 +96,48 @@ def fact_headcount(emp_snaps: DataFrame) -> DataFrame:
 
 
 def fact_payroll(bronze_payroll: DataFrame, bronze_employees: DataFrame) -> DataFrame:
-    """Payroll of known employees with parseable, non-negative pay."""
-    pay = latest_per_key(bronze_payroll, ["employee_id", "period"], ["_ingested_at",
-                                                                      "_source_file_name"])
-    valid = bronze_employees.where(F.col("employee_id").isNotNull()).select("employee_id")
-    return payroll_fact(pay, valid, "employee_id",
-                        ["employee_id", "period", "gross_pay", "deductions", "net_pay",
-                         "_ingested_at", "_source_file_name"])
+    """Payroll lines of known employees with parseable, non-negative pay.
+
+    Payroll has no natural key, so every valid line is kept; of files that have
+    valid lines of an employee and period, only the newest counts (re-sent)."""
+    valid = payroll_fact(bronze_payroll, bronze_employees.where(F.col("employee_id").isNotNull()),
+                         "employee_id", ["employee_id", "period", "gross_pay", "deductions",
+                                         "net_pay", *NEWEST])
+    return rows_of_newest(valid, ["employee_id", "period"], NEWEST).drop("_file_modified_at")
 
 
 def fact_compensation(bronze_comp: DataFrame) -> DataFrame:
-    """One row per employee and period, valid salary, late column, band."""
-    comp = snapshots(bronze_comp, ["employee_id"])
-    return compensation_fact(comp, "employee_id", "salary",
-                             ["employee_id", "salary", "currency", "effective_date", "period",
-                              "_ingested_at", "_source_file_name"],
-                             optional=["compensation_category"])
+    """Per employee and period the newest row with a valid salary, late
+    column, band."""
+    valid = compensation_fact(with_period(bronze_comp), "employee_id", "salary",
+                              ["employee_id", "salary", "currency", "effective_date", "period", *NEWEST],
+                              optional=["compensation_category"])
+    return latest_per_key(valid, ["employee_id", "period"], NEWEST).drop("_file_modified_at")
 
 
 def quality(bronze: dict[str, DataFrame], headcount: DataFrame, rules: RuleSet) -> DataFrame:
-    """Q2 over the HR entities; the tenure rule runs on the fact with the
-    un-nulled tenure (so a negative tenure is actually seen)."""
-    ids = dict(key="employee_id", period=period_from_path("_source_file_name"),
-               ingested="_ingested_at", source="_source_file_name", key_name="employee_id")
-    emp_rules = [r for r in rules.entity_rules("employees") if r.field != "tenure_days"]
+    """Q2 over every entity that the rules name: the rows of the newest file that
+    has a key in a period (a re-sent file is judged once). Referential rules may
+    name any entity. The tenure rule runs on the fact with the un-nulled tenure
+    (so a negative tenure is actually seen)."""
+    logs = []
+    for ent in rules.entities:
+        if ent not in bronze:
+            continue
+        keys = ROW_KEYS[ent]
+        rows = bronze[ent].withColumn("_landed", period_from_path("_source_file_name"))
+        rows = rows_of_newest(rows, keys + ["_landed"], NEWEST)
+        ids = dict(key="employee_id" if "employee_id" in rows.columns else keys[0], period="_landed",
+                   ingested="_ingested_at", source="_source_file_name", key_name="employee_id")
+        row_rules = [r for r in rules.entity_rules(ent) if (ent, r.field) != ("employees", "tenure_days")]
+        logs.append(dq.quality_log(rows, ent, row_rules, refs=bronze, **ids))
     tenure_rules = [r for r in rules.entity_rules("employees") if r.field == "tenure_days"]
-    logs = [dq.quality_log(bronze["employees"], "employees", emp_rules, **ids)]
     if tenure_rules:
         t = headcount.withColumn("tenure_days", F.col("tenure_days_raw"))
         logs.append(dq.quality_log(t, "employees", tenure_rules, key="employee_id",
                                    period="period", ingested="_ingested_at",
                                    source="_source_file_name", key_name="employee_id"))
-    refs = {"employees": bronze["employees"]}
-    for ent in ("payroll_events", "compensation"):
-        if ent in bronze and rules.entity_rules(ent):
-            logs.append(dq.quality_log(bronze[ent], ent, rules.entity_rules(ent), refs=refs, **ids))
-    return dq.union_logs(logs)
+    return dq.union_logs(logs) if logs else dq.empty_log(headcount.sparkSession, "employee_id")
 
 
 @dataclass
@@ -131,13 +160,10 @@ def silver(bronze: dict[str, DataFrame], rules: RuleSet, rehire: bool = False,
     later snapshots, so absence alone finds few terminations).
     ``dims``: dimensions maintained elsewhere (incrementally); by default
     they are replayed from all bronze history."""
-    emp = employee_snapshots(bronze["employees"])
     dims_given = dims is not None
     if dims is None:
-        dims = {"employees": dimension(emp, "employees")}
-        for ent in ("departments", "job_roles", "contracts"):
-            dims[ent] = dimension(snapshots(bronze[ent], DIM_KEYS[ent]), ent)
-    head = fact_headcount(emp)
+        dims = {ent: dimension(bronze[ent], ent) for ent in DIM_KEYS}
+    head = fact_headcount(employee_snapshots(bronze["employees"]))
     present = head
     if dims_given and not (end_at_termination or rehire):
         # Events follow from the versions of the maintained dimension: work
@@ -152,7 +178,8 @@ def silver(bronze: dict[str, DataFrame], rules: RuleSet, rehire: bool = False,
             "period_date")
         present = head.where(~F.coalesce(ended, F.lit(False)))
     moves = movements(present, ["employee_id"], "period", ["department_id", "role_id"],
-                      rehire=rehire, null_safe=null_safe)
+                      rehire=rehire, null_safe=null_safe,
+                      periods=periods_with_keys(bronze["employees"], ["employee_id"]))
     return Silver(dims, head, fact_payroll(bronze["payroll_events"], bronze["employees"]),
                   fact_compensation(bronze["compensation"]), moves,
                   quality(bronze, head, rules))
@@ -205,12 +232,12 @@ def ingest_all(spark: SparkSession, landing: str, out_root: str,
     return paths
 
 
-RESOLUTION_KEYS = ["_ingested_at", "entity", "field", "employee_id"]
+RESOLUTION_KEYS = ["_ingested_at", "_source_file_name", "entity", "period", "field", "employee_id"]
 
 
 def record_resolutions(spark: SparkSession, out_root: str, resolutions: DataFrame) -> str:
     """V3, persisted: append steward resolutions (the match columns
-    ``_ingested_at, entity, field, employee_id`` plus ``resolved_by``,
+    in ``RESOLUTION_KEYS`` plus ``resolved_by``,
     ``resolved_at``, ``resolution_type``); every later run applies them to
     the quality log it writes. Bronze ingest times never change, so an entry
     keeps its identity from run to run."""
@@ -220,87 +247,206 @@ def record_resolutions(spark: SparkSession, out_root: str, resolutions: DataFram
     return path
 
 
-def append_new_periods(df: DataFrame, path: str, period_col: str = "period") -> str:
-    """Write the periods of ``df`` newer than those already in the table at
-    ``path`` (partitioned by period; only those partitions are written)."""
-    spark = df.sparkSession
-    from tidemark.sources.tables import table_exists
-    if table_exists(spark, path):
-        last = spark.read.parquet(path).agg(F.max(period_col)).first()[0]
-        if last is not None:
-            df = df.where(F.col(period_col) > F.lit(last))
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(period_col).parquet(path))
-    return path
+COMMITS = "{out}/silver/_commits"
+SCOPES = "{out}/bronze/_restatements"
+CORRECTIONS = "{out}/bronze/{entity}_corrections"
+
+
+def restated(spark: SparkSession, base: DataFrame, entity: str, out_root: str,
+             key: str = "employee_id") -> DataFrame:
+    """Bronze rows of an entity with every restatement applied (R1, on read).
+
+    A restatement is a scope (key, period range, time) and the corrected rows.
+    It withdraws the key's rows in the range that came before it, corrections of
+    former restatements too; rows that land later compete by their file's time.
+    Only rows within the restated periods meet the scopes."""
+    path = SCOPES.format(out=out_root)
+    if not table_exists(spark, path):
+        return base
+    scopes = spark.read.parquet(path).where(F.col("entity") == entity)
+    first, last = scopes.agg(F.min("start_period"), F.max("end_period")).first()
+    if first is None:
+        return base
+    rows = base.withColumn("_at", F.unix_micros("_ingested_at"))
+    corrected = CORRECTIONS.format(out=out_root, entity=entity)
+    if table_exists(spark, corrected):
+        rows = rows.unionByName(spark.read.parquet(corrected))
+    p = period_from_path("_source_file_name")
+    within = F.coalesce(p.between(first, last), F.lit(False))
+    scope = scopes.select(F.col("key").alias(key), "start_period", "end_period", F.col("at").alias("_scope_at"))
+    inside = rows.where(within).withColumn("_p", p).alias("r").join(
+        scope.alias("s"), (F.col(f"r.{key}") == F.col(f"s.{key}")) & F.col("_p").between(
+            F.col("start_period"), F.col("end_period")) & (F.col("_scope_at") > F.col("r._at")), "left_anti")
+    return rows.where(~within).unionByName(inside.drop("_p")).drop("_at")
 
 
-def incremental_dimensions(spark: SparkSession, landing: str, out_root: str) -> dict[str, str]:
-    """Fold the newly landed periods into each stored dimension (no replay)."""
-    from tidemark.plans.incremental import maintain_dimension
+@dataclass
+class Pending:
+    """What landed or was restated since the last committed run."""
+
+    ids: list[str]
+    touched: dict[str, list[str]]
+    existing: dict[str, list[str]]
+    payroll_periods: list[str | None]
+
+
+def pending(spark: SparkSession, out_root: str, raw: dict[str, DataFrame],
+            bronze: dict[str, DataFrame]) -> Pending:
+    """The runs not yet committed and the periods they touch, entity by entity.
+
+    A run whose gate failed is not committed, so its rows stay pending."""
+    commits, scopes = COMMITS.format(out=out_root), SCOPES.format(out=out_root)
+    done = spark.read.parquet(commits) if table_exists(spark, commits) else spark.createDataFrame([], "run_id string")
+    open_scopes = []
+    if table_exists(spark, scopes):
+        open_scopes = spark.read.parquet(scopes).join(done, F.col("id") == F.col("run_id"), "left_anti").collect()
+    ids, touched, existing, fresh = {s["id"] for s in open_scopes}, {}, {}, {}
+    for ent, df in raw.items():
+        fresh[ent] = df.join(done.select(F.col("run_id").alias("_pipeline_run_id")), "_pipeline_run_id", "left_anti")
+        got = with_period(fresh[ent]).select("_pipeline_run_id", F.col("period")).distinct().collect()
+        ids |= {r[0] for r in got}
+        existing[ent] = periods_of(periods_with_keys(bronze[ent], DIM_KEYS[ent]) if ent in DIM_KEYS else with_period(bronze[ent]))
+        ranges = [(s["start_period"], s["end_period"]) for s in open_scopes if s["entity"] == ent]
+        before = set(periods_of(with_period(df))) if ranges else set()
+        touched[ent] = sorted({r[1] for r in got if r[1] is not None}
+                              | {p for p in before | set(existing[ent]) for a, b in ranges if a <= p <= b})
+    # Payroll follows its own period column, and who is a known employee.
+    people = fresh["employees"].select("employee_id").distinct()
+    known = raw["employees"].join(done.select(F.col("run_id").alias("_pipeline_run_id")), "_pipeline_run_id", "left_semi")
+    new = people.join(known.select("employee_id").distinct(), "employee_id", "left_anti")
+    named = {s["key"] for s in open_scopes if s["entity"] == "employees"}
+    pay = fresh["payroll_events"].select("period").unionByName(
+        raw["payroll_events"].join(new, "employee_id", "left_semi").select("period")).unionByName(
+        raw["payroll_events"].where(F.col("employee_id").isin(*named)).select("period"))
+    spans = [(s["start_period"], s["end_period"]) for s in open_scopes if s["entity"] == "payroll_events"]
+    for a, b in spans:
+        landed = with_period(raw["payroll_events"].withColumnRenamed("period", "_pay")).where(F.col("period").between(a, b))
+        pay = pay.unionByName(landed.select(F.col("_pay").alias("period")))
+    return Pending(sorted(ids), touched, existing, [r[0] for r in pay.distinct().collect()])
+
+
+def _is_in(period: str, values: list[str | None]):
+    named = [v for v in values if v is not None]
+    hit = F.col(period).isin(*named) if named else F.lit(False)
+    hit = F.coalesce(hit, F.lit(False))
+    return hit | F.col(period).isNull() if None in values else hit
+
+
+def replace_periods(rebuilt: DataFrame, path: str, periods: list[str | None]) -> str:
+    """Put ``rebuilt`` in the place of the stored ``periods``: only those
+    partitions are written; one that has no rows any more becomes empty."""
+    spark = rebuilt.sparkSession
+    left = {r[0] for r in rebuilt.select("period").distinct().collect()}
+    (rebuilt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("period").parquet(path))
+    for p in set(periods) - left - {None}:
+        if table_exists(spark, f"{path}/period={p}"):
+            rebuilt.where("false").drop("period").write.mode("overwrite").parquet(f"{path}/period={p}")
+    return path
 
-    repair = {"employees": lambda s: repair_before(s, "termination_date", "hire_date")}
-    return {ent: maintain_dimension(spark, landing, ent, f"{out_root}/silver/dim_{ent}",
-                                    f"{out_root}/_checkpoints/dim_{ent}", DIM_KEYS[ent],
-                                    prepare=repair.get(ent))
-            for ent in DIM_KEYS}
+
+def incremental_silver(spark: SparkSession, out_root: str, raw: dict[str, DataFrame],
+                       bronze: dict[str, DataFrame], version: str, check) -> dict[str, str]:
+    """Bring dimensions and facts up to date with what is pending.
+
+    Facts of the touched periods are rebuilt into a staging folder; ``check``
+    sees the headcount as it would be and may raise. Only then are partitions
+    replaced, dimensions replayed and the runs marked as committed."""
+    todo = pending(spark, out_root, raw, bronze)
+    emp, comp = todo.touched["employees"], todo.touched["compensation"]
+    period = period_from_path("_source_file_name")
+    rebuilt = {
+        "fact_headcount": (fact_headcount(employee_snapshots(bronze["employees"].where(period.isin(*emp)))), emp),
+        "fact_payroll": (fact_payroll(bronze["payroll_events"].where(_is_in("period", todo.payroll_periods)),
+                                      bronze["employees"]), todo.payroll_periods),
+        "fact_compensation": (fact_compensation(bronze["compensation"].where(period.isin(*comp))), comp),
+    }
+    paths = {name: f"{out_root}/silver/{name}" for name in rebuilt}
+    staged = {}
+    for name, (df, _) in rebuilt.items():
+        write_table(df, f"{out_root}/silver/_staging/{version}/{name}")
+        staged[name] = spark.read.parquet(f"{out_root}/silver/_staging/{version}/{name}")
+    head = staged["fact_headcount"]
+    if table_exists(spark, paths["fact_headcount"]):
+        head = head.unionByName(spark.read.parquet(paths["fact_headcount"]).where(
+            ~_is_in("period", emp)).select(*head.columns))
+    check(head)
+    for name, (_, periods) in rebuilt.items():
+        replace_periods(staged[name], paths[name], periods)
+    for ent in DIM_KEYS:
+        since = min(todo.touched[ent], default=None)
+        rows = bronze[ent] if since is None else bronze[ent].where(period >= since)
+        stored = latest_version(spark, f"{out_root}/silver/dim_{ent}")
+        rows = bronze[ent] if stored is None else rows
+        paths[f"dim_{ent}"] = update_dimension(
+            spark, f"{out_root}/silver/dim_{ent}", entity_snapshots(rows, ent), DIM_KEYS[ent],
+            tracked_of(ent), todo.touched[ent] if stored else todo.existing[ent], todo.existing[ent],
+            periods=periods_with_keys(rows, DIM_KEYS[ent]))
+    if todo.ids:
+        write_table(spark.createDataFrame([(i,) for i in todo.ids], "run_id string"),
+                    COMMITS.format(out=out_root), "append")
+    return paths
 
 
 def run_warehouse(spark: SparkSession, landing: str, out_root: str,
                   rules: RuleSet | None = None, period: str | None = None,
                   gate: bool = True, one_contract_per_employee: bool = False,
                   incremental: bool = False, **silver_options) -> RunResult:
-    """Bronze -> silver -> gate -> gold -> review, in that order.
+    """Bronze -> silver -> gate -> gold -> review, in that order; restatements
+    recorded by ``restate_bronze`` are part of bronze as it is read.
 
-    ``incremental=True`` keeps the type-2 dimensions up to date by folding
-    only newly landed periods into their stored versions instead of
-    replaying all bronze history (see ``plans.incremental``)."""
+    ``incremental=True`` rebuilds only the periods that new files or
+    restatements touch, and commits them after the gate; its tables equal those
+    of a full run over the same landing (see ``incremental_silver``)."""
     rules = rules or RuleSet.load(spark, RULES_PATH)
     res = RunResult()
     bronze_paths = ingest_all(spark, landing, out_root)
-    bronze = {e: spark.read.parquet(p) for e, p in bronze_paths.items()}
+    raw = {e: spark.read.parquet(p) for e, p in bronze_paths.items()}
+    bronze = {e: restated(spark, df, e, out_root) for e, df in raw.items()}
     res.tables.update({f"bronze_{e}": p for e, p in bronze_paths.items()})
-    dim_paths = incremental_dimensions(spark, landing, out_root) if incremental else {}
-    dims = {e: spark.read.parquet(p) for e, p in dim_paths.items()} if incremental else None
-    s = silver(bronze, rules, dims=dims, **silver_options)
     version = uuid.uuid4().hex[:8]
-    silver_tables = {f"dim_{e}": d for e, d in s.dims.items() if e not in dim_paths}
-    res.tables.update({f"dim_{e}": p for e, p in dim_paths.items()})
+
+    def check(headcount: DataFrame) -> None:
+        if gate:
+            at = headcount.select(F.max("period")).first()[0] if period is None else period
+            res.gate = assert_no_anomaly(headcount_gate(
+                headcount, "employee_id", "period", active=F.col("termination_date").isNull(),
+                threshold_pct=float(rules.threshold("headcount_variance_pct"))), at)
+
+    kept: dict[str, str] = {}
+    dims = None
     if incremental:
-        # Facts: only periods newer than those stored are built and written
-        # (the period filter reaches below the dedup aggregate).
-        for name, df in (("fact_headcount", s.fact_headcount), ("fact_payroll", s.fact_payroll),
-                         ("fact_compensation", s.fact_compensation)):
-            res.tables[name] = append_new_periods(df, f"{out_root}/silver/{name}")
-        s = Silver(s.dims, None, None, None, s.movements, s.quality_log)
+        kept = incremental_silver(spark, out_root, raw, bronze, version, check)
+        dims = {e: spark.read.parquet(kept[f"dim_{e}"]) for e in DIM_KEYS}
+        res.tables.update(kept)
+    s = silver(bronze, rules, dims=dims, **silver_options)
     log = s.quality_log
     resolutions = f"{out_root}/silver/dq_resolutions"
-    from tidemark.sources.tables import table_exists
     if table_exists(spark, resolutions):
         log = dq.resolve(log, spark.read.parquet(resolutions), on=RESOLUTION_KEYS)
-    silver_tables.update(fact_workforce_movements=s.movements, data_quality_log=log)
-    if not incremental:
-        silver_tables.update(fact_headcount=s.fact_headcount, fact_payroll=s.fact_payroll,
-                             fact_compensation=s.fact_compensation)
-    # The calendar is appended once and never rewritten.
-    append_once(dim_date(spark), f"{out_root}/silver/dim_date", ["date_id"])
-    res.tables["dim_date"] = f"{out_root}/silver/dim_date"
-    for name, df in silver_tables.items():
-        path = f"{out_root}/silver/{name}/v-{version}"
-        part = ["period"] if name in ("fact_headcount", "fact_payroll") else []
-        write_table(df, path, "overwrite", part)
-        res.tables[name] = path
+    tables = {f"dim_{e}": d for e, d in s.dims.items()} | {
+        "fact_headcount": s.fact_headcount, "fact_payroll": s.fact_payroll,
+        "fact_compensation": s.fact_compensation, "fact_workforce_movements": s.movements,
+        "data_quality_log": log}
+    for name, df in tables.items():
+        if name not in kept:
+            path = f"{out_root}/silver/{name}/v-{version}"
+            part = ["period"] if name in ("fact_headcount", "fact_payroll") else []
+            write_table(df, path, "overwrite", part)
+            res.tables[name] = path
     # Gold and the gate read the written silver tables, not the lineage.
-    rd = {n: spark.read.parquet(p) for n, p in res.tables.items()
-          if not n.startswith("bronze_") and n != "dim_date"}
+    rd = {n: spark.read.parquet(res.tables[n]) for n in tables}
+    # The calendar has its usual years and those of every period; days are
+    # appended once and never rewritten.
+    first, last = rd["fact_headcount"].agg(F.min("period_date"), F.max("period_date")).first()
+    years = dim_date(spark) if first is None else dim_date(
+        spark, min("2018-01-01", f"{first.year:04d}-01-01"), max("2030-12-31", f"{last.year:04d}-12-31"))
+    append_once(years, f"{out_root}/silver/dim_date", ["date_id"])
+    res.tables["dim_date"] = f"{out_root}/silver/dim_date"
     s2 = Silver({e: rd[f"dim_{e}"] for e in s.dims}, rd["fact_headcount"], rd["fact_payroll"],
                 rd["fact_compensation"], rd["fact_workforce_movements"], rd["data_quality_log"])
-    g = headcount_gate(s2.fact_headcount, "employee_id", "period",
-                       active=F.col("termination_date").isNull(),
-                       threshold_pct=float(rules.threshold("headcount_variance_pct")))
-    if period is None:
-        period = s2.fact_headcount.select(F.max("period")).first()[0]
-    if gate:
-        res.gate = assert_no_anomaly(g, period)
+    if not incremental:
+        check(s2.fact_headcount)
     for name, df in gold(s2, one_contract_per_employee).items():
         path = f"{out_root}/gold/{name}/v-{version}"
         write_table(df, path)
@@ -313,26 +459,29 @@ def restate_bronze(spark: SparkSession, bronze_path: str, corrections_landing: s
                    employee_id: str, start_period: str, end_period: str, triggered_by: str,
                    out_root: str, key: str = "employee_id") -> tuple[str, dict]:
     """R1 + R2 on a bronze table: the employee's rows in [start, end] are
-    replaced by the corrected files landed under ``corrections_landing``
-    (same layout as the landing folder; newest ingest wins), the result is
-    written as a new bronze version (the table being read is never
-    overwritten) and an audit row is appended. Returns (new path, audit row).
+    withdrawn, and the corrected files landed under ``corrections_landing`` (same
+    layout as the landing folder; newest file wins) take their place. Without a
+    corrected row for a period the employee is removed from it.
+
+    Nothing is rewritten: the corrected rows and the scope are appended, and
+    ``run_warehouse`` reads bronze with them applied, full or incremental. The
+    audit row comes last. Returns (path of the corrected rows, audit row).
     """
     start_period, end_period = normalize_period(start_period), normalize_period(end_period)
     # validate parameters before any work
     audit_row(spark, employee_id, start_period, end_period, triggered_by)
-    base = spark.read.parquet(bronze_path)
-    with_p = base.withColumn("_period", period_from_path("_source_file_name"))
-    corr = (read_landing(spark, corrections_landing, entity, run_id=f"restate-{uuid.uuid4().hex}")
-            .where(F.col(key) == employee_id)
-            .withColumn("_period", period_from_path("_source_file_name")))
-    new = restate(with_p, corr.select(*with_p.columns), [key], "_period", start_period,
-                  end_period, row_keys=[key, "_period"], ingested_col="_ingested_at")
-    path = write_new(new.drop("_period"), f"{out_root}/bronze/{entity}_restated")
-    before = base.count()
-    after = spark.read.parquet(path)
-    added = after.where(F.col("_pipeline_run_id").startswith("restate-")).count()
-    removed = before - (after.count() - added)
+    check_range(start_period, end_period)
+    name, at = f"restate-{uuid.uuid4().hex}", time.time_ns() // 1000
+    in_scope = (F.col(key) == employee_id) & period_from_path("_source_file_name").between(start_period, end_period)
+    removed = restated(spark, spark.read.parquet(bronze_path), entity, out_root, key).where(in_scope).count()
+    landed = read_landing(spark, corrections_landing, entity, run_id=name).where(in_scope)
+    corrected = rows_of_newest(landed.withColumn("_p", period_from_path("_source_file_name")), [key, "_p"], NEWEST)
+    path = CORRECTIONS.format(out=out_root, entity=entity)
+    write_table(corrected.drop("_p").withColumn("_at", F.lit(at)), path, "append")
+    added = spark.read.parquet(path).where(F.col("_pipeline_run_id") == name).count()
+    scope = spark.createDataFrame([(name, entity, employee_id, start_period, end_period, at)],
+                                  "id string, entity string, key string, start_period string, end_period string, at long")
+    write_table(scope, SCOPES.format(out=out_root), "append")
     audit = audit_row(spark, employee_id, start_period, end_period, triggered_by,
                       rows_removed=removed, rows_added=added)
     write_table(audit, f"{out_root}/silver/restatement_audit_log", "append")

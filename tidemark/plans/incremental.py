@@ -1,17 +1,12 @@
 """Incremental type-2 maintenance as snapshots land.
 
 Replaying every snapshot (D3) is the simple way to build history, but it
-re-reads all history on every run. Here each newly landed period is folded
-into the latest stored version of the dimension with ``apply_snapshot`` —
-work proportional to the current rows plus the new snapshot — and the result
-is written as a new version folder; the version being read is never
-overwritten. A Structured Streaming file source (checkpointed) decides which
-files are new, and ``foreachBatch`` runs the fold once per micro-batch.
-
-Assumptions, as in the source system: a period's snapshot lands completely
-before the trigger runs, and periods arrive in order. Rows for a period that
-is already folded in are not applied again; correct such periods with a
-restatement and a replay.
+re-reads all history on every run. Here a run finds the periods that newly
+landed files touch and replays the stored dimension from the earliest of them
+(``replay_from``): work in proportion to the open rows and the snapshots from
+there on. Files may arrive late, in parts, in any order, or corrected; the
+result equals the replay of everything. It is written as a new version folder;
+the version being read is never overwritten.
 """
 
 from __future__ import annotations
@@ -21,9 +16,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.periods import period_from_path
 from tidemark.operators.dedup import latest_per_key
-from tidemark.operators.scd2 import END, START, apply_snapshot, empty_dimension
-from tidemark.sources.landing import ENTITY_FIELDS
+from tidemark.operators.scd2 import END, START, replay_from, replay_snapshots
+from tidemark.sources.landing import ENTITY_FIELDS, NEWEST, read_landing
 from tidemark.sources.tables import table_exists, write_table
 from tidemark.streaming.ingest import ingest_each_batch, landing_stream
 
@@ -49,32 +45,35 @@ def latest_version(spark: SparkSession, root: str) -> str | None:
     return f"{root.rstrip('/')}/{v[-1]}" if v else None
 
 
-def fold_new_periods(spark: SparkSession, dim_root: str, snapshots: DataFrame,
-                     keys: Sequence[str], tracked: Sequence[str],
-                     period_col: str = "period") -> str | None:
-    """Fold the periods of ``snapshots`` newer than the stored dimension into
-    it and write the next version; returns its path (or the current one)."""
+def periods_of(rows: DataFrame, period_col: str = "period") -> list[str]:
+    """The distinct periods of some rows, in order: one per month or day."""
+    return sorted(r[0] for r in rows.select(period_col).distinct().collect() if r[0] is not None)
+
+
+def update_dimension(spark: SparkSession, dim_root: str, snapshots: DataFrame, keys: Sequence[str],
+                     tracked: Sequence[str], touched: Sequence[str], existing: Sequence[str],
+                     period_col: str = "period", periods: DataFrame | None = None) -> str | None:
+    """Write the next version of the dimension, replayed from the earliest of the
+    ``touched`` periods; returns its path, or the current one if none is touched.
+
+    ``snapshots``: one row per key and period; ``existing``: all periods there
+    are now.
+    """
     keys, tracked = list(keys), list(tracked)
-    cur_path = latest_version(spark, dim_root)
-    if cur_path is None:
-        dim = empty_dimension(snapshots, keys, tracked,
-                              snapshots.schema[period_col].dataType.simpleString())
-        last = None
+    path = latest_version(spark, dim_root)
+    if not touched:
+        return path
+    since = min(touched)
+    if path is None:
+        dim = replay_snapshots(snapshots, keys, tracked, period_col, periods=periods)
     else:
-        dim = spark.read.parquet(cur_path)
-        last = dim.select(F.greatest(F.max(START), F.max(END))).first()[0]
-    new = snapshots if last is None else snapshots.where(F.col(period_col) > F.lit(last))
-    # The distinct new periods of one micro-batch: a handful of values.
-    periods = sorted(r[0] for r in new.select(period_col).distinct().collect()
-                     if r[0] is not None)
-    if not periods:
-        return cur_path
-    for p in periods:
-        dim = apply_snapshot(dim, new.where(F.col(period_col) == p), keys, tracked, p)
-    n = int(cur_path.rsplit("v-", 1)[1]) + 1 if cur_path else 1
-    path = f"{dim_root.rstrip('/')}/v-{n}"
-    write_table(dim.select(*keys, *tracked, START, END), path)
-    return path
+        before = max((p for p in existing if p < since), default=None)
+        dim = replay_from(spark.read.parquet(path), snapshots, keys, tracked, period_col, since,
+                          before, periods=periods)
+    n = int(path.rsplit("v-", 1)[1]) + 1 if path else 1
+    new = f"{dim_root.rstrip('/')}/v-{n}"
+    write_table(dim.select(*keys, *tracked, START, END), new)
+    return new
 
 
 def maintain_dimension(spark: SparkSession, landing: str, entity: str, dim_root: str,
@@ -83,22 +82,22 @@ def maintain_dimension(spark: SparkSession, landing: str, entity: str, dim_root:
                        layout: str = "{base}/*/{entity}/",
                        timeout_s: float | None = None,
                        prepare: Callable[[DataFrame], DataFrame] | None = None) -> str | None:
-    """Stream new landing files of ``entity`` and fold each new period into
-    the dimension stored under ``dim_root``; returns the latest version.
-    ``prepare`` is applied to the per-period snapshot rows before folding
-    (e.g. a field repair)."""
-    from tidemark.functions.periods import period_from_path
-
+    """Stream new landing files of ``entity``; each micro-batch names the periods
+    its files touch, and the dimension under ``dim_root`` is replayed from the
+    earliest one on. Returns the latest version. ``prepare`` is applied to the
+    per-period snapshot rows first (e.g. a field repair)."""
     tracked = [c for c in ENTITY_FIELDS[entity] if c not in keys] if tracked is None else tracked
     stream = landing_stream(spark, landing, entity, layout=layout)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = (batch.where(F.col(keys[0]).isNotNull())
-                .withColumn("period", period_from_path("_source_file_name")))
-        snaps = latest_per_key(rows, list(keys) + ["period"], ["_ingested_at", "_source_file_name"])
+        touched = periods_of(batch.select(period_from_path("_source_file_name").alias("period")))
+        landed = read_landing(spark, landing, entity, layout=layout).where(
+            F.col(keys[0]).isNotNull()).withColumn("period", period_from_path("_source_file_name"))
+        snaps = latest_per_key(landed, list(keys) + ["period"], NEWEST)
         if prepare is not None:
             snaps = prepare(snaps)
-        fold_new_periods(spark, dim_root, snaps, keys, tracked, "period")
+        update_dimension(spark, dim_root, snaps, keys, tracked, touched, periods_of(landed),
+                         periods=landed)
 
     ingest_each_batch(stream, handle, checkpoint, timeout_s)
     return latest_version(spark, dim_root)

@@ -41,6 +41,18 @@ def part_month_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_partkey", "period", "l_suppkey")
 
 
+def user_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw period column of the user snapshots."""
+    e = table(spark, sf_dir, "events").where(F.col("user_id").isNotNull())
+    return e.select(period_of("ts", "yyyy-MM-dd").alias("period"))
+
+
+def part_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw period column of the part snapshots."""
+    li = table(spark, sf_dir, "lineitem").where(F.col("l_partkey").isNotNull())
+    return li.select(period_of("l_shipdate").alias("period"))
+
+
 # Shared SQL (DuckDB) for the same snapshots, used by the oracles.
 USER_DAY_SNAP_SQL = """
 snap AS (

@@ -54,12 +54,24 @@ def parse_with_rescue(text: Column, fields: Sequence[str], rescued: str = RESCUE
     return [F.try_element_at(every, F.lit(f)).alias(f) for f in fields] + [rescue.alias(rescued)]
 
 
-def with_audit(df: DataFrame, run_id: str, path: Column | None = None) -> DataFrame:
-    """Ingest time, source file path, run id (one id per run, not per row)."""
-    path = F.col("_metadata.file_path") if path is None else path
+# What makes a landed row the newer one: its file's time, then the ingest, then
+# the file's name. Files ingested by one run keep the order they were written in.
+NEWEST = ["_file_modified_at", "_ingested_at", "_source_file_name"]
+
+
+def file_columns() -> list[Column]:
+    """Path and time of the file a row is read from."""
+    return [F.col("_metadata.file_path").alias("_path"),
+            F.col("_metadata.file_modification_time").alias("_modified")]
+
+
+def with_audit(df: DataFrame, run_id: str) -> DataFrame:
+    """Ingest time, source file and its time, run id (one per run, not per
+    row), for rows that carry ``file_columns``."""
     return (df.withColumn("_ingested_at", F.current_timestamp())
-            .withColumn("_source_file_name", path)
-            .withColumn("_pipeline_run_id", F.lit(run_id)))
+            .withColumn("_source_file_name", F.col("_path"))
+            .withColumn("_file_modified_at", F.col("_modified"))
+            .withColumn("_pipeline_run_id", F.lit(run_id)).drop("_path", "_modified"))
 
 
 def landing_glob(base: str, entity: str, layout: str = "{base}/*/{entity}/") -> str:
@@ -71,9 +83,8 @@ def read_landing(spark: SparkSession, base: str, entity: str, fields: Sequence[s
     """Batch read of every landed file of an entity into bronze rows."""
     fields = ENTITY_FIELDS[entity] if fields is None else fields
     raw = spark.read.text(landing_glob(base, entity, layout))
-    rows = raw.select(*parse_with_rescue(F.col("value"), fields),
-                      F.col("_metadata.file_path").alias("_path"))
-    return with_audit(rows, run_id, F.col("_path")).drop("_path")
+    rows = raw.select(*parse_with_rescue(F.col("value"), fields), *file_columns())
+    return with_audit(rows, run_id)
 
 
 def export_snapshot(df: DataFrame, base: str, entity: str, period: str) -> str:

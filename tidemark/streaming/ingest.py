@@ -15,7 +15,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.landing import ENTITY_FIELDS, landing_glob, parse_with_rescue, with_audit
+from tidemark.sources.landing import (
+    ENTITY_FIELDS,
+    file_columns,
+    landing_glob,
+    parse_with_rescue,
+    with_audit,
+)
 
 
 def landing_stream(spark: SparkSession, base: str, entity: str,
@@ -24,13 +30,14 @@ def landing_stream(spark: SparkSession, base: str, entity: str,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming bronze rows of one entity."""
     fields = ENTITY_FIELDS[entity] if fields is None else fields
-    reader = spark.readStream.format("text")
+    # The source drops files whose time is a week older than the newest it has
+    # seen; a late file copied with its old time is data like any other.
+    reader = spark.readStream.format("text").option("maxFileAge", "36500d")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.load(landing_glob(base, entity, layout))
-    rows = raw.select(*parse_with_rescue(F.col("value"), fields),
-                      F.col("_metadata.file_path").alias("_path"))
-    return with_audit(rows, run_id or uuid.uuid4().hex, F.col("_path")).drop("_path")
+    rows = raw.select(*parse_with_rescue(F.col("value"), fields), *file_columns())
+    return with_audit(rows, run_id or uuid.uuid4().hex)
 
 
 def ingest_to_bronze(spark: SparkSession, base: str, entity: str, bronze_path: str,
