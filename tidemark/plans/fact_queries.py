@@ -10,7 +10,7 @@ from tidemark.operators import marts
 from tidemark.operators import movements as mv
 from tidemark.operators.calendar import dim_date_covering
 from tidemark.operators.dedup import latest_per_key
-from tidemark.operators.facts import compensation_fact, payroll_fact, with_tenure
+from tidemark.operators.facts import compensation_fact, payroll_fact, repair_before, with_tenure
 from tidemark.operators.gate import headcount_gate
 from tidemark.plans.source_tables import (
     PART_MONTH_SNAP_SQL,
@@ -24,6 +24,10 @@ from tidemark.plans.source_tables import (
 # Fixed value: the gate's threshold for the daily user snapshot, in percent.
 GATE_THRESHOLD_PCT = 2.0
 
+# The order status that ends a customer's employment, and the
+# segment whose termination dates are recorded wrongly.
+LEFT_STATUS, EARLY_SEGMENT = "F", "BUILDING"
+
 
 def q_dim_date(spark: SparkSession, d: str) -> DataFrame:
     """Calendar covering every order date (fiscal year starts in October)."""
@@ -31,24 +35,31 @@ def q_dim_date(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_headcount_fact(spark: SparkSession, d: str) -> DataFrame:
-    """One row per customer and month (its latest order that month), with
-    hire = first order ever, department = the customer's nation, tenure."""
+    """One row per customer and month (its latest order that month), with
+    hire = first order ever, department = the customer's nation, tenure. A
+    customer whose last order has LEFT_STATUS left on its day; those of
+    EARLY_SEGMENT have a day before their hire on record, which is nulled."""
     o = table(spark, d, "orders")
     rows = o.select("o_custkey", period_of("o_orderdate").alias("period"), "o_orderdate",
-                    "o_orderkey", F.col("o_orderpriority").alias("role_id"))
+                    "o_orderkey", "o_orderstatus", F.col("o_orderpriority").alias("role_id"))
     monthly = latest_per_key(rows, ["o_custkey", "period"], ["o_orderdate", "o_orderkey"],
                              also={"_first": F.min("o_orderdate")})
     # One row per customer and month here, so this window's partitions are
     # bounded by the number of months, whatever the skew of the raw orders.
-    hire = F.min("_first").over(Window.partitionBy("o_custkey")).cast("date")
+    by_customer = Window.partitionBy("o_custkey")
+    hire = F.min("_first").over(by_customer).cast("date")
+    last = F.max(F.struct("o_orderdate", "o_orderkey", "o_orderstatus")).over(by_customer)
     # period_date is computed below the window, so filters on tenure pushed
     # down later stop at the window instead of re-deriving it per use.
     monthly = monthly.select("o_custkey", "period", "role_id", hire.alias("hire_date"),
-                             F.lit(None).cast("date").alias("termination_date"),
-                             period_start(F.col("period")).alias("period_date"))
-    cust = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"),
+                             last.alias("_last"), period_start(F.col("period")).alias("period_date"))
+    cust = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment",
                                               F.col("c_nationkey").alias("department_id"))
-    fact = with_tenure(monthly.join(cust, "o_custkey", "left"), "period", F.col("hire_date"))
+    recorded = F.when(F.col("_last.o_orderstatus") == LEFT_STATUS, F.when(
+        F.col("c_mktsegment") == EARLY_SEGMENT, F.date_sub("hire_date", 1)).otherwise(
+        F.col("_last.o_orderdate").cast("date")))
+    joined = monthly.join(cust, "o_custkey", "left").withColumn("termination_date", recorded)
+    fact = with_tenure(repair_before(joined, "termination_date", "hire_date"), "period", F.col("hire_date"))
     return fact.select("o_custkey", "period", "department_id", "role_id", "hire_date",
                        "termination_date", "period_date", "tenure_days_raw", "tenure_days",
                        "tenure_band")
@@ -175,7 +186,7 @@ QUERIES = {
     "headcount_gate": q_headcount_gate,
 }
 
-_FACT_SQL = """
+_FACT_SQL = f"""
 WITH m AS (
   SELECT o_custkey, period, o_orderpriority AS role_id FROM (
     SELECT o_custkey, strftime(o_orderdate, '%Y-%m') AS period, o_orderpriority,
@@ -184,11 +195,15 @@ WITH m AS (
     FROM orders WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL) t WHERE rn = 1),
 h AS (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS hire_date
       FROM orders WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL GROUP BY o_custkey),
+l AS (
+  SELECT o_custkey, CASE WHEN o_orderstatus = '{LEFT_STATUS}' THEN CAST(o_orderdate AS DATE) END AS left_on FROM (
+    SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+    FROM orders WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL) t WHERE rn = 1),
 b AS (
   SELECT m.o_custkey, m.period, c.c_nationkey AS department_id, m.role_id, h.hire_date,
-         CAST(NULL AS DATE) AS termination_date,
+         CASE WHEN coalesce(c.c_mktsegment = '{EARLY_SEGMENT}', false) THEN NULL ELSE l.left_on END AS termination_date,
          CAST(strptime(m.period || '-01', '%Y-%m-%d') AS DATE) AS period_date
-  FROM m JOIN h USING (o_custkey) LEFT JOIN customer c ON c.c_custkey = m.o_custkey),
+  FROM m JOIN h USING (o_custkey) JOIN l USING (o_custkey) LEFT JOIN customer c ON c.c_custkey = m.o_custkey),
 f AS (
   SELECT *, CAST(date_diff('day', hire_date, period_date) AS INTEGER) AS tenure_days_raw FROM b),
 fact AS (

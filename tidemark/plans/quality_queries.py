@@ -107,8 +107,17 @@ def q_ingest_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     ingest_to_bronze(spark, f"{root}/landing", "events", f"{root}/bronze",
                      f"{root}/_checkpoint", fields, run_id="roundtrip",
                      layout="{base}/{entity}/*/")
+    # A second run over the same landing must add nothing.
+    ingest_to_bronze(spark, f"{root}/landing", "events", f"{root}/bronze",
+                     f"{root}/_checkpoint", fields, run_id="second run",
+                     layout="{base}/{entity}/*/")
     bronze = spark.read.parquet(f"{root}/bronze")
-    return bronze.withColumn("period", period_from_path("_source_file_name"))
+    audited = F.col("_ingested_at").isNotNull() & F.col("_file_modified_at").isNotNull()
+    return bronze.select(
+        "event_id", "user_id", "event_type", "value",
+        F.get_json_object("_rescued_data", "$.props").alias("props"),
+        period_from_path("_source_file_name").alias("period"), "_pipeline_run_id",
+        audited.alias("audited"))
 
 
 QUERIES = {
@@ -201,6 +210,12 @@ WHERE NOT coalesce(period >= '{RESTATE_START}' AND period <= '{RESTATE_END}'
                    AND o_custkey IN (SELECT o_custkey FROM s), false)
 UNION ALL
 SELECT * FROM c
+""",
+    "ingest_roundtrip": """
+SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, event_type,
+       CAST(value AS VARCHAR) AS value, props, strftime(ts, '%Y-%m-%d') AS period,
+       'roundtrip' AS _pipeline_run_id, true AS audited
+FROM events
 """,
     "rescued_late_column": """
 SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id,
