@@ -46,8 +46,12 @@ GENERATORS = {
     "email": (r"(?:\G|(?<![^\s<>\[\](),;:]))[^\s<>\[\](),;:@]++\x20?(?:@|\((?:at|AT)\)|\[(?:at|AT)\])\x20?[A-Za-z0-9][A-Za-z0-9.-]*+",
               r"@|\((?:at|AT)\)|\[(?:at|AT)\]"),
     "phone": (r"(?:\G|(?<![0-9A-Za-z]))[+(]?[0-9][0-9\x20().-]{5,}[0-9](?![0-9A-Za-z])", "[0-9]"),
-    "secret": (r"(?:\G|(?<![A-Za-z0-9+/_-]))[A-Za-z0-9+/_-]{12,}+(?![A-Za-z0-9+/_@-])", "[A-Za-z0-9+/_-]{12}"),
+    # with a digit and a letter in it: a run of one kind is a word or a number
+    "secret": (r"(?:\G|(?<![A-Za-z0-9+/_-]))(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{12,}+(?![A-Za-z0-9+/_@-])",
+               "[0-9]"),
 }
+# A text without a match of this has no base span and no candidate.
+_ANY = r"[0-9@]|\((?:at|AT)\)|\[(?:at|AT)\]"
 VECTORS = 20_000
 CONTEXT = 24  # code points before a candidate that its features see
 _CUES = {
@@ -151,23 +155,32 @@ def candidates(text: Column) -> Column:
             before = F.substring(text, from_ + 1, m["start"] - from_)
             return F.struct(m["start"].alias("start"), F.lit(KINDS.index(generator)).alias("kind"), m["end"].alias("end"),
                             *(c.cast("int").alias(n) for n, c in features(generator, m["value"], before).items()))
-        found = matches(text, pattern, gate)
-        if generator == "secret":  # a run of letters alone, or of digits alone, is a word or a number
-            found = F.filter(found, lambda m: m["value"].rlike("[0-9]") & m["value"].rlike("[A-Za-z]"))
-        return F.transform(found, describe)
+        return F.transform(matches(text, pattern, gate), describe)
     return F.concat(*(of(g) for g in GENERATORS))
 
 
+_SPANS = "array<struct<start:bigint,kind:int,end:bigint>>"
+
+
 def _overlaps_any(c: Column, spans: Column) -> Column:
     return F.exists(spans, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"]))
 
 
+def spans_and_candidates(text: Column) -> Column:
+    """(base, candidates) of a text in one struct; null where it has neither."""
+    return F.when(text.rlike(_ANY), F.struct(
+        F.array_sort(F.concat(*(base_spans(text, k) for k in BASE))).alias("base"), candidates(text).alias("candidates")))
+
+
+def _described(rows: DataFrame, *kept: str) -> DataFrame:
+    """``rows`` (with text) and their base spans and candidates, as arrays."""
+    found = rows.select(*kept, spans_and_candidates(F.coalesce("text", F.lit(""))).alias("found"))
+    return found.select(*kept, F.coalesce("found.base", F.array().cast(_SPANS)).alias("base"), F.col("found.candidates").alias("candidates"))
+
+
 def described(docs: DataFrame) -> DataFrame:
     """doc_id, text, base (array of spans) and candidates of every document."""
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    text = F.col("text")
-    base = F.array_sort(F.concat(*(base_spans(text, k) for k in BASE)))
-    return rows.select("doc_id", "text", base.alias("base"), candidates(text).alias("candidates"))
+    return _described(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "doc_id", "text")
 
 
 # Boosting -----------------------------------------------------------------
@@ -292,6 +305,15 @@ def _listed(spans: Column) -> Column:
         ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _all_spans(model: Model) -> Column:
+    """Base spans, and the candidates beside them that the model selects."""
+    if not model.thresholds:
+        return F.col("base")
+    added = F.filter("candidates", lambda c: model.selects(c) & ~_overlaps_any(c, F.col("base")))
+    return F.when(F.size("candidates") > 0, F.array_distinct(F.array_sort(F.concat("base", F.transform(
+        added, lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"))))))).otherwise(F.col("base"))
+
+
 def find(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, text, base and all spans (arrays of (start, kind, end)) of every
     document. Without a model one is trained on ``docs``.
@@ -302,9 +324,7 @@ def find(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """
     rows = described(docs)
     model = train(rows) if model is None else model
-    added = F.filter("candidates", lambda c: model.selects(c) & ~_overlaps_any(c, F.col("base"))) if model.thresholds else None
-    spans = F.col("base") if added is None else F.array_distinct(F.array_sort(F.concat("base", F.transform(
-        added, lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"))))))
+    spans = _all_spans(model)
     return rows.select("doc_id", "text", "base", spans.alias("spans"))
 
 
@@ -334,14 +354,7 @@ def redacted(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """The rows of ``docs`` with spans in ``text`` replaced; all other columns
     as they are, a null text too."""
     model = train(described(docs)) if model is None else model
-    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id"), F.col("text"))
-    text = F.coalesce("text", F.lit(""))
-    base = F.array_sort(F.concat(*(base_spans(text, k) for k in BASE)))
-    rows = whole.select("row", "text", base.alias("base"), candidates(text).alias("candidates"))
-    spans = F.col("base")
-    if model.thresholds:
-        spans = F.array_sort(F.concat("base", F.transform(
-            F.filter("candidates", lambda c: model.selects(c) & ~_overlaps_any(c, F.col("base"))),
-            lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))))
-    out = rows.select("row", F.when(F.col("text").isNotNull(), _bound(spans, lambda s: _redacted(F.col("text"), s))).alias("clean"))
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text")
+    rows = _described(whole, "row", "text").select("row", "text", _all_spans(model).alias("spans"))
+    out = rows.select("row", F.when(F.col("text").isNotNull(), _bound(F.col("spans"), lambda s: _redacted(F.col("text"), s))).alias("clean"))
     return out.select(*((F.col("clean") if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
