@@ -9,8 +9,9 @@ merged span is verified: it must hold at least ``LEAST_SHARE`` percent of the
 template's runs in at most twice its length.
 
 The templates are a fixed text of a few hundred runs, so they are broadcast;
-the words of a text never leave its row. Only votes are shuffled, summed per
-(document, template, diagonal) on the map side first.
+the words of a text never leave its row but for the runs that may hit. Only
+votes are shuffled, summed per (document, template, diagonal) on the map side
+first.
 """
 
 from __future__ import annotations
@@ -55,11 +56,17 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
-def runs_of(words: Column) -> Column:
-    """The rolling runs of ``GRAM`` words, each as one string."""
+def run_hashes(words: Column) -> Column:
+    """The hash of every rolling run of ``GRAM`` words, by the run's place."""
     n = F.size(words) - (GRAM - 1)
-    return F.when(n > 0, F.transform(F.slice(words, F.lit(1), F.greatest(n, F.lit(1))), lambda w, i: F.concat_ws(
-        " ", w, *(F.get(words, i + j) for j in range(1, GRAM)))))
+    return F.when(n > 0, F.transform(F.slice(words, F.lit(1), F.greatest(n, F.lit(1))), lambda w, i: F.struct(
+        i.alias("pos"), F.xxhash64(w, *(F.get(words, i + j) for j in range(1, GRAM))).alias("h"))))
+
+
+def runs_at(words: Column, places: Column) -> Column:
+    """(pos, h, run) with the words of the runs at some places."""
+    return F.transform(places, lambda p: F.struct(
+        p["pos"].alias("pos"), p["h"].alias("h"), F.array_join(F.slice(words, p["pos"] + 1, GRAM), " ").alias("run")))
 
 
 def phrase_places(words: Column) -> Column:
@@ -75,21 +82,24 @@ def phrase_places(words: Column) -> Column:
 
 
 def template_runs(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
-    """label, tpos, run and the template's number of runs and words."""
+    """label, tpos, h, run and the template's number of runs and words."""
     values = ", ".join(f"('{label}', '{text}')" for label, text in templates.items())
     t = spark.sql(f"SELECT * FROM VALUES {values} AS t(label, template)").withColumn("words", words_of(F.col("template")))
     return t.select("label", F.size("words").alias("t_words"), (F.size("words") - (GRAM - 1)).alias("t_runs"),
-                    F.posexplode(runs_of(F.col("words"))).alias("tpos", "run"))
+                    F.inline(runs_at(F.col("words"), run_hashes(F.col("words"))))).withColumnRenamed("pos", "tpos")
 
 
 def template_spans(docs: DataFrame, templates: dict[str, str]) -> DataFrame:
     """Merged spans of template text: doc_id, label, first and last word, votes,
-    share (of the template's runs), verified."""
-    runs = docs.where("doc_id is not null").select(
-        "doc_id", F.posexplode(_bound(words_of(F.col("text")), runs_of)).alias("pos", "run"))
+    share (of the template's runs), verified.
+
+    All rolling runs are hashed; those whose hash no template has cannot join
+    and are left out within the row, so only possible hits become rows."""
     known = template_runs(docs.sparkSession, templates)
-    hits = runs.withColumn("h", F.xxhash64("run")).join(
-        F.broadcast(known.withColumnRenamed("run", "t_run").withColumn("h", F.xxhash64("t_run"))), "h").where("run = t_run")
+    hashes = [r[0] for r in known.select("h").distinct().collect()]  # of the fixed templates
+    runs = docs.where("doc_id is not null").select("doc_id", F.inline(_bound(words_of(F.col("text")), lambda words: runs_at(
+        words, F.filter(run_hashes(words), lambda p: p["h"].isin(*hashes))))))
+    hits = runs.join(F.broadcast(known.withColumnRenamed("run", "t_run")), "h").where("run = t_run")
     votes = hits.groupBy("doc_id", "label", "t_words", "t_runs", (F.col("pos") - F.col("tpos")).alias("diagonal")).agg(
         F.count(F.lit(1)).alias("votes"), F.min("pos").alias("first"), F.max("pos").alias("last"),
         F.collect_set("tpos").alias("tposes"))
