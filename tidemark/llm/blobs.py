@@ -61,12 +61,6 @@ def sliding(least: Callable, a: np.ndarray, n: int) -> np.ndarray:
     return least(a[:-rest], a[rest:]) if rest else a
 
 
-def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """start, start+1, ... of every run, one after another."""
-    total = int(counts.sum())
-    return np.arange(total) + np.repeat(starts - (np.cumsum(counts) - counts), counts)
-
-
 def filled(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> Iterator[list[pa.RecordBatch]]:
     """Lists of slices of batches that hold about ``most_bytes`` of text together."""
     from tidemark.llm.words import slices

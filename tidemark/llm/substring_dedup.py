@@ -20,7 +20,7 @@ built from the repeated part only:
 Exact copies of a text are found first, by a 128-bit number of the whole text,
 and take no part beyond their first document: all their windows start there.
 
-Hot groups: a task sends each bucket at most one entry for an anchor, and one
+Hot groups: a task sends each bucket at most two entries for an anchor, and one
 document's entries for an edge, that it has met in several documents itself;
 the others are settled in the task. So what meets in a bucket grows with the
 number of tasks and distinct windows, not with the copies of a passage.
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.blobs import bucket_count, dump, filled, load, ranges, run_starts, sliding, spread
+from tidemark.llm.blobs import bucket_count, dump, filled, load, run_starts, sliding, spread
 from tidemark.llm.words import U64, gram_mask, grams, words_of
 
 WINDOW = 13
@@ -64,11 +64,12 @@ def anchor_places(g: np.ndarray, least: np.ndarray) -> np.ndarray:
     return np.flatnonzero(top == g)
 
 
-def _to_buckets(key: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order by (bucket, rest of the key), the bucket of each, and its 32-bit rest."""
+def _to_buckets(key: np.ndarray, doc: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by (bucket, rest of the key, document), the bucket of each, and its
+    32-bit rest."""
     bucket = ((key >> U64(32)) % U64(n_buckets)).astype(np.int64)
     rest = (key & U64(0xFFFFFFFF)).astype(np.uint32)
-    order = np.lexsort((rest, bucket))
+    order = np.lexsort((doc, rest, bucket))
     return order, bucket[order], rest[order]
 
 
@@ -101,14 +102,15 @@ def _send_anchors(n_buckets: int, flush_bytes: int):
             if not keys:
                 continue
             key, doc, place = map(np.concatenate, (keys, ids, places))
-            order, bucket, rest = _to_buckets(key, n_buckets)
+            order, bucket, rest = _to_buckets(key, doc, n_buckets)
             doc, place, key = doc[order], place[order], key[order]
             starts = run_starts(key)
             if not len(starts):
                 continue
             several = spread(np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts), starts, len(key))
             send = ~several
-            send[starts] = True  # one entry tells other tasks of a key repeated here
+            send[starts] = True  # two documents tell other tasks of a key repeated here
+            send[np.append(starts[1:], len(key)) - 1] = True
             rows = [(turn % n_buckets, True, dump(doc[several], place[several].astype(np.uint32)))]
             bucket, rest, doc, place = bucket[send], rest[send], doc[send], place[send]
             cuts = run_starts(bucket)
@@ -274,7 +276,7 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
 
-def repeated_paths(docs: DataFrame, bucket_bytes: int = 48 << 20, flush_bytes: int = 32 << 20) -> tuple[DataFrame, DataFrame]:
+def repeated_paths(docs: DataFrame, bucket_bytes: int = 16 << 20, flush_bytes: int = 16 << 20) -> tuple[DataFrame, DataFrame]:
     """Paths of repeated edges, not yet verified, and the copies of whole texts.
 
     Paths: (doc_id, start, length, source_id, source_start), length in edges.
@@ -296,7 +298,7 @@ def repeated_paths(docs: DataFrame, bucket_bytes: int = 48 << 20, flush_bytes: i
     return edges.groupBy("bucket").applyInArrow(_repeated_edges, _PATHS), copies
 
 
-def dedup_substrings(docs: DataFrame, bucket_bytes: int = 48 << 20, flush_bytes: int = 32 << 20) -> DataFrame:
+def dedup_substrings(docs: DataFrame, bucket_bytes: int = 16 << 20, flush_bytes: int = 16 << 20) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and kept_text of every document.
 
     A null text has no words. A document without doc_id keeps all its words and
