@@ -62,8 +62,3 @@ def pct_2dp(part, whole) -> Column:
     w = _col(whole).cast("long")
     hundredths = F.floor((p * 20000 + w) / (w * 2))
     return F.when(w > 0, hundredths / F.lit(100.0))
-
-
-def to_cents(amount) -> Column:
-    """Money with two decimals as a whole number of cents."""
-    return F.round(_col(amount) * 100).cast("long")

@@ -49,11 +49,6 @@ def parse_date(text) -> Column:
     return F.try_to_date(F.substring(_col(text), 1, 10), "yyyy-MM-dd")
 
 
-def days_between(later, earlier) -> Column:
-    """Whole days from ``earlier`` to ``later`` (negative when reversed)."""
-    return F.datediff(_col(later), _col(earlier))
-
-
 def normalize_period(p: str | None) -> str | None:
     """``'2025-1'`` -> ``'2025-01'`` (and ``'2025-1-5'`` -> ``'2025-01-05'``) for
     period parameters typed by hand; other text is returned stripped."""
