@@ -6,20 +6,23 @@ Two sets with a Jaccard similarity of ``percent`` or more agree in a shingle
 among the first ``n - ceil(percent * n) + 1`` of each, so those few are sent out
 and meet by shingle; the order makes them rare.
 
-What meets is a candidate, and a candidate is settled in a *prefix tree*: the
-candidates of a document form a trie over their ordered sets, in which sets that
-begin alike share a path. The document's own set walks the trie, counts its
+What meets often enough is a candidate (``_enough``: the leading shingles two
+sets share bound all they can share), and a candidate is settled in a *prefix
+tree*: the candidates of a document form a trie over their ordered sets, in
+which sets that begin alike share a path. The document's own set walks the trie, counts its
 overlap once per shared path, and leaves a subtree as soon as the overlap so far
 and the lengths that remain cannot reach the similarity.
 
 Groups of near copies are joined without looking at all their pairs:
 
 1. Equal sets are one node; they are linked by their fingerprint.
-2. Of the documents that meet at a shingle, each is compared with one leader.
-   The leader has the least hash of its id, so a group finds the same leader at
-   most shingles. Links give first components.
-3. Where documents of different components meet, those pairs are compared, and
-   only those. No link is lost: a pair that is not compared lies in one
+2. Of the documents that meet at a shingle, each is compared with a few leaders.
+   A leader has the least hash of its id, so a group finds the same leaders at
+   most shingles, and a copy that is unlike one is like another. Links give
+   first components.
+3. Where documents of different components meet, those pairs are compared, by
+   sketches first, which bound in how many shingles two sets differ, and only
+   those. No link is lost: a pair that is not compared lies in one
    component already, or shares no leading shingle.
 
 Leaders with many candidates are split into blocks, each with its own trie.
@@ -34,19 +37,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.blobs import bucket_count, dump, filled, load, run_starts, spread
-from tidemark.llm.words import U64, column_bytes, grams, mix, words_of
+from tidemark.llm.blobs import bucket_count, dump, filled, load, run_starts
+from tidemark.llm.words import U64, grams, mix, slices, words_of
 from tidemark.session import scratch_root
 
 SHINGLE = 3
 HOT = 65_536  # frequent shingles that have a place of their own in the order
-HOT_TIMES = 8  # documents of one flush that make a shingle worth reporting
+HOT_TIMES = 3  # documents of one flush that make a shingle worth reporting
+SKETCH = 1024  # bits of a set's parity sketch
+TOGETHER = 2048  # documents of a shingle that one task compares with each other
+LEADERS = 4  # documents of a shingle that all others there are compared with
 BLOCK = 512  # candidates of a leader in one trie
 
-_SURVEY = "doc_id long, n_shingles long, fp1 long, fp2 long, shingle long, times long"
+_SURVEY = "doc_id long, n_shingles long, fp1 long, fp2 long, bits binary, shingle long, times long"
 
 
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
@@ -70,6 +76,15 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """One bit per shingle, of even or odd number: two sets differ in at least as
+    many shingles as their sketches differ in bits."""
+    places, times = np.unique(s % U64(SKETCH), return_counts=True)
+    odd = np.zeros(SKETCH, np.uint8)
+    odd[places[times % 2 == 1].astype(np.int64)] = 1
+    return np.packbits(odd).tobytes()
+
+
 def least_overlap(n: int, percent: int) -> int:
     """Shingles that a set of n shares with any set it is linked to."""
     return -(-percent * n // 100)
@@ -88,7 +103,7 @@ def _survey(flush_bytes: int):
                 n = pa.nulls(len(found), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(s) for s in found], pa.int64()), pa.array([p[0] for p in prints], pa.int64()),
-                     pa.array([p[1] for p in prints], pa.int64()), n, n], names)
+                     pa.array([p[1] for p in prints], pa.int64()), pa.array([sketch(s) for s in found], pa.binary()), n, n], names)
                 sets += found
             every = np.sort(np.concatenate(sets)) if sets else np.zeros(0, U64)
             starts = run_starts(every)
@@ -97,7 +112,7 @@ def _survey(flush_bytes: int):
             top = top[np.argsort(-times[top], kind="stable")[:HOT]]
             none = pa.nulls(len(top), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [none, none, none, none, pa.array(every[starts[top]].view(np.int64)), pa.array(times[top].astype(np.int64))], names)
+                [none, none, none, none, pa.nulls(len(top), pa.binary()), pa.array(every[starts[top]].view(np.int64)), pa.array(times[top].astype(np.int64))], names)
     return run
 
 
@@ -140,11 +155,10 @@ def _send_prefixes(order: Order, n_buckets: int, percent: int, flush_bytes: int)
             counts = np.array([len(d[1]) for d in docs])
             key = np.concatenate([d[1] for d in docs])
             doc = np.repeat(np.arange(len(docs)), counts)
-            place = np.arange(len(key)) - np.repeat(np.cumsum(counts) - counts, counts)
             bucket = ((key >> U64(32)) % U64(n_buckets)).astype(np.int64)
             rest = (key & U64(0xFFFFFFFF)).astype(np.uint32)
             by = np.lexsort((rest, bucket))
-            bucket, rest, doc, place = bucket[by], rest[by], doc[by], place[by]
+            bucket, rest, doc = bucket[by], rest[by], doc[by]
             ids, fp = np.array([d[0] for d in docs], np.int64), np.array([p[0] for p in prints], np.int64)
             size = np.array([p[2] for p in prints], np.uint32)
             cuts = run_starts(bucket)
@@ -152,7 +166,7 @@ def _send_prefixes(order: Order, n_buckets: int, percent: int, flush_bytes: int)
             for a, b in zip(cuts, np.append(cuts[1:], len(bucket)), strict=True):
                 table, local = np.unique(doc[a:b], return_inverse=True)
                 rows.append((int(bucket[a]), dump(np.diff(rest[a:b], prepend=np.uint32(0)), local.astype(np.uint32),
-                                                  place[a:b].astype(np.uint32), ids[table], fp[table], size[table])))
+                                                  ids[table], fp[table], size[table])))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
                                              ["bucket", "blob"])
     return run
@@ -164,30 +178,92 @@ def _meetings(percent: int):
     def run(table: pa.Table) -> pa.Table:
         parts = [load(b) for b in table.column("blob").to_pylist()]
         rest = np.concatenate([np.cumsum(p[0], dtype=np.uint32) for p in parts])
-        place = np.concatenate([p[2] for p in parts]).astype(np.int64)
-        ids, fp, size = (np.concatenate([p[i][p[1]] for p in parts]) for i in (3, 4, 5))
+        ids, fp, size = (np.concatenate([p[i][p[1]] for p in parts]) for i in (2, 3, 4))
         size = size.astype(np.int64)
         by = np.lexsort((ids, fp, size, rest))
-        rest, place, ids, fp, size = rest[by], place[by], ids[by], fp[by], size[by]
+        rest, ids, fp, size = rest[by], ids[by], fp[by], size[by]
         first = run_starts(rest, size, fp)  # equal sets: the smallest id
-        rest, place, ids, size = rest[first], place[first], ids[first], size[first]
+        rest, ids, size = rest[first], ids[first], size[first]
         near = (rest[1:] == rest[:-1]) & (100 * size[:-1] >= percent * size[1:])
         keep = np.zeros(len(rest), bool)
         keep[1:] |= near
         keep[:-1] |= near
         bucket = table.column("bucket")[0].as_py()
-        return pa.table({"shingle": (rest[keep].astype(np.int64) | (bucket << 32)), "doc_id": ids[keep], "n": size[keep], "place": place[keep]})
+        return pa.table({"shingle": (rest[keep].astype(np.int64) | (bucket << 32)), "doc_id": ids[keep], "n": size[keep]})
+    return run
+
+
+def _like(percent: int, a: str, b: str) -> Column:
+    """Sizes that allow a link."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    return (100 * n >= percent * m) & (100 * m >= percent * n)
+
+
+def _enough(meetings: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of meetings (a, b, n_a, n_b; one row per shingle) that may
+    be linked by the number of leading shingles they share.
+
+    Take the set whose leading shingles end first in the order. What it shares
+    among them is leading in the other set too, so it is counted; the rest of it
+    has ``least_overlap(n) - 1`` shingles, and no more can be shared there."""
+    rest = lambda n: F.floor((percent * F.col(n) + 99) / 100) - 1
+    shared = meetings.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c"))
+    most = F.col("c") + F.greatest(rest("n_a"), rest("n_b"))
+    return shared.where((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+
+
+def _across(percent: int):
+    """Rows (shingle, i, j, block, doc_id, component, n, bits) sorted by the first
+    three: the pairs (a, b, n_a, n_b) of different components whose sketches allow
+    a link, once for each shingle they meet at."""
+
+    def pairs(rows: list[tuple], within: bool) -> list[np.ndarray]:
+        block, ids, comp, n = (np.array([r[k] for r in rows], np.int64) for k in range(4))
+        bits = np.frombuffer(b"".join(r[4] for r in rows), U64).reshape(len(rows), -1)
+        out = []
+        for lo in range(0, len(rows), 64):
+            hi = min(lo + 64, len(rows))
+            differ = np.bitwise_count(bits[lo:hi, None, :] ^ bits[None, :, :]).sum(2, dtype=np.int64)
+            both = n[lo:hi, None] + n[None, :]
+            good = ((100 + percent) * differ <= (100 - percent) * both) & (comp[lo:hi, None] != comp[None, :])
+            good &= (100 * n[lo:hi, None] >= percent * n[None, :]) & (100 * n[None, :] >= percent * n[lo:hi, None])
+            if not within:
+                good &= block[lo:hi, None] != block[None, :]
+            x, y = np.nonzero(good & (ids[lo:hi, None] < ids[None, :]))
+            out.append((ids[lo:hi][x], ids[y], n[lo:hi][x], n[y]))
+        return [np.concatenate(o) for o in zip(*out, strict=True)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+
+        def found() -> Iterator[pa.RecordBatch]:
+            if len(rows) > 1:
+                columns = pairs(rows, key[1] == key[2])
+                if len(columns[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "n_a", "n_b"])
+
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("shingle", "i", "j", "block", "doc_id", "component", "n", "bits")]
+            for row in zip(*columns, strict=True):
+                if row[:3] != key:
+                    yield from found()
+                    key, rows = row[:3], []
+                rows.append(row[3:])
+        yield from found()
     return run
 
 
-def _may_link(percent: int, a: str, b: str):
-    """Sizes and places at which a pair meets still allow a link."""
-    col = lambda t, c: F.col(f"{t}.{c}")
-    n = col(a, "n") + col(b, "n")
-    most = F.least(col(a, "place"), col(b, "place")) + 1 + F.least(
-        col(a, "n") - col(a, "place") - 1, col(b, "n") - col(b, "place") - 1)
-    like = (100 * col(a, "n") >= percent * col(b, "n")) & (100 * col(b, "n") >= percent * col(a, "n"))
-    return like & ((100 + percent) * most >= percent * n)
+def across_components(apart: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that meet at a shingle and may be
+    linked. A shingle of many documents is dealt out in pairs of blocks, so that
+    a task holds two blocks of it at most."""
+    sized = apart.join(apart.groupBy("shingle").agg(F.ceil(F.count(F.lit(1)) / TOGETHER).cast("int").alias("blocks")), "shingle")
+    dealt = sized.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn(
+        "with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("shingle", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block",
+                         "doc_id", "component", "n").join(sketches, "doc_id")
+    rows = dealt.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j")
+    return _enough(rows.mapInArrow(_across(percent), "a long, b long, n_a long, n_b long"), percent)
 
 
 class PrefixTree:
@@ -234,30 +310,30 @@ class PrefixTree:
             todo += [(c, overlap) for c in node.children.values()]
 
 
-def _settle(percent: int):
-    """Rows (leader, block, role, doc_id, ids) sorted so that a leader's own set
-    comes first: the linked pairs of every (leader, block)."""
+def _settle(order: Order, percent: int):
+    """Rows (leader, block, role, doc_id, text) sorted so that a leader's own
+    text comes first: the linked pairs of every (leader, block)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, probe, tree = None, None, None
 
         def links() -> list[tuple[int, int]]:
-            return [(group[0], d) for d in tree.linked(probe, percent)] if tree and probe is not None else []
+            return [(group[0], d) for d in tree.linked(probe, percent)] if tree else []
 
         for batch in batches:
-            found: list[tuple[int, int]] = []
-            keys = zip(*(batch.column(c).to_pylist() for c in ("leader", "block", "role", "doc_id")), strict=True)
-            for (leader, block, role, doc_id), blob in zip(keys, batch.column("members"), strict=True):
-                if (leader, block) != group:
-                    found += links()
-                    group, probe, tree = (leader, block), None, None
-                s = np.frombuffer(blob.as_buffer(), U64)
-                if role == 0:
-                    probe, tree = np.sort(s), PrefixTree(s[:0])
-                elif tree is not None:
-                    tree.add(s.copy(), doc_id, len(s))
-            if found:
-                yield _pairs(found)
+            for part in slices(batch, "text"):
+                found: list[tuple[int, int]] = []
+                keys = zip(*(part.column(c).to_pylist() for c in ("leader", "block", "role", "doc_id")), strict=True)
+                for (leader, block, role, doc_id), s in zip(keys, shingle_sets(part.column("text")), strict=True):
+                    if (leader, block) != group:
+                        found += links()
+                        group, probe, tree = (leader, block), None, None
+                    if role == 0:
+                        probe, tree = s.copy(), PrefixTree(s[:0])
+                    elif tree is not None:
+                        tree.add(order.ordered(s).copy(), doc_id, len(s))
+                if found:
+                    yield _pairs(found)
         if found := links():
             yield _pairs(found)
     return run
@@ -268,26 +344,20 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def _set_blobs(order: Order):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for held in filled(iter([batch]), "text", 4 << 20):
-                for part in held:
-                    blobs = [order.ordered(s).tobytes() for s in shingle_sets(part.column("text"))]
-                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(blobs, pa.binary())], ["doc_id", "members"])
-    return run
-
+def settle(pairs: DataFrame, docs: DataFrame, order: Order, percent: int) -> DataFrame:
+    """The linked ones (a, b) of candidate pairs (a: leader, b).
 
-def settle(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The linked ones (a, b) of candidate pairs (a: leader, b)."""
+    Texts travel to the tries, not sets: a compressed text is a third of its
+    shingles' hashes."""
     sized = pairs.join(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("many")), "a")
     block = F.pmod(F.xxhash64("b"), F.ceil(F.col("many") / BLOCK)).cast("int")
     blocked = sized.select(F.col("a").alias("leader"), block.alias("block"), F.col("b").alias("doc_id"))
-    members = blocked.join(sets, "doc_id").select("leader", "block", F.lit(1).alias("role"), "doc_id", "members")
-    leaders = blocked.select("leader", "block", F.col("leader").alias("doc_id")).distinct().join(sets, "doc_id").select(
-        "leader", "block", F.lit(0).alias("role"), "doc_id", "members")
-    rows = leaders.unionByName(members).repartition("leader", "block").sortWithinPartitions("leader", "block", "role")
-    return rows.mapInArrow(_settle(percent), "a long, b long")
+    members = blocked.withColumn("role", F.lit(1))
+    leaders = blocked.select("leader", "block", F.col("leader").alias("doc_id")).distinct().withColumn("role", F.lit(0))
+    needed = members.unionByName(leaders).groupBy("doc_id").agg(F.collect_list(F.struct("leader", "block", "role")).alias("needed"))
+    rows = docs.join(needed, "doc_id").select("doc_id", "text", F.inline("needed"))
+    return rows.repartition("leader", "block").sortWithinPartitions("leader", "block", "role").mapInArrow(
+        _settle(order, percent), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -313,8 +383,8 @@ def components(links: DataFrame) -> DataFrame:
     return roots.groupBy(F.col("u").alias("doc_id")).agg(F.min("m").alias("component"))
 
 
-def jaccard_components(docs: DataFrame, percent: int = 90, bucket_bytes: int = 48 << 20,
-                       flush_bytes: int = 32 << 20) -> DataFrame:
+def jaccard_components(docs: DataFrame, percent: int = 90, bucket_bytes: int = 16 << 20,
+                       flush_bytes: int = 16 << 20) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by
     links, itself included) of every document.
 
@@ -326,7 +396,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, bucket_bytes: int = 4
     spark = docs.sparkSession
     scratch_root(spark)
     docs = docs.select("doc_id", "text")
-    survey = docs.mapInArrow(_survey(flush_bytes), _SURVEY).checkpoint()
+    survey = docs.mapInArrow(_survey(2 * flush_bytes), _SURVEY).checkpoint()
     hot = survey.where("shingle is not null").groupBy("shingle").agg(F.sum("times").alias("times")).orderBy(
         F.desc("times"), "shingle").limit(HOT).toArrow()
     order = Order(hot.column("shingle").to_numpy().astype(np.int64).view(U64), hot.column("times").to_numpy())
@@ -337,25 +407,25 @@ def jaccard_components(docs: DataFrame, percent: int = 90, bucket_bytes: int = 4
 
     n_buckets = bucket_count(docs, "text", bucket_bytes)
     sent = docs.mapInArrow(_send_prefixes(order, n_buckets, percent, flush_bytes), "bucket long, blob binary")
-    met = sent.groupBy("bucket").applyInArrow(_meetings(percent), "shingle long, doc_id long, n long, place long").checkpoint()
-    sets = docs.join(met.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(
-        _set_blobs(order), "doc_id long, members binary").checkpoint()
-
-    leaders = met.groupBy("shingle").agg(F.min(F.struct(F.xxhash64("doc_id").alias("h"), "doc_id", "n", "place")).alias("l")).select(
-        "shingle", "l.doc_id", "l.n", "l.place")
-    tried = met.alias("x").join(leaders.alias("l"), "shingle").where(F.col("x.doc_id") != F.col("l.doc_id")).where(
-        _may_link(percent, "x", "l")).select(F.col("l.doc_id").alias("a"), F.col("x.doc_id").alias("b")).distinct().checkpoint()
-    links = settle(tried, sets, percent).checkpoint()
+    met = sent.groupBy("bucket").applyInArrow(_meetings(percent), "shingle long, doc_id long, n long").checkpoint()
+    least = [F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("h"), "doc_id", "n")).alias(f"l{turn}") for turn in range(LEADERS)]
+    leaders = met.groupBy("shingle").agg(*least).select(
+        "shingle", F.inline(F.array_distinct(F.array(*(F.struct(f"l{turn}.doc_id", f"l{turn}.n") for turn in range(LEADERS))))))
+    by_leader = met.alias("x").join(leaders.alias("l"), "shingle").where(F.col("x.doc_id") != F.col("l.doc_id")).where(
+        _like(percent, "x", "l")).select(F.col("l.doc_id").alias("a"), F.col("x.doc_id").alias("b"),
+                                         F.col("l.n").alias("n_a"), F.col("x.n").alias("n_b"))
+    tried = _enough(by_leader, percent).checkpoint()
+    links = settle(tried, docs, order, percent).checkpoint()
     known = components(links)
 
     labelled = met.join(known, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     mixed = labelled.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     apart = labelled.join(mixed.select("shingle"), "shingle", "left_semi")
-    across = apart.alias("x").join(apart.alias("y"), "shingle").where(F.col("x.component") < F.col("y.component")).where(
-        _may_link(percent, "x", "y")).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
+    sketches = survey.where("doc_id is not null").select("doc_id", "bits")
+    across = across_components(apart, sketches, percent)
     across = across.join(tried, ["a", "b"], "left_anti").join(
         tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-    more = settle(across.checkpoint(), sets, percent)
+    more = settle(across.checkpoint(), docs, order, percent)
 
     # Rows that share a doc_id but not their set tie their classes together.
     ties = rows.where("doc_id is not null and n_shingles > 0").join(classes, same).where("doc_id <> first").select(
