@@ -7,6 +7,7 @@ splitting) and resolves the folder used to cut lineage.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -52,6 +53,15 @@ def apply_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+def share_imports(spark: SparkSession) -> None:
+    """Let Python workers import the package from where the driver does, for
+    sessions started elsewhere; on a cluster it is installed or shipped."""
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if here not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [here, env.get("PYTHONPATH", "")]))
+
+
 def cluster_conf(input_bytes: int, total_cores: int,
                  target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
     """Partition sizing for a cluster run over ``input_bytes`` of parquet.
