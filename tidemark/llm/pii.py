@@ -7,8 +7,8 @@ key-like runs. A candidate is described by a few small counts of its format and
 of the words before it. Boosted trees score it, and a threshold per generator,
 calibrated on candidates the trees have not seen, selects it.
 
-All candidates are labelled by rule (a valid base span, or a key-like value
-after a cue word) and summed by feature vector, in Spark. The sums, one row per
+All candidates are labelled by rule (a valid base span, a number with a sound
+check sum or length, a key-like value after a cue word) and summed by feature vector, in Spark. The sums, one row per
 vector and at most ``VECTORS`` of them, the most frequent first, are what the
 boosting loop reads; it is plain Python over that small table. The trees go
 back to Spark as one SQL expression.
@@ -41,15 +41,20 @@ BASE = {
 # Texts without a match of these have none of the pattern either.
 _GATE = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 
-# Generators: kind proposed, pattern, gate.
-GENERATORS = {
-    "email": (r"(?:\G|(?<![^\s<>\[\](),;:]))[^\s<>\[\](),;:@]++\x20?(?:@|\((?:at|AT)\)|\[(?:at|AT)\])\x20?[A-Za-z0-9][A-Za-z0-9.-]*+",
-              r"@|\((?:at|AT)\)|\[(?:at|AT)\]"),
-    "phone": (r"(?:\G|(?<![0-9A-Za-z]))[+(]?[0-9][0-9\x20().-]{5,}[0-9](?![0-9A-Za-z])", "[0-9]"),
+# Generators: name, kind proposed, pattern, gate. Their spans may overlap: where
+# numbers stand side by side, the base patterns read them as one and drop it.
+GENERATORS = [
+    ("mail", "email",
+     r"(?:\G|(?<![^\s<>\[\](),;:]))[^\s<>\[\](),;:@]++\x20?(?:@|\((?:at|AT)\)|\[(?:at|AT)\])\x20?[A-Za-z0-9][A-Za-z0-9.-]*+",
+     r"@|\((?:at|AT)\)|\[(?:at|AT)\]"),
+    ("number", "phone", r"(?:\G|(?<![0-9A-Za-z]))[+(]?[0-9][0-9\x20().-]{5,}[0-9](?![0-9A-Za-z])", "[0-9]"),
+    ("dialled", "phone", r"\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[\x20.-][0-9]{2,4}){1,4}(?![0-9])", r"\+[0-9]"),
+    ("grouped", "card", r"(?<![0-9])(?:[0-9]{4}[\x20-]?){3}[0-9]{4}(?![0-9])", "[0-9]{4}"),
     # with a digit and a letter in it: a run of one kind is a word or a number
-    "secret": (r"(?:\G|(?<![A-Za-z0-9+/_-]))(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{12,}+(?![A-Za-z0-9+/_@-])",
-               "[0-9]"),
-}
+    ("key", "secret", r"(?:\G|(?<![A-Za-z0-9+/_-]))(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{12,}+(?![A-Za-z0-9+/_@-])",
+     "[0-9]"),
+]
+_NUMBER = {name: i for i, (name, *_) in enumerate(GENERATORS)}
 # A text without a match of this has no base span and no candidate.
 _ANY = r"[0-9@]|\((?:at|AT)\)|\[(?:at|AT)\]"
 VECTORS = 20_000
@@ -125,12 +130,12 @@ def _level(value: Column, *edges: int) -> Column:
     return sum(((value >= e).cast("int") for e in edges[1:]), (value >= edges[0]).cast("int"))
 
 
-def features(generator: str, value: Column, before: Column) -> dict[str, Column]:
+def features(generator: int, value: Column, before: Column) -> dict[str, Column]:
     """Small counts that describe a candidate: format first, then context."""
     length, digits = F.length(value), F.length(_digits(value))
     letters = F.length(F.regexp_replace(value, "[^A-Za-z]", ""))
     return {
-        "generator": F.lit(list(GENERATORS).index(generator)),
+        "generator": F.lit(generator),
         "length": _level(length, 8, 12, 16, 20, 30, 40),
         "digits": _level(digits, 1, 4, 7, 9, 12, 16, 20),
         "letters": _level(letters, 1, 4, 8, 16),
@@ -138,25 +143,25 @@ def features(generator: str, value: Column, before: Column) -> dict[str, Column]
         "domain": value.rlike(r"(?:@|\)|\])\x20?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+$").cast("int"),
         "plus": value.startswith("+").cast("int") + 2 * value.startswith("(").cast("int"),
         "mixed": value.rlike("^[A-Z]{4}[0-9A-Z]{12,}$").cast("int") + 2 * value.rlike("^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{16,}$").cast("int"),
+        "checked": F.when(digits.between(12, 19), luhn(_digits(value))).otherwise(False).cast("int"),
         "switches": _level(F.length(F.regexp_replace(F.regexp_replace(value, "[A-Za-z]+", "a"), "[0-9]+", "0")), 3, 6, 10),
         **{cue: before.rlike(p).cast("int") for cue, p in _CUES.items()},
     }
 
 
-FEATURES = ["generator", "length", "digits", "letters", "separators", "domain", "plus", "mixed", "switches", *_CUES]
+FEATURES = ["generator", "length", "digits", "letters", "separators", "domain", "plus", "mixed", "checked", "switches", *_CUES]
 
 
 def candidates(text: Column) -> Column:
     """Candidate spans of all generators with their features."""
-    def of(generator: str) -> Column:
-        pattern, gate = GENERATORS[generator]
+    def of(number: int, kind: str, pattern: str, gate: str) -> Column:
         def describe(m: Column) -> Column:
             from_ = F.greatest(m["start"] - CONTEXT, F.lit(0))
             before = F.substring(text, from_ + 1, m["start"] - from_)
-            return F.struct(m["start"].alias("start"), F.lit(KINDS.index(generator)).alias("kind"), m["end"].alias("end"),
-                            *(c.cast("int").alias(n) for n, c in features(generator, m["value"], before).items()))
+            return F.struct(m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), m["end"].alias("end"),
+                            *(c.cast("int").alias(n) for n, c in features(number, m["value"], before).items()))
         return F.transform(matches(text, pattern, gate), describe)
-    return F.concat(*(of(g) for g in GENERATORS))
+    return F.concat(*(of(i, *g[1:]) for i, g in enumerate(GENERATORS)))
 
 
 _SPANS = "array<struct<start:bigint,kind:int,end:bigint>>"
@@ -272,19 +277,20 @@ def calibrate(model: Model, held_out: list[tuple], precision: float = 0.98) -> N
             good, all_ = good + p, all_ + p + n
             last_of_score = i + 1 == len(ranked) or ranked[i + 1][0] < s
             if last_of_score and good >= precision * all_ and good > 0:
-                model.thresholds[g] = s
+                model.thresholds[g] = s - 1e-6
 
 
 def train(rows: DataFrame, vectors: int = VECTORS) -> Model:
     """Fit the trees on the candidates of ``described`` rows, one half of them,
     and calibrate on the other, split by a hash of their place."""
     c = F.col("c")
-    secret = c["generator"] == list(GENERATORS).index("secret")
-    key = secret & (c["digits"] > 0) & (c["cue_key"] + c["mixed"] % 2 > 0)
+    by_rule = F.when(c["generator"] == _NUMBER["key"], c["cue_key"] + c["mixed"] % 2 > 0).when(
+        c["generator"] == _NUMBER["grouped"], c["checked"] > 0).when(
+        c["generator"] == _NUMBER["dialled"], c["digits"].between(4, 5)).otherwise(F.lit(False))
     equals_base = F.exists("base", lambda s: (s["start"] == c["start"]) & (s["end"] == c["end"]) & (s["kind"] == c["kind"]))
     labelled = rows.select("doc_id", "base", F.explode("candidates").alias("c")).select(
         (F.pmod(F.xxhash64("doc_id", c["start"], c["end"]), F.lit(2)) == 1).alias("held_out"),
-        (equals_base | key).cast("int").alias("label"), *(c[n].alias(n) for n in FEATURES))
+        (equals_base | by_rule).cast("int").alias("label"), *(c[n].alias(n) for n in FEATURES))
     sums = labelled.groupBy("held_out", *FEATURES).agg(F.sum("label").alias("p"), F.count(F.lit(1)).alias("n"))
     got = sums.orderBy(F.desc("n"), "held_out", *FEATURES).limit(vectors).collect()
     part = {h: [({k: r[k] for k in FEATURES}, float(r["p"]), float(r["n"] - r["p"])) for r in got if r["held_out"] == h]
