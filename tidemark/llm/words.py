@@ -127,7 +127,7 @@ def gram_mask(doc: np.ndarray, k: int) -> np.ndarray:
     return doc[:n] == doc[k - 1:] if n > 0 else np.zeros(0, bool)
 
 
-def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of about ``most_bytes`` of text, so that work
     arrays stay small. A row is never cut: a longer text is a run of its own."""
     sizes = batch.column(column)
