@@ -53,13 +53,15 @@ def apply_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
-def share_imports(spark: SparkSession) -> None:
-    """Let Python workers import the package from where the driver does, for
-    sessions started elsewhere; on a cluster it is installed or shipped."""
+def prepare_python(spark: SparkSession) -> None:
+    """What tasks that run Python need of the session: workers import the package
+    from where the driver does (on a cluster it is installed or shipped), and a
+    batch holds at most 1,000 rows, as rows are whole texts."""
     here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     env = spark.sparkContext.environment
     if here not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [here, env.get("PYTHONPATH", "")]))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
 def cluster_conf(input_bytes: int, total_cores: int,
