@@ -20,9 +20,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near copies."""
+    """One document, that with the smallest id, of each group of near copies:
+    five-word shingles, linked from a similarity of 80 percent on."""
     prepare_python(spark)
-    return ngram_join.one_of_each(docs)
+    return ngram_join.one_of_each(docs, percent=80, shingle=5)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

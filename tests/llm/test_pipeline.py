@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import sys
 import zlib
@@ -103,3 +104,19 @@ def test_stages_take_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_near_copies_are_linked_at_five_words_and_80_percent(spark, monkeypatch):
+    """The stage against brute force, on copies that 3 words at 90 percent keep."""
+    words = [f"w{i}" for i in range(100)]
+    other = [f"v{i}" for i in range(60)]
+    rows = [(1, words[:50]), (2, [*words[:25], "x", *words[26:50]]),
+            (3, other), (4, other + [f"t{i}" for i in range(9)]),
+            (5, [f"u{i}" for i in range(100)]), (6, [f"u{i}" if i not in (30, 70) else "x" for i in range(100)]),
+            (7, [f"u{i}" if i % 12 else "y" for i in range(100)]), (8, ["a", "b"]), (9, ["A", "b"])]
+    rows = [(d, " ".join(w)) for d, w in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = {r.doc_id for r in corpus_pipeline.ngram_jaccard_join(spark, docs, SF).collect()}
+    assert {2, 4, 6} < {d for d, _, c in brute.jaccard_classes(rows) if c == d}
+    monkeypatch.setattr(brute, "shingle_set", functools.partial(brute.shingle_set, n=5))
+    assert left == {d for d, _, c in brute.jaccard_classes(rows, 80) if c == d} == {1, 3, 5, 7, 8}

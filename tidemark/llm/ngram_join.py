@@ -1,6 +1,6 @@
 """N-gram Jaccard join by prefix trees.
 
-A document's set holds its distinct 3-word shingles, ordered by one global
+A document's set holds its distinct shingles of ``shingle`` words, ordered by one global
 order: shingles met in many documents last, by frequency, all others by hash.
 Two sets with a Jaccard similarity of ``percent`` or more agree in a shingle
 among the first ``n - ceil(percent * n) + 1`` of each, so those few are sent out
@@ -44,7 +44,7 @@ from tidemark.llm.blobs import bucket_count, dump, filled, load, run_starts
 from tidemark.llm.words import U64, grams, mix, slices, words_of
 from tidemark.session import scratch_root
 
-SHINGLE = 3
+SHINGLE = 3  # words of a shingle by the contract of the query op7; other callers name their own
 HOT = 65_536  # frequent shingles that have a place of their own in the order
 HOT_TIMES = 3  # documents of one flush that make a shingle worth reporting
 SKETCH = 1024  # bits of a set's parity sketch
@@ -55,14 +55,14 @@ BLOCK = 512  # candidates of a leader in one trie
 _SURVEY = "doc_id long, n_shingles long, fp1 long, fp2 long, bits binary, shingle long, times long"
 
 
-def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
+def shingle_sets(texts: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
     """The distinct shingles of every text, sorted by hash. A text of fewer words
     than a shingle has its whole sequence as one; one without words has none."""
     w = words_of(texts, lower=True)
-    runs = {k: grams(w.hash, k) for k in range(1, SHINGLE + 1)}
+    runs = {k: grams(w.hash, k) for k in range(1, shingle + 1)}
     out = []
     for first, count in zip(w.first.tolist(), w.count.tolist(), strict=True):
-        k = min(count, SHINGLE)
+        k = min(count, shingle)
         s = np.sort(runs[k][first:first + count - k + 1]) if k else np.zeros(0, U64)
         out.append(s[run_starts(s)])
     return out
@@ -90,7 +90,7 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def _survey(flush_bytes: int):
+def _survey(shingle: int, flush_bytes: int):
     """Per document its size and fingerprint; per flush its frequent shingles."""
     names = [f.split()[0] for f in _SURVEY.split(", ")]
 
@@ -98,7 +98,7 @@ def _survey(flush_bytes: int):
         for held in filled(batches, "text", flush_bytes):
             sets = []
             for part in held:
-                found = shingle_sets(part.column("text"))
+                found = shingle_sets(part.column("text"), shingle)
                 prints = [fingerprint(s) for s in found]
                 n = pa.nulls(len(found), pa.int64())
                 yield pa.RecordBatch.from_arrays(
@@ -136,14 +136,14 @@ class Order:
         return np.concatenate([s[~is_hot], s[is_hot][np.argsort(self.rank[at[is_hot]])]])
 
 
-def _send_prefixes(order: Order, n_buckets: int, percent: int, flush_bytes: int):
+def _send_prefixes(order: Order, n_buckets: int, percent: int, shingle: int, flush_bytes: int):
     """Leading shingles by bucket. Equal sets of a flush send the smallest id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in filled(batches, "text", flush_bytes):
             best: dict[tuple, tuple] = {}
             for part in held:
-                for doc_id, s in zip(part.column("doc_id").to_pylist(), shingle_sets(part.column("text")), strict=True):
+                for doc_id, s in zip(part.column("doc_id").to_pylist(), shingle_sets(part.column("text"), shingle), strict=True):
                     if doc_id is not None and len(s):
                         p = (*fingerprint(s), len(s))
                         if p not in best or doc_id < best[p][0]:
@@ -310,7 +310,7 @@ class PrefixTree:
             todo += [(c, overlap) for c in node.children.values()]
 
 
-def _settle(order: Order, percent: int):
+def _settle(order: Order, percent: int, shingle: int):
     """Rows (leader, block, role, doc_id, text) sorted so that a leader's own
     text comes first: the linked pairs of every (leader, block)."""
 
@@ -324,7 +324,7 @@ def _settle(order: Order, percent: int):
             for part in slices(batch, "text"):
                 found: list[tuple[int, int]] = []
                 keys = zip(*(part.column(c).to_pylist() for c in ("leader", "block", "role", "doc_id")), strict=True)
-                for (leader, block, role, doc_id), s in zip(keys, shingle_sets(part.column("text")), strict=True):
+                for (leader, block, role, doc_id), s in zip(keys, shingle_sets(part.column("text"), shingle), strict=True):
                     if (leader, block) != group:
                         found += links()
                         group, probe, tree = (leader, block), None, None
@@ -344,7 +344,7 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def settle(pairs: DataFrame, docs: DataFrame, order: Order, percent: int) -> DataFrame:
+def settle(pairs: DataFrame, docs: DataFrame, order: Order, percent: int, shingle: int) -> DataFrame:
     """The linked ones (a, b) of candidate pairs (a: leader, b).
 
     Texts travel to the tries, not sets: a compressed text is a third of its
@@ -357,7 +357,7 @@ def settle(pairs: DataFrame, docs: DataFrame, order: Order, percent: int) -> Dat
     needed = members.unionByName(leaders).groupBy("doc_id").agg(F.collect_list(F.struct("leader", "block", "role")).alias("needed"))
     rows = docs.join(needed, "doc_id").select("doc_id", "text", F.inline("needed"))
     return rows.repartition("leader", "block").sortWithinPartitions("leader", "block", "role").mapInArrow(
-        _settle(order, percent), "a long, b long")
+        _settle(order, percent, shingle), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -384,7 +384,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, percent: int = 90, bucket_bytes: int = 16 << 20,
-                       flush_bytes: int = 16 << 20) -> DataFrame:
+                       flush_bytes: int = 16 << 20, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by
     links, itself included) of every document.
 
@@ -396,7 +396,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, bucket_bytes: int = 1
     spark = docs.sparkSession
     scratch_root(spark)
     docs = docs.select("doc_id", "text")
-    survey = docs.mapInArrow(_survey(flush_bytes), _SURVEY).checkpoint()
+    survey = docs.mapInArrow(_survey(shingle, flush_bytes), _SURVEY).checkpoint()
     hot = survey.where("shingle is not null").groupBy("shingle").agg(F.sum("times").alias("times")).orderBy(
         F.desc("times"), "shingle").limit(HOT).toArrow()
     order = Order(hot.column("shingle").to_numpy().astype(np.int64).view(U64), hot.column("times").to_numpy())
@@ -406,7 +406,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, bucket_bytes: int = 1
     classes = rows.where("doc_id is not null and n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("first"))
 
     n_buckets = bucket_count(docs, "text", bucket_bytes)
-    sent = docs.mapInArrow(_send_prefixes(order, n_buckets, percent, flush_bytes), "bucket long, blob binary")
+    sent = docs.mapInArrow(_send_prefixes(order, n_buckets, percent, shingle, flush_bytes), "bucket long, blob binary")
     met = sent.groupBy("bucket").applyInArrow(_meetings(percent), "shingle long, doc_id long, n long").checkpoint()
     least = [F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("h"), "doc_id", "n")).alias(f"l{turn}") for turn in range(LEADERS)]
     leaders = met.groupBy("shingle").agg(*least).select(
@@ -415,7 +415,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, bucket_bytes: int = 1
         _like(percent, "x", "l")).select(F.col("l.doc_id").alias("a"), F.col("x.doc_id").alias("b"),
                                          F.col("l.n").alias("n_a"), F.col("x.n").alias("n_b"))
     tried = _enough(by_leader, percent).checkpoint()
-    links = settle(tried, docs, order, percent).checkpoint()
+    links = settle(tried, docs, order, percent, shingle).checkpoint()
     known = components(links)
 
     labelled = met.join(known, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
@@ -425,7 +425,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, bucket_bytes: int = 1
     across = across_components(apart, sketches, percent)
     across = across.join(tried, ["a", "b"], "left_anti").join(
         tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-    more = settle(across.checkpoint(), docs, order, percent)
+    more = settle(across.checkpoint(), docs, order, percent, shingle)
 
     # Rows that share a doc_id but not their set tie their classes together.
     ties = rows.where("doc_id is not null and n_shingles > 0").join(classes, same).where("doc_id <> first").select(
@@ -435,8 +435,8 @@ def jaccard_components(docs: DataFrame, percent: int = 90, bucket_bytes: int = 1
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, percent: int = 90) -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = 90, shingle: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` without those whose group has a smaller doc_id, all
     columns kept. Rows without doc_id stay."""
-    others = jaccard_components(docs, percent).where("component_id < doc_id").select("doc_id").distinct()
+    others = jaccard_components(docs, percent, shingle=shingle).where("component_id < doc_id").select("doc_id").distinct()
     return docs.join(others, "doc_id", "left_anti").select(*(f"`{c}`" for c in docs.columns))
