@@ -175,6 +175,15 @@ def test_substring_dedup_hot_passage(spark):
     same(got.select("doc_id", "n_words", "n_removed", "kept_sha256").collect(), brute.substring_dedup(rows))
 
 
+def test_substring_dedup_spreads_settled_entries(spark):
+    """What tasks settle themselves is dealt out in parts, each a group of its own."""
+    rows = [(i, f"{BASE} b{i % 7}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sent = docs.mapInArrow(substring_dedup._send_anchors(8, 1 << 20), substring_dedup._BUCKETS).where("settled").cache()
+    assert sent.count() == sent.select("bucket").distinct().count() == 4
+    assert sent.where("bucket >= 0").count() == 0
+
+
 def near_rows():
     """Chains and groups of near copies, with edits spread over the text."""
     rows = []

@@ -22,7 +22,8 @@ and take no part beyond their first document: all their windows start there.
 
 Hot groups: a task sends each bucket at most two entries for an anchor, and one
 document's entries for an edge, that it has met in several documents itself;
-the others are settled in the task. So what meets in a bucket grows with the
+the others are settled in the task, and travel in parts that are groups of their
+own. So what meets in a bucket grows with the
 number of tasks and distinct windows, not with the copies of a passage.
 """
 
@@ -33,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +44,7 @@ from tidemark.llm.words import U64, gram_mask, grams, words_of
 WINDOW = 13
 ANCHOR = 6
 SPAN = WINDOW - ANCHOR + 1  # anchor candidates in a window
+PART = 1 << 18  # settled entries in one group
 
 _BUCKETS = "bucket long, settled boolean, blob binary"
 _PATHS = "doc_id long, start long, length long, source_id long, source_start long"
@@ -79,6 +82,16 @@ def _rows(rows: list[tuple[int, bool, bytes]]) -> pa.RecordBatch:
                                       ["bucket", "settled", "blob"])
 
 
+def _settled(turn: int, *arrays: np.ndarray) -> list[tuple[int, bool, bytes]]:
+    """Entries that need no meeting, in parts of bounded size. Each part has a
+    group of its own: a negative number by task, flush and part."""
+    task, out = TaskContext.get().partitionId(), []
+    for part, lo in enumerate(range(0, len(arrays[0]), PART)):
+        group = hashlib.blake2b(f"{task} {turn} {part}".encode(), digest_size=8).digest()
+        out.append((-1 - (int.from_bytes(group) >> 1), True, dump(*(a[lo:lo + PART] for a in arrays))))
+    return out
+
+
 def _doc_ids(part: pa.RecordBatch) -> np.ndarray:
     return part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
 
@@ -111,7 +124,7 @@ def _send_anchors(n_buckets: int, flush_bytes: int):
             send = ~several
             send[starts] = True  # two documents tell other tasks of a key repeated here
             send[np.append(starts[1:], len(key)) - 1] = True
-            rows = [(turn % n_buckets, True, dump(doc[several], place[several].astype(np.uint32)))]
+            rows = _settled(turn, doc[several], place[several].astype(np.uint32))
             bucket, rest, doc, place = bucket[send], rest[send], doc[send], place[send]
             cuts = run_starts(bucket)
             for a, b in zip(cuts, np.append(cuts[1:], len(bucket)), strict=True):
@@ -179,7 +192,7 @@ def _send_edges(n_buckets: int, flush_bytes: int):
             a, b, anchor = a[order], b[order], anchor[order]
             later = doc > source
             p = paths(doc[later], at[later], source[later], source_at[later])
-            rows = [(turn % n_buckets, True, dump(*p.values()))]
+            rows = _settled(turn, *p.values())
             send = np.flatnonzero(~later)
             bucket = ((anchor[send] >> U64(32)) % U64(n_buckets)).astype(np.int64)
             send = send[np.lexsort((at[send], doc[send], bucket))]  # neighbours in a text lie together
