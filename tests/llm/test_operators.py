@@ -184,6 +184,15 @@ def test_substring_dedup_spreads_settled_entries(spark):
     assert sent.where("bucket >= 0").count() == 0
 
 
+def test_substring_dedup_copy_and_another_text_of_one_id(spark):
+    """A row is a copy by its own text, not by its id."""
+    other = " ".join(f"o{i}" for i in range(30))
+    rows = [(3, BASE), (5, BASE), (5, other), (7, f"x {other} y"), (8, BASE)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = substring_dedup.dedup_substrings(docs)
+    same(got.select("doc_id", "n_words", "n_removed", "kept_sha256").collect(), brute.substring_dedup(rows))
+
+
 def near_rows():
     """Chains and groups of near copies, with edits spread over the text."""
     rows = []

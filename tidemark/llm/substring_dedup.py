@@ -35,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.blobs import bucket_count, dump, filled, load, run_starts, sliding, spread
@@ -289,24 +289,34 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
 
+def _text_number() -> list[Column]:
+    """The number of a whole text: two hashes and its length."""
+    text = F.col("text")
+    return [F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("h2"), F.octet_length(text).alias("n")]
+
+
+def _is_copy() -> Column:
+    """Whether a row's own text is among those ``copied`` under its doc_id."""
+    return F.coalesce(F.array_contains("copied", F.struct(*_text_number())), F.lit(False))
+
+
 def repeated_paths(docs: DataFrame, bucket_bytes: int = 16 << 20, flush_bytes: int = 16 << 20) -> tuple[DataFrame, DataFrame]:
-    """Paths of repeated edges, not yet verified, and the copies of whole texts.
+    """Paths of repeated edges, not yet verified, and the texts that are whole
+    copies, by doc_id (``copied``).
 
     Paths: (doc_id, start, length, source_id, source_start), length in edges.
     """
     n_buckets = bucket_count(docs, "text", bucket_bytes)
-    text = F.col("text")
-    whole = docs.where("doc_id is not null").groupBy(
-        F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("h2"), F.octet_length(text).alias("n"))
+    whole = docs.where("doc_id is not null").groupBy(*_text_number())
     first = whole.agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last and n is not null")
-    copies = (docs.select("doc_id", F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("h2"), F.octet_length(text).alias("n"))
-              .join(first, ["h", "h2", "n"]).where("doc_id > first").select("doc_id", F.lit(True).alias("is_copy")).distinct())
+    copies = (docs.select("doc_id", *_text_number()).join(first, ["h", "h2", "n"]).where("doc_id > first")
+              .groupBy("doc_id").agg(F.collect_set(F.struct("h", "h2", "n")).alias("copied")))
 
     sent = docs.mapInArrow(_send_anchors(n_buckets, flush_bytes), _BUCKETS)
     anchors = sent.groupBy("bucket").applyInArrow(_repeated_anchors, "doc_id long, place int")
     places = anchors.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
     looked = docs.join(places, "doc_id", "left").join(copies, "doc_id", "left").select(
-        "doc_id", "text", F.when(F.col("is_copy").isNull(), F.col("places")).alias("places"))
+        "doc_id", "text", F.when(~_is_copy(), F.col("places")).alias("places"))
     edges = looked.mapInArrow(_send_edges(n_buckets, flush_bytes), _BUCKETS)
     return edges.groupBy("bucket").applyInArrow(_repeated_edges, _PATHS), copies
 
@@ -329,5 +339,5 @@ def dedup_substrings(docs: DataFrame, bucket_bytes: int = 16 << 20, flush_bytes:
     spans = found.join(digests, ["source_id", "source_start", "length"]).groupBy("doc_id").agg(
         F.collect_list(F.struct("start", "length", "digest")).alias("spans"))
     rows = docs.join(spans, "doc_id", "left").join(copies, "doc_id", "left")
-    return rows.select("doc_id", "text", "is_copy", "spans").mapInArrow(
+    return rows.select("doc_id", "text", _is_copy().alias("is_copy"), "spans").mapInArrow(
         _remove, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
