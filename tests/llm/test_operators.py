@@ -216,6 +216,38 @@ def test_jaccard_components(spark, docs, none):
     assert ngram_join.jaccard_components(none).count() == 0
 
 
+def family_rows(n=240):
+    """Near copies with an edit of their own each, many of which are equal sets."""
+    words = [f"f{i}" for i in range(150)]
+    rows = []
+    for k in range(n):
+        w = list(words)
+        w[(7 * k) % 150] = f"e{k % 200}"
+        rows.append((k, " ".join(w)))
+    return rows
+
+
+def test_jaccard_family_is_not_gathered_in_one_bucket(spark):
+    """Of a shingle that a family shares, a bucket gets one entry a flush."""
+    import numpy as np
+    from collections import Counter
+
+    rows = family_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    order = ngram_join.Order(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    sent = df.mapInArrow(ngram_join._send_prefixes(order, 2, 90, 3, 1 << 20), ngram_join._PREFIXES).collect()
+    met = Counter()
+    for r in sent:
+        if r.bucket >= 0:
+            met.update((r.bucket, x) for x in np.cumsum(ngram_join.load(r.blob)[0], dtype=np.uint32).tolist())
+    assert max(met.values()) <= 4
+    parts = [r.bucket for r in sent if r.bucket < 0]
+    assert len(parts) == len(set(parts)) == 4
+    for flush in (1 << 20, 4_000):
+        got = ngram_join.jaccard_components(df, bucket_bytes=20_000, flush_bytes=flush).collect()
+        same(got, brute.jaccard_classes(rows))
+
+
 def test_one_of_each_keeps_the_smallest(docs):
     left = ngram_join.one_of_each(docs)
     assert left.columns == docs.columns

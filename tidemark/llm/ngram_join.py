@@ -33,14 +33,16 @@ table of frequent shingles, which has ``HOT`` rows at most.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.blobs import bucket_count, dump, filled, load, run_starts
+from tidemark.llm.blobs import bucket_count, dump, filled, load, run_starts, spread
 from tidemark.llm.words import U64, grams, mix, slices, words_of
 from tidemark.session import scratch_root
 
@@ -50,6 +52,7 @@ HOT_TIMES = 3  # documents of one flush that make a shingle worth reporting
 SKETCH = 1024  # bits of a set's parity sketch
 TOGETHER = 2048  # documents of a shingle that one task compares with each other
 LEADERS = 4  # documents of a shingle that all others there are compared with
+PART = 1 << 18  # entries settled by a flush in one group
 BLOCK = 512  # candidates of a leader in one trie
 
 _SURVEY = "doc_id long, n_shingles long, fp1 long, fp2 long, bits binary, shingle long, times long"
@@ -136,11 +139,38 @@ class Order:
         return np.concatenate([s[~is_hot], s[is_hot][np.argsort(self.rank[at[is_hot]])]])
 
 
+_PREFIXES = "bucket long, known boolean, blob binary"
+_MEETINGS = "shingle long, doc_id long, fp long, n long"
+
+
+def _near(key: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
+    """Which entries, sorted by key and size, have one of like size at their key."""
+    near = (key[1:] == key[:-1]) & (100 * size[:-1] >= percent * size[1:])
+    keep = np.zeros(len(key), bool)
+    keep[1:] |= near
+    keep[:-1] |= near
+    return keep
+
+
+def _blob(rest: np.ndarray, doc: np.ndarray, *columns: np.ndarray) -> bytes:
+    """Entries sorted by ``rest``, the documents' values once for each document."""
+    table, local = np.unique(doc, return_inverse=True)
+    return dump(np.diff(rest, prepend=np.uint32(0)), local.astype(np.uint32), *(c[table] for c in columns))
+
+
 def _send_prefixes(order: Order, n_buckets: int, percent: int, shingle: int, flush_bytes: int):
-    """Leading shingles by bucket. Equal sets of a flush send the smallest id."""
+    """Leading shingles by bucket. Equal sets of a flush send the smallest id.
+
+    What meets within the flush is known to meet: it travels in parts, each of
+    which has a group of its own (a negative number by task, flush and part), and
+    only one entry a shingle goes to the bucket, marked ``known``, to tell the
+    entries of other flushes. So a bucket holds, besides entries that met nothing
+    of like size in their flush, one entry a flush of a shingle, however many
+    documents have it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held in filled(batches, "text", flush_bytes):
+        task = TaskContext.get().partitionId()
+        for turn, held in enumerate(filled(batches, "text", flush_bytes)):
             best: dict[tuple, tuple] = {}
             for part in held:
                 for doc_id, s in zip(part.column("doc_id").to_pylist(), shingle_sets(part.column("text"), shingle), strict=True):
@@ -157,42 +187,64 @@ def _send_prefixes(order: Order, n_buckets: int, percent: int, shingle: int, flu
             doc = np.repeat(np.arange(len(docs)), counts)
             bucket = ((key >> U64(32)) % U64(n_buckets)).astype(np.int64)
             rest = (key & U64(0xFFFFFFFF)).astype(np.uint32)
-            by = np.lexsort((rest, bucket))
-            bucket, rest, doc = bucket[by], rest[by], doc[by]
             ids, fp = np.array([d[0] for d in docs], np.int64), np.array([p[0] for p in prints], np.int64)
-            size = np.array([p[2] for p in prints], np.uint32)
-            cuts = run_starts(bucket)
+            size = np.array([p[2] for p in prints], np.int64)
+            by = np.lexsort((size[doc], rest, bucket))
+            bucket, rest, doc = bucket[by], rest[by], doc[by]
+            place = (bucket << 32) | rest
+            met = _near(place, size[doc], percent)
             rows = []
-            for a, b in zip(cuts, np.append(cuts[1:], len(bucket)), strict=True):
-                table, local = np.unique(doc[a:b], return_inverse=True)
-                rows.append((int(bucket[a]), dump(np.diff(rest[a:b], prepend=np.uint32(0)), local.astype(np.uint32),
-                                                  ids[table], fp[table], size[table])))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
-                                             ["bucket", "blob"])
+            settled = np.flatnonzero(met)
+            for part, lo in enumerate(range(0, len(settled), PART)):
+                at = settled[lo:lo + PART]
+                group = hashlib.blake2b(f"{task} {turn} {part}".encode(), digest_size=8).digest()
+                rows.append((-1 - (int.from_bytes(group) >> 1), True, dump(place[at], ids[doc[at]], fp[doc[at]], size[doc[at]].astype(np.uint32))))
+            tells = settled[run_starts(place[settled])]
+            for known, send in ((True, tells), (False, np.flatnonzero(~met))):
+                cuts = np.append(run_starts(bucket[send]), len(send))
+                for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                    at = send[a:b]
+                    rows.append((int(bucket[at[0]]), known, _blob(rest[at], doc[at], ids, fp, size.astype(np.uint32))))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.bool_()),
+                                              pa.array([r[2] for r in rows], pa.binary())], ["bucket", "known", "blob"])
     return run
 
 
 def _meetings(percent: int):
-    """Documents of a bucket that meet others of like size at a shingle."""
+    """Documents of a bucket that meet others of like size at a shingle, or one
+    that is known to meet others there; parts that are settled, as they are."""
 
     def run(table: pa.Table) -> pa.Table:
-        parts = [load(b) for b in table.column("blob").to_pylist()]
-        rest = np.concatenate([np.cumsum(p[0], dtype=np.uint32) for p in parts])
-        ids, fp, size = (np.concatenate([p[i][p[1]] for p in parts]) for i in (2, 3, 4))
+        bucket = table.column("bucket")[0].as_py()
+        blobs = [load(b) for b in table.column("blob").to_pylist()]
+        if bucket < 0:
+            place, ids, fp, size = (np.concatenate([p[i] for p in blobs]) for i in range(4))
+            return pa.table({"shingle": place, "doc_id": ids, "fp": fp, "n": size.astype(np.int64)})
+        rest = np.concatenate([np.cumsum(p[0], dtype=np.uint32) for p in blobs])
+        known = np.repeat(table.column("known").to_numpy(), [len(p[0]) for p in blobs])
+        ids, fp, size = (np.concatenate([p[i][p[1]] for p in blobs]) for i in (2, 3, 4))
         size = size.astype(np.int64)
         by = np.lexsort((ids, fp, size, rest))
-        rest, ids, fp, size = rest[by], ids[by], fp[by], size[by]
+        rest, ids, fp, size, known = rest[by], ids[by], fp[by], size[by], known[by]
+        starts = run_starts(rest)
+        known = spread(np.logical_or.reduceat(known, starts), starts, len(rest)) if len(rest) else known
         first = run_starts(rest, size, fp)  # equal sets: the smallest id
-        rest, ids, size = rest[first], ids[first], size[first]
-        near = (rest[1:] == rest[:-1]) & (100 * size[:-1] >= percent * size[1:])
-        keep = np.zeros(len(rest), bool)
-        keep[1:] |= near
-        keep[:-1] |= near
-        bucket = table.column("bucket")[0].as_py()
-        return pa.table({"shingle": (rest[keep].astype(np.int64) | (bucket << 32)), "doc_id": ids[keep], "n": size[keep]})
+        rest, ids, fp, size, known = rest[first], ids[first], fp[first], size[first], known[first]
+        keep = _near(rest, size, percent) | known
+        return pa.table({"shingle": (rest[keep].astype(np.int64) | (bucket << 32)), "doc_id": ids[keep], "fp": fp[keep], "n": size[keep]})
     return run
 
 
+def meetings(docs: DataFrame, order: Order, percent: int, shingle: int, bucket_bytes: int, flush_bytes: int) -> DataFrame:
+    """(shingle, doc_id, n): the documents that meet others at a leading shingle,
+    of equal sets the smallest id. Buckets only find who meets; the rows of one
+    shingle are brought together by aggregates and joins, which Spark splits."""
+    n_buckets = bucket_count(docs, "text", bucket_bytes)
+    sent = docs.mapInArrow(_send_prefixes(order, n_buckets, percent, shingle, flush_bytes), _PREFIXES)
+    met = sent.groupBy("bucket").applyInArrow(_meetings(percent), _MEETINGS)
+    return met.groupBy("shingle", "fp", "n").agg(F.min("doc_id").alias("doc_id")).select("shingle", "doc_id", "n")
+
+
 def _like(percent: int, a: str, b: str) -> Column:
     """Sizes that allow a link."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
@@ -405,9 +457,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, bucket_bytes: int = 1
     same = ["fp1", "fp2", "n_shingles"]
     classes = rows.where("doc_id is not null and n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("first"))
 
-    n_buckets = bucket_count(docs, "text", bucket_bytes)
-    sent = docs.mapInArrow(_send_prefixes(order, n_buckets, percent, shingle, flush_bytes), "bucket long, blob binary")
-    met = sent.groupBy("bucket").applyInArrow(_meetings(percent), "shingle long, doc_id long, n long").checkpoint()
+    met = meetings(docs, order, percent, shingle, bucket_bytes, flush_bytes).checkpoint()
     least = [F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("h"), "doc_id", "n")).alias(f"l{turn}") for turn in range(LEADERS)]
     leaders = met.groupBy("shingle").agg(*least).select(
         "shingle", F.inline(F.array_distinct(F.array(*(F.struct(f"l{turn}.doc_id", f"l{turn}.n") for turn in range(LEADERS))))))
