@@ -90,6 +90,24 @@ def test_html(spark):
     assert html.extract(df.where("false")).count() == 0
 
 
+def test_html_keeps_paragraphs_beside_a_long_one():
+    for sizes in ([200] * 10 + [5000], [5000] + [200] * 10, [20, 200, 50_000, 60, 20]):
+        texts = [f"{chr(97 + i)}" * n for i, n in enumerate(sizes)]
+        page = "<div class=menu>m</div><div>" + "".join(f"<p>{t}</p>" for t in texts) + "</div><div class=sidebar>links</div>"
+        assert html.main_text(page) == "\n".join(texts)
+
+
+def test_html_names_mark_no_container_of_the_article():
+    text = "A paragraph of the article, long enough to count as text."
+    for name in ("has-sidebar", "no-sidebar", "content-with-sidebar", "layout no-comments", "page-sidebar-right"):
+        for tag in ("div", "main", "article"):
+            page = f"<body><div class='menu'>home</div><{tag} class='{name}'><p>{text}</p><div class='sidebar'>links</div></{tag}></body>"
+            assert html.main_text(page) == text, (name, tag)
+    assert html.main_text(f"<main class='comments-open'><p>{text}</p></main><div class='comments'>{text * 9}</div>") == text
+    assert html.main_text(f"<article class='post comments'><p>{text}</p></article>") == text
+    assert html.main_text(f"<div><p>{text}</p></div><div class='nav with-search'>x</div>") == text
+
+
 def test_packing_round_trip(docs, none):
     import zlib
 

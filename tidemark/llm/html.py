@@ -6,17 +6,20 @@ sections it lies in, and the tags and names (class, id, role) that mark parts
 which are never article text: menus, footers, sidebars, notices, adverts,
 forms, comments, scripts.
 
-The ratio of characters to tags of the blocks, in page order, is smoothed by a
-Gaussian kernel and split at a threshold, half the smoothed mean. Runs of blocks
-above it are the content clusters. A cluster selects a region: the section
+The ratio of characters to tags of the blocks, in page order, is bounded by
+``LONG``, smoothed by a Gaussian kernel and split at a threshold, half the smoothed
+mean; the bound keeps one long block from lifting it above plain paragraphs. Runs
+of blocks above it are the content clusters. A cluster selects a region: the section
 (``article``, ``main``) around it if there is one, else the run itself with the
-short blocks between its ends. Inside a region nothing but marked parts is
+short blocks between its ends and the paragraphs and headings that adjoin them. A
+name marks no section, and no element that holds most of the page's text. Inside a region nothing but marked parts is
 dropped, so a one-word paragraph of an article stays.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -44,6 +47,10 @@ DROPPED_NAMES = re.compile(
     r"notification|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|"
     r"recommended|pagination|pager|toolbar|search|complementary|contentinfo|dialog|hidden|sr-only|toc|copyright|"
     r"disclaimer)(?:$|[\s_-])", re.I)
+# What a container says of its parts (has-sidebar, content-with-comments) marks nothing.
+MODIFIED = re.compile(r"(?:^|(?<=[\s_-]))(?:has|no|with|without)[_-]\S*", re.I)
+LONG = 100  # characters a tag from which on a block is text for sure
+PROSE_TAGS = {"p", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6"}
 SPACE = re.compile(r"[\s ]+")
 # A header is the page's own outside an article; inside, it holds the title.
 HEADER_NAMES = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])", re.I)
@@ -51,24 +58,27 @@ _UNCLOSED = re.compile(r"<(?:[a-zA-Z/!?][^<>]*)?$")
 
 
 class Blocks(HTMLParser):
-    """Blocks of one page, in order, as (text, tags, section, dropped)."""
+    """Blocks of one page, in order, as (text, tags, section, dropped, names,
+    prose); ``names``: the elements around it that are dropped by name only."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, int, int, bool]] = []
-        self.open: list[tuple[str, bool, int]] = []  # tag, starts a dropped part, section
+        self.blocks: list[tuple[str, int, int, bool, tuple[int, ...], bool]] = []
+        self.open: list[tuple[str, bool, int, int]] = []  # tag, starts a dropped part, section, number if dropped by name
+        self.named = 0
         self.dropped = 0
         self.sections = 0
         self.parts: list[str] = []
         self.tags = 0
 
     def section(self) -> int:
-        return next((s for _, _, s in reversed(self.open) if s), 0)
+        return next((s for _, _, s, _ in reversed(self.open) if s), 0)
 
     def end_block(self) -> None:
         text = SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
-            self.blocks.append((text, max(self.tags, 1), self.section(), self.dropped > 0))
+            names = tuple(k for *_, k in self.open if k)
+            self.blocks.append((text, max(self.tags, 1), self.section(), self.dropped > 0, names, any(o[0] in PROSE_TAGS for o in self.open)))
         self.parts, self.tags = [], 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -83,14 +93,17 @@ class Blocks(HTMLParser):
             return
         names = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
         hidden = any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs)
-        inside = any(s for _, _, s in self.open)
-        drop = (tag in DROPPED_TAGS or hidden or tag not in ("html", "body") and bool(names and DROPPED_NAMES.search(names))
-                or not inside and (tag == "header" or bool(HEADER_NAMES.search(names))))
+        names = MODIFIED.sub("", names)
+        inside = any(s for _, _, s, _ in self.open)
+        drop = tag in DROPPED_TAGS or hidden or not inside and tag == "header"
+        by_name = not drop and tag not in SECTION_TAGS | {"html", "body"} and bool(
+            DROPPED_NAMES.search(names) or not inside and HEADER_NAMES.search(names))
+        self.named += by_name
         number = 0
         if tag in SECTION_TAGS:
             self.sections += 1
             number = self.sections
-        self.open.append((tag, drop, number))
+        self.open.append((tag, drop, number, self.named if by_name else 0))
         self.dropped += drop
 
     def close_sibling(self, ends: set[str]) -> None:
@@ -103,7 +116,7 @@ class Blocks(HTMLParser):
                 return
 
     def pop_to(self, i: int) -> None:
-        self.dropped -= sum(d for _, d, _ in self.open[i:])
+        self.dropped -= sum(d for _, d, _, _ in self.open[i:])
         del self.open[i:]
 
     def handle_endtag(self, tag: str) -> None:
@@ -125,13 +138,27 @@ class Blocks(HTMLParser):
             self.parts.append(data)
 
 
-def page_blocks(html: str) -> list[tuple[str, int, int, bool]]:
-    """Blocks of a page; markup cut off at the page's end is no text."""
+def page_blocks(html: str) -> list[tuple[str, int, int, bool, bool]]:
+    """Blocks of a page as (text, tags, section, dropped, prose); markup cut off at
+    the page's end is no text.
+
+    An element dropped by name stays if it holds more than half of the text that is
+    not dropped otherwise, unless a section outside it has the article."""
     parser = Blocks()
     parser.feed(_UNCLOSED.sub("", html))
     parser.close()
     parser.end_block()
-    return parser.blocks
+    whole, inside, outside = 0, Counter(), Counter()
+    for text, _, section, dropped, names, _ in parser.blocks:
+        if not dropped:
+            whole += len(text)
+            inside.update(dict.fromkeys(names, len(text)))
+            if section:
+                outside.update(dict.fromkeys(names, 1))
+                outside[0] += 1
+    stays = {k for k, n in inside.items() if 2 * n > whole and outside[k] == outside[0]}
+    return [(text, tags, section, dropped or not stays.issuperset(names), prose)
+            for text, tags, section, dropped, names, prose in parser.blocks]
 
 
 def smoothed(values: np.ndarray, sigma: float) -> np.ndarray:
@@ -148,7 +175,7 @@ def main_text(html: str, sigma: float = 1.0) -> str:
     kept = [i for i, b in enumerate(blocks) if not b[3]]
     if not kept:
         return ""
-    ratio = smoothed(np.array([len(t) / n for t, n, _, _ in blocks]), sigma)
+    ratio = smoothed(np.array([min(len(t) / n, LONG) for t, n, *_ in blocks]), sigma)
     high = ratio >= ratio[kept].mean() / 2
     clusters = [i for i in kept if high[i]] or [max(kept, key=lambda i: ratio[i])]
     sections = {blocks[i][2] for i in clusters} - {0}
@@ -157,7 +184,12 @@ def main_text(html: str, sigma: float = 1.0) -> str:
     if sections:
         chosen = [i for i in kept if blocks[i][2] in sections]
     else:
-        chosen = [i for i in kept if clusters[0] <= i <= clusters[-1]]
+        first, last = clusters[0], clusters[-1]
+        while first and blocks[first - 1][4] and not blocks[first - 1][3]:
+            first -= 1
+        while last + 1 < len(blocks) and blocks[last + 1][4] and not blocks[last + 1][3]:
+            last += 1
+        chosen = [i for i in kept if first <= i <= last]
     return "\n".join(blocks[i][0] for i in chosen)
 
 
