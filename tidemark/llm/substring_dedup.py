@@ -12,8 +12,9 @@ built from the repeated part only:
    their place. Edges of one anchor meet; the source of an edge is the smallest
    (doc_id, place) it occurs at, and each later document's edge is repeated.
 3. *Compaction.* Consecutive edges of a document whose sources are consecutive
-   too form a nonbranching path and become one row (doc, start, length, source,
-   source start). Rows, not windows, go through the remaining joins.
+   too form a path and become one row (doc, start, length, source, source start).
+   This is done within a flush or a bucket, so a path is cut where its anchor
+   changes. Rows, not windows, go through the remaining joins.
 4. *Verification.* Paths are joined to the text at their source coordinates;
    a path counts only if the digest of its words equals that of the source.
 

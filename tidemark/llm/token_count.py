@@ -20,7 +20,7 @@ state it is entered with: the letters before its first word boundary go to the
 entering word, the words inside count on their own, the letters after the last
 boundary are the word it leaves open. Such maps (``head, count, tail``) compose
 and composing is associative, so the chunks of a long text are mapped one by
-one, on any executor, and composed by a prefix scan.
+one, and composed in order by the task that has the text.
 """
 
 from __future__ import annotations
