@@ -1,4 +1,4 @@
-"""The ten operators applied to the given tables, with production parameters.
+"""The thirteen operators applied to the given tables, with production parameters.
 
 Each query gets its rows through its operator and names the columns of its
 contract; ``ORACLE`` has the DuckDB SQL where SQL can say the same.
@@ -9,7 +9,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, decontaminate, html, license_scan, ngram_join, packing, pii, quality, substring_dedup, token_count
+from tidemark.llm import (
+    alignment, chat, context_tree, conversation_repair, decontaminate, html, license_scan, ngram_join, packing, pii, quality, substring_dedup,
+    token_count,
+)
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -93,3 +96,23 @@ def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii.report(_table(spark, sf_dir, "documents"))
+
+
+@_query("op11_alignment")
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers align in every document."""
+    return alignment.align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@_query("op12_lm_scoring")
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under a context tree."""
+    return context_tree.score(_table(spark, sf_dir, "documents"))
+
+
+@_query("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of every conversation after damage."""
+    turns = _table(spark, sf_dir, "conversations")
+    return conversation_repair.digest_repaired(conversation_repair.repaired(conversation_repair.damaged(turns), turns))
