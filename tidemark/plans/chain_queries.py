@@ -20,8 +20,10 @@ from tidemark.plans.quality_queries import ORACLE as QUALITY_ORACLE
 from tidemark.plans.quality_queries import q_restate
 from tidemark.plans.source_tables import table, user_day_snapshots, user_days
 from tidemark.session import scratch_dir
+from tidemark.sources.landing import export_by_period
 from tidemark.sources.rules import Rule
 from tidemark.sources.tables import append_once, write_new
+from tidemark.streaming.history import maintain_dimension, stored_dimension
 
 # Of ten users, the one whose first snapshots were wrong; of ten
 # parts, the one whose key is lost; of five orders, the one whose file was sent
@@ -48,6 +50,27 @@ def q_scd2_late_correction(spark: SparkSession, d: str) -> DataFrame:
                        periods=days)
 
 
+def q_scd2_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Daily files land in three runs, one day in two parts, one day late,
+    one day with wrong states and a corrected file; the stream's state keeps the
+    history, which equals the replay of everything."""
+    root = scratch_dir(spark, "stream")
+    snap = user_day_snapshots(spark, d)
+    days = [r[0] for r in user_days(spark, d).distinct().orderBy("period").collect()]
+    late, wrong, split = (days[i % len(days)] for i in (len(days) // 3, len(days) // 2, -1))
+    bad = F.col("user_id") % WRONG_USERS == 0
+    even = F.col("user_id") % 2 == 0
+    first = snap.where((F.col("period") != late) & ~((F.col("period") == split) & ~even)).withColumn("state", F.when(
+        (F.col("period") == wrong) & bad, F.lit("wrong")).otherwise(F.col("state")))
+    lands = [first, snap.where((F.col("period") == late) | ((F.col("period") == wrong) & bad)), snap.where((F.col("period") == split) & ~even)]
+    for i, rows in enumerate(lands):
+        text = rows.select(F.col("user_id").cast("string").alias("user_id"), "state", "period")
+        export_by_period(text, f"{root}/landing", f"part-{i}")
+        maintain_dimension(spark, f"{root}/landing", "users", f"{root}/dim", f"{root}/checkpoint", ["user_id"], ["state"],
+                           layout="{base}/part-*/*/", buckets=16, fields=["user_id", "state"])
+    return stored_dimension(spark, f"{root}/dim").withColumn("user_id", F.col("user_id").cast("long"))
+
+
 def q_payroll_lines(spark: SparkSession, d: str) -> DataFrame:
     """Lines as text with cents, some malformed, several per key; some keys
     in an older and a newer file, of which the newest with valid lines counts."""
@@ -101,6 +124,7 @@ def q_calendar_once(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "scd2_late_correction": q_scd2_late_correction,
+    "scd2_stream": q_scd2_stream,
     "payroll_lines": q_payroll_lines,
     "dq_critical": q_dq_critical,
     "restated_headcount": q_restated_headcount,
@@ -115,6 +139,7 @@ def _entry(field: str, rule: str, severity: str, fails: str) -> str:
 
 ORACLE = {
     "scd2_late_correction": HISTORY_ORACLE["scd2_replay"],
+    "scd2_stream": HISTORY_ORACLE["scd2_replay"],
     "payroll_lines": f"""
 WITH lines AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS employee_id, strftime(l_shipdate, '%Y-%m') AS period, l_linenumber, l_orderkey,

@@ -1,4 +1,4 @@
-"""Incremental type-2 maintenance as snapshots land.
+"""Type-2 dimensions brought up to date by a batch run.
 
 Replaying every snapshot (D3) is the simple way to build history, but it
 re-reads all history on every run. Here a run finds the periods that newly
@@ -11,17 +11,13 @@ the version being read is never overwritten.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.periods import period_from_path
-from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.scd2 import END, START, replay_from, replay_snapshots
-from tidemark.sources.landing import ENTITY_FIELDS, NEWEST, read_landing
 from tidemark.sources.tables import table_exists, write_table
-from tidemark.streaming.ingest import ingest_each_batch, landing_stream
 
 
 def _versions(spark: SparkSession, root: str) -> list[str]:
@@ -74,30 +70,3 @@ def update_dimension(spark: SparkSession, dim_root: str, snapshots: DataFrame, k
     new = f"{dim_root.rstrip('/')}/v-{n}"
     write_table(dim.select(*keys, *tracked, START, END), new)
     return new
-
-
-def maintain_dimension(spark: SparkSession, landing: str, entity: str, dim_root: str,
-                       checkpoint: str, keys: Sequence[str],
-                       tracked: Sequence[str] | None = None,
-                       layout: str = "{base}/*/{entity}/",
-                       timeout_s: float | None = None,
-                       prepare: Callable[[DataFrame], DataFrame] | None = None) -> str | None:
-    """Stream new landing files of ``entity``; each micro-batch names the periods
-    its files touch, and the dimension under ``dim_root`` is replayed from the
-    earliest one on. Returns the latest version. ``prepare`` is applied to the
-    per-period snapshot rows first (e.g. a field repair)."""
-    tracked = [c for c in ENTITY_FIELDS[entity] if c not in keys] if tracked is None else tracked
-    stream = landing_stream(spark, landing, entity, layout=layout)
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        touched = periods_of(batch.select(period_from_path("_source_file_name").alias("period")))
-        landed = read_landing(spark, landing, entity, layout=layout).where(
-            F.col(keys[0]).isNotNull()).withColumn("period", period_from_path("_source_file_name"))
-        snaps = latest_per_key(landed, list(keys) + ["period"], NEWEST)
-        if prepare is not None:
-            snaps = prepare(snaps)
-        update_dimension(spark, dim_root, snaps, keys, tracked, touched, periods_of(landed),
-                         periods=landed)
-
-    ingest_each_batch(stream, handle, checkpoint, timeout_s)
-    return latest_version(spark, dim_root)

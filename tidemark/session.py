@@ -25,6 +25,8 @@ BASE_CONF = {
     # A JSON object with a repeated key keeps the last value instead of
     # failing the whole ingest job.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # Partition values are text, as periods are: "0125" is no number.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.ui.enabled": "false",
 }
 
