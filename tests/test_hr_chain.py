@@ -63,7 +63,7 @@ def test_run_warehouse(spark, tmp_path):
     out = str(tmp_path / "wh")
     # March: 10 active (E10, E11 gone, E12 new) vs a mean of 10.5 -> passes
     res = run_warehouse(spark, base, out)
-    t = {k: spark.read.parquet(v) for k, v in res.tables.items()}
+    t = {k: res.read(spark, k) for k in res.published.tables} | {k: spark.read.parquet(v) for k, v in res.tables.items() if k.startswith("bronze")}
     emp = t["dim_employees"]
     e1 = emp.where("employee_id = 'E1'").orderBy("__START_AT").collect()
     assert [(r["department_id"], r["__START_AT"], r["__END_AT"]) for r in e1] == \
@@ -131,24 +131,24 @@ def test_chain_options(spark, tmp_path):
                                         "department_id": "D1", "role_id": "R1"}], name="part-1.json")
     out = str(tmp_path / "wh")
     plain = run_warehouse(spark, base, out, gate=False)
-    hm = spark.read.parquet(plain.tables["headcount_monthly"])
+    hm = plain.read(spark, "headcount_monthly")
     feb = hm.where("period = '2025-02'").agg(F.sum("employee_count")).first()[0]
     deduped = run_warehouse(spark, base, str(tmp_path / "wh2"), gate=False,
                             one_contract_per_employee=True, end_at_termination=True)
-    hm2 = spark.read.parquet(deduped.tables["headcount_monthly"])
+    hm2 = deduped.read(spark, "headcount_monthly")
     feb2 = hm2.where("period = '2025-02'").agg(F.sum("employee_count")).first()[0]
     assert feb2 == feb - 1          # E3 counted once
-    mv = spark.read.parquet(deduped.tables["fact_workforce_movements"])
+    mv = deduped.read(spark, "fact_workforce_movements")
     assert mv.where("employee_id = 'E4' AND event_type = 'TERMINATION'").count() == 1
     # dim_date is appended once: a second run adds nothing
-    d1 = spark.read.parquet(deduped.tables["dim_date"]).count()
+    d1 = deduped.read(spark, "dim_date").count()
     again = run_warehouse(spark, base, str(tmp_path / "wh2"), gate=False)
-    assert spark.read.parquet(again.tables["dim_date"]).count() == d1 == 4748
+    assert again.read(spark, "dim_date").count() == d1 == 4748
 
 
 def e_rows(spark, res, employee):
-    return [(r["department_id"], r["__START_AT"], r["__END_AT"]) for r in spark.read.parquet(
-        res.tables["dim_employees"]).where(f"employee_id = '{employee}'").orderBy("__START_AT").collect()]
+    return [(r["department_id"], r["__START_AT"], r["__END_AT"]) for r in res.read(
+        spark, "dim_employees").where(f"employee_id = '{employee}'").orderBy("__START_AT").collect()]
 
 
 @pytest.mark.parametrize("incremental", [False, True])
@@ -172,7 +172,7 @@ def test_restatement(spark, tmp_path, incremental):
     again = run_warehouse(spark, base, out, gate=False, incremental=incremental)
     assert e_rows(spark, again, "E5") == [("D1", "2025-01", "2025-02"), ("D2", "2025-02", "2025-03"),
                                           ("D1", "2025-03", None)]
-    head = spark.read.parquet(again.tables["fact_headcount"])
+    head = again.read(spark, "fact_headcount")
     assert head.where("employee_id = 'E5' AND period = '2025-02'").first()["department_id"] == "D2"
     assert head.where("employee_id = 'E6' AND period = '2025-01'").first()["department_id"] == "D1"
     # a second restatement, without corrected rows, removes the employee
@@ -180,7 +180,7 @@ def test_restatement(spark, tmp_path, incremental):
     assert (audit["rows_added"], audit["rows_removed"]) == (0, 3)
     gone = run_warehouse(spark, base, out, gate=False, incremental=incremental)
     assert e_rows(spark, gone, "E7") == [] and len(e_rows(spark, gone, "E5")) == 3
-    assert spark.read.parquet(gone.tables["fact_payroll"]).where("employee_id = 'E7'").count() == 0
+    assert gone.read(spark, "fact_payroll").where("employee_id = 'E7'").count() == 0
     log = spark.read.parquet(f"{out}/silver/restatement_audit_log")
     assert log.count() == 2
     for bad in (("", "2025-01", "2025-02"), ("E5", "2025-03", "2025-02")):
@@ -190,14 +190,15 @@ def test_restatement(spark, tmp_path, incremental):
 
 
 COMPARED = ("headcount_monthly", "fact_workforce_movements", "workforce_movements", "attrition_summary",
-            "fact_headcount", "fact_payroll", "fact_compensation", "compensation_bands", "tenure_bands")
+            "fact_headcount", "fact_payroll", "fact_compensation", "compensation_bands", "tenure_bands", "data_quality_log")
 
 
 def assert_same_tables(spark, inc, rep):
     order = lambda t: tuple("" if x is None else str(x) for x in t)
     for t in COMPARED + tuple(f"dim_{e}" for e in ("employees", "departments", "job_roles", "contracts")):
-        a, b = spark.read.parquet(inc.tables[t]), spark.read.parquet(rep.tables[t])
+        a, b = inc.read(spark, t), rep.read(spark, t)
         cols = [c for c in sorted(a.columns) if c not in ("_ingested_at", "_source_file_name")]
+        assert cols == [c for c in sorted(b.columns) if c not in ("_ingested_at", "_source_file_name")]
         assert sorted(map(tuple, a.select(cols).collect()), key=order) == \
             sorted(map(tuple, b.select(cols).collect()), key=order), t
 
@@ -221,9 +222,9 @@ def test_incremental_equals_full_for_late_split_and_corrected_files(spark, tmp_p
     for i, f in enumerate(sorted(files, key=lambda f: ("part-0" not in f, f))):
         os.utime(f"{base}/{f}", (now + i, now + i))
     full = run_warehouse(spark, base, str(tmp_path / "wh_full"), gate=False)
-    pay = spark.read.parquet(full.tables["fact_payroll"]).where("employee_id = 'E1' AND period = '2025-01'")
+    pay = full.read(spark, "fact_payroll").where("employee_id = 'E1' AND period = '2025-01'")
     assert sorted(float(r["gross_pay"]) for r in pay.collect()) == [100.0, 9999.25]
-    assert spark.read.parquet(full.tables["fact_payroll"]).where("employee_id = 'E2'").count() == 3
+    assert full.read(spark, "fact_payroll").where("employee_id = 'E2'").count() == 3
     rng = random.Random(4)
     first = [f for f in files if "2025-02" in f and "part-0" in f]
     rest = [f for f in files if f not in first]
@@ -250,7 +251,7 @@ def test_period_stopped_by_the_gate_can_be_repaired(spark, tmp_path):
         put(base, p, "employees", lines[:3])
     with pytest.raises(HeadcountAnomaly):
         run_warehouse(spark, base, out, incremental=True)
-    assert not os.path.exists(f"{out}/silver/fact_headcount")
+    assert not os.path.exists(f"{out}/_published")
     put(base, "2025-03", "employees", lines[3:], name="part-1.json")
     inc = run_warehouse(spark, base, out, incremental=True)
     assert inc.gate["headcount"] == 10
@@ -271,7 +272,7 @@ def test_rules_of_every_entity(spark, tmp_path):
     put(base, "2025-02", "contracts", [{"contract_id": "KX", "employee_id": "EX", "contract_type": "TEMP",
                                         "start_date": "2025-01-01"}], name="x.json")
     res = run_warehouse(spark, base, str(tmp_path / "wh"), rules=rules, gate=False)
-    log = spark.read.parquet(res.tables["data_quality_log"])
+    log = res.read(spark, "data_quality_log")
     assert sorted((r["entity"], r["field"], r["employee_id"]) for r in log.collect()) == [
         ("contracts", "employee_id", "EX"), ("departments", "name", "D9")]
 
@@ -290,14 +291,14 @@ def test_incremental_chain_equals_replay(spark, tmp_path):
     rep = run_warehouse(spark, full, str(tmp_path / "wh_replay"), gate=False)
     order = lambda t: tuple("" if x is None else str(x) for x in t)
     for ent in ("employees", "departments", "job_roles", "contracts"):
-        a = spark.read.parquet(inc.tables[f"dim_{ent}"])
-        b = spark.read.parquet(rep.tables[f"dim_{ent}"]).select(*a.columns)
+        a = inc.read(spark, f"dim_{ent}")
+        b = rep.read(spark, f"dim_{ent}").select(*a.columns)
         assert sorted(map(tuple, a.collect()), key=order) == sorted(map(tuple, b.collect()), key=order)
-    assert inc.tables["dim_employees"].endswith("v-3")
+    assert inc.published.number == 3
     for t in ("headcount_monthly", "fact_workforce_movements", "workforce_movements",
               "attrition_summary", "fact_headcount", "fact_payroll", "fact_compensation"):
-        a = spark.read.parquet(inc.tables[t])
-        b = spark.read.parquet(rep.tables[t]).select(*a.columns)
+        a = inc.read(spark, t)
+        b = rep.read(spark, t).select(*a.columns)
         if t.startswith("fact_") and t != "fact_workforce_movements":
             a = a.drop("_ingested_at", "_source_file_name")
             b = b.drop("_ingested_at", "_source_file_name")
@@ -322,7 +323,7 @@ def test_resolutions_persist_across_runs(spark, tmp_path):
     landing(base)
     out = str(tmp_path / "wh")
     first = run_warehouse(spark, base, out, gate=False)
-    log = spark.read.parquet(first.tables["data_quality_log"])
+    log = first.read(spark, "data_quality_log")
     picked = log.where("entity = 'payroll_events' AND field = 'employee_id'")
     n = picked.count()
     assert n == 3
@@ -331,6 +332,6 @@ def test_resolutions_persist_across_runs(spark, tmp_path):
         F.lit("steward").alias("resolved_by"), F.current_timestamp().alias("resolved_at"),
         F.lit("ACCEPT").alias("resolution_type")))
     second = run_warehouse(spark, base, out, gate=False)
-    log2 = spark.read.parquet(second.tables["data_quality_log"])
+    log2 = second.read(spark, "data_quality_log")
     assert log2.where("resolved").count() == n
     assert second.review["total_issues"] == first.review["total_issues"] - n

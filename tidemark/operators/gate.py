@@ -40,7 +40,12 @@ def headcount_gate(df: DataFrame, key: str, period_col: str = "period",
     non-zero row, ``[-(lookback-1), 0]`` for a zero row, whose ``_n`` is
     that of the last non-zero period before it).
     """
-    h = headcount_by_period(df, key, period_col, active)
+    return gate_of_counts(headcount_by_period(df, key, period_col, active), period_col, threshold_pct, lookback)
+
+
+def gate_of_counts(h: DataFrame, period_col: str = "period", threshold_pct: float = DEFAULT_THRESHOLD_PCT,
+                   lookback: int = 3) -> DataFrame:
+    """The gate over (period, headcount) rows, one per period."""
     nz = F.when(F.col("headcount") > 0, F.col("headcount"))
     n = F.sum(F.when(F.col("headcount") > 0, 1).otherwise(0)).over(
         Window.orderBy(period_col).rowsBetween(Window.unboundedPreceding, 0))

@@ -115,7 +115,11 @@ def tenure_bands(fact: DataFrame, dims: Sequence[DimJoin],
     active = F.col("termination_date").isNull() if active is None else active
     counts = count_by(fact, dims, group, key, "employee_count",
                       active & F.col("tenure_band").isNotNull())
+    return with_share(counts, share_of).select(*group, "employee_count", "pct_of_department")
+
+
+def with_share(counts: DataFrame, share_of: Sequence[str] = ("period", "department_id")) -> DataFrame:
+    """Each count's percent of the total of its ``share_of`` group."""
     total = F.sum("employee_count").over(Window.partitionBy(*share_of))
     return (counts.withColumn("_total", total)
-            .withColumn("pct_of_department", pct_2dp(F.col("employee_count"), F.col("_total")))
-            .select(*group, "employee_count", "pct_of_department"))
+            .withColumn("pct_of_department", pct_2dp(F.col("employee_count"), F.col("_total"))).drop("_total"))

@@ -5,8 +5,8 @@ re-reads all history on every run. Here a run finds the periods that newly
 landed files touch and replays the stored dimension from the earliest of them
 (``replay_from``): work in proportion to the open rows and the snapshots from
 there on. Files may arrive late, in parts, in any order, or corrected; the
-result equals the replay of everything. It is written as a new version folder;
-the version being read is never overwritten.
+result equals the replay of everything. It is written to a new folder; the one
+being read is never overwritten.
 """
 
 from __future__ import annotations
@@ -14,31 +14,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.operators.scd2 import END, START, replay_from, replay_snapshots
-from tidemark.sources.tables import table_exists, write_table
-
-
-def _versions(spark: SparkSession, root: str) -> list[str]:
-    if not table_exists(spark, root):
-        return []
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        done = jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
-        if st.isDirectory() and name.startswith("v-") and fs.exists(done):
-            names.append(name)
-    return sorted(names, key=lambda n: int(n[2:]))
-
-
-def latest_version(spark: SparkSession, root: str) -> str | None:
-    """Path of the newest complete version under ``root`` (None if none)."""
-    v = _versions(spark, root)
-    return f"{root.rstrip('/')}/{v[-1]}" if v else None
+from tidemark.sources.tables import write_table
 
 
 def periods_of(rows: DataFrame, period_col: str = "period") -> list[str]:
@@ -46,27 +24,25 @@ def periods_of(rows: DataFrame, period_col: str = "period") -> list[str]:
     return sorted(r[0] for r in rows.select(period_col).distinct().collect() if r[0] is not None)
 
 
-def update_dimension(spark: SparkSession, dim_root: str, snapshots: DataFrame, keys: Sequence[str],
+def update_dimension(spark: SparkSession, stored: str | None, new: str, snapshots: DataFrame, keys: Sequence[str],
                      tracked: Sequence[str], touched: Sequence[str], existing: Sequence[str],
-                     period_col: str = "period", periods: DataFrame | None = None) -> str | None:
-    """Write the next version of the dimension, replayed from the earliest of the
-    ``touched`` periods; returns its path, or the current one if none is touched.
+                     period_col: str = "period", periods: DataFrame | None = None) -> str:
+    """Write the dimension to ``new``, replayed over the ``stored`` one from the
+    earliest of the ``touched`` periods; returns its path, which is the stored one
+    if none is touched.
 
     ``snapshots``: one row per key and period; ``existing``: all periods there
     are now.
     """
     keys, tracked = list(keys), list(tracked)
-    path = latest_version(spark, dim_root)
-    if not touched:
-        return path
-    since = min(touched)
-    if path is None:
+    if stored is None:
         dim = replay_snapshots(snapshots, keys, tracked, period_col, periods=periods)
+    elif not touched:
+        return stored
     else:
+        since = min(touched)
         before = max((p for p in existing if p < since), default=None)
-        dim = replay_from(spark.read.parquet(path), snapshots, keys, tracked, period_col, since,
+        dim = replay_from(spark.read.parquet(stored), snapshots, keys, tracked, period_col, since,
                           before, periods=periods)
-    n = int(path.rsplit("v-", 1)[1]) + 1 if path else 1
-    new = f"{dim_root.rstrip('/')}/v-{n}"
     write_table(dim.select(*keys, *tracked, START, END), new)
     return new

@@ -74,6 +74,24 @@ def with_audit(df: DataFrame, run_id: str) -> DataFrame:
             .withColumn("_pipeline_run_id", F.lit(run_id)).drop("_path", "_modified"))
 
 
+def bronze_schema(entity: str) -> T.StructType:
+    """Columns of an entity's bronze table, which is partitioned by the period of
+    the landing folder and the run. Declared, as a table without rows has no files."""
+    fields = [*ENTITY_FIELDS[entity], RESCUED]
+    times = [T.StructField("_ingested_at", T.TimestampType()), T.StructField("_source_file_name", T.StringType()),
+             T.StructField("_file_modified_at", T.TimestampType())]
+    return T.StructType([*string_schema(fields).fields, *times, *string_schema(PARTITIONS).fields])
+
+
+PARTITIONS = ["_landed", "_pipeline_run_id"]
+
+
+def read_bronze(spark: SparkSession, path: str, entity: str) -> DataFrame:
+    """The bronze table of an entity; filters on ``_landed`` (the period of the
+    landing folder) and ``_pipeline_run_id`` open only the folders that match."""
+    return spark.read.schema(bronze_schema(entity)).parquet(path)
+
+
 def landing_glob(base: str, entity: str, layout: str = "{base}/*/{entity}/") -> str:
     return layout.format(base=base.rstrip("/"), entity=entity)
 

@@ -15,6 +15,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.periods import period_from_path
 from tidemark.sources.landing import (
     ENTITY_FIELDS,
     file_columns,
@@ -43,11 +44,17 @@ def landing_stream(spark: SparkSession, base: str, entity: str,
 def ingest_to_bronze(spark: SparkSession, base: str, entity: str, bronze_path: str,
                      checkpoint: str, fields: Sequence[str] | None = None,
                      run_id: str | None = None, layout: str = "{base}/*/{entity}/",
-                     timeout_s: float | None = None) -> str:
-    """Append every newly landed file to the bronze parquet table and stop."""
-    q = (landing_stream(spark, base, entity, fields, run_id, layout)
-         .writeStream.format("parquet")
-         .option("path", bronze_path)
+                     timeout_s: float | None = None, partition_by: Sequence[str] = ()) -> str:
+    """Append every newly landed file to the bronze parquet table and stop.
+
+    ``partition_by`` may name ``_landed``, the period of the landing folder."""
+    rows = landing_stream(spark, base, entity, fields, run_id, layout)
+    if "_landed" in partition_by:
+        rows = rows.withColumn("_landed", period_from_path("_source_file_name"))
+    sink = rows.writeStream.format("parquet").option("path", bronze_path)
+    if partition_by:
+        sink = sink.partitionBy(*partition_by)
+    q = (sink
          .option("checkpointLocation", checkpoint)
          .outputMode("append")
          .trigger(availableNow=True)
