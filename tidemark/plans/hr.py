@@ -409,7 +409,7 @@ def update_tables(spark: SparkSession, out_root: str, raw: dict[str, DataFrame],
     maintained.update_counts(up, emp)
     check(up.read("headcount_counts"))
     up.put("fact_compensation", fact_compensation(rows_of("compensation", "fact_compensation")), comp)
-    maintained.update_payroll(up, bronze["payroll_events"], todo.payroll_periods, fact_payroll)
+    maintained.update_payroll(up, bronze["payroll_events"], todo.payroll_periods, todo.touched["payroll_events"], fact_payroll)
     if end_at_termination:  # absence depends on dates, not on versions: from all of the stored fact
         head = up.read("fact_headcount")
         moves = movements(present_employees(head, True), ["employee_id"], "period", ["department_id", "role_id"], rehire=rehire,

@@ -10,7 +10,8 @@ What reaches other periods, and how a run finds it without reading them:
 * a *dimension* is replayed from the earliest touched period; movements dated
   from there on are derived anew from its versions, earlier ones cannot change;
 * an employee who becomes known brings in payroll lines that were left out: a
-  table of such lines' keys by period (``payroll_orphans``) says where;
+  table of such lines' keys by period (``payroll_orphans``) says where, and one
+  of the line periods in each landing folder (``payroll_landed``) what to open;
 * a key that arrives cures log entries that missed it: the log itself is the
   index from the missing key to its periods. Keys are kept by period
   (``keys_*``), so those that a restatement removes are found too; only for
@@ -155,11 +156,14 @@ def update_log(up: Update, bronze: dict[str, DataFrame], headcount: DataFrame, r
 # Facts -------------------------------------------------------------------------
 
 
-def update_payroll(up: Update, bronze: DataFrame, periods: set, fact_of: Callable) -> None:
+def update_payroll(up: Update, bronze: DataFrame, periods: set, landed: set, fact_of: Callable) -> None:
     """Payroll lines of known employees, and the keys of those left out. A period
-    here is the line's own; an empty one is none."""
+    here is the line's own; an empty one is none. ``payroll_landed`` has the line
+    periods of each landing folder, so that only folders with touched ones are read."""
     people = up.read("dim_employees").select("employee_id").distinct()
     lines = bronze.withColumn("period", F.nullif("period", F.lit("")))
+    folders = lines if up.is_new("payroll_landed") else lines.where(is_in("_landed", landed))
+    up.put("payroll_landed", folders.select("period", F.col("_landed").alias("landed")).distinct(), landed, ["landed"])
     touched = set(periods)
     if not up.is_new("fact_payroll"):
         former = up.was("dim_employees").select("employee_id").distinct()
@@ -168,7 +172,10 @@ def update_payroll(up: Update, bronze: DataFrame, periods: set, fact_of: Callabl
         if not went.isEmpty():
             touched |= distinct_values(up.was("fact_payroll").join(went, "employee_id", "left_semi"), "period")
     touched = {p or None for p in touched}
-    rows = lines if up.is_new("fact_payroll") else lines.where(is_in("period", touched))
+    rows = lines
+    if not up.is_new("fact_payroll"):
+        folder = up.read("payroll_landed").where(is_in("period", touched))
+        rows = lines.where(is_in("_landed", distinct_values(folder, "landed")) & is_in("period", touched))
     up.put("fact_payroll", fact_of(rows, people), touched)
     orphans = rows.where(F.col("employee_id").isNotNull()).select("employee_id", "period").distinct()
     up.put("payroll_orphans", orphans.join(people, "employee_id", "left_anti").select("employee_id", "period"), touched)
