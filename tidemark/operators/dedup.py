@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.periods import period_from_path
@@ -70,6 +70,15 @@ def rows_of_newest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     return df.join(newest, same).select(*df.columns)
 
 
+def rows_of_newest_in_window(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """``rows_of_newest`` for keys that hold few rows each: one scan and one
+    shuffle of the rows, where the join form reads them twice. A group is one
+    task's, so keys that may be null or hot belong to the other form."""
+    newest = F.max(F.struct(*order_by)).over(Window.partitionBy(*keys))
+    marked = df.withColumn("_newest", newest)
+    return marked.where(F.struct(*order_by).eqNullSafe(F.col("_newest"))).drop("_newest")
+
+
 def latest_per_key_by_path(df: DataFrame, keys: Sequence[str],
                            path_col: str = "_source_file_name",
                            ingested_col: str = "_ingested_at") -> DataFrame:

@@ -152,10 +152,11 @@ def q_attrition_summary(spark: SparkSession, d: str) -> DataFrame:
 def q_attrition_rolling(spark: SparkSession, d: str) -> DataFrame:
     """A2r: the same over the trailing 12 months, up to the last month shipped.
 
-    The last month is one scalar over one column of ``lineitem`` (a cheap
-    scan), not over the summary, which would re-run the whole movement plan."""
+    The last month is that of the last day shipped, one scalar over one column
+    of ``lineitem`` (a cheap scan, formatted once), not over the summary, which
+    would re-run the whole movement plan."""
     li = table(spark, d, "lineitem").where(F.col("l_partkey").isNotNull())
-    last = li.select(F.max(period_of("l_shipdate"))).first()[0]
+    last = li.agg(F.max("l_shipdate").alias("day")).select(period_of("day")).first()[0]
     return marts.rolling_attrition(q_attrition_summary(spark, d), last_period=last)
 
 

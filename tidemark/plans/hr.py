@@ -22,7 +22,7 @@ from tidemark.functions.periods import period_from_path
 from tidemark.operators import marts
 from tidemark.operators import quality as dq
 from tidemark.operators.calendar import dim_date
-from tidemark.operators.dedup import drop_null_keys, latest_per_key, rows_of_newest
+from tidemark.operators.dedup import drop_null_keys, latest_per_key, rows_of_newest, rows_of_newest_in_window
 from tidemark.operators.facts import compensation_fact, payroll_fact, repair_before, with_tenure
 from tidemark.operators.gate import assert_no_anomaly, gate_of_counts, headcount_gate
 from tidemark.operators.movements import movements, movements_from_history
@@ -109,7 +109,8 @@ def fact_payroll(bronze_payroll: DataFrame, bronze_employees: DataFrame) -> Data
     valid = payroll_fact(lines, bronze_employees.where(F.col("employee_id").isNotNull()),
                          "employee_id", ["employee_id", "period", "gross_pay", "deductions",
                                          "net_pay", *NEWEST])
-    return rows_of_newest(valid, ["employee_id", "period"], NEWEST).drop("_file_modified_at")
+    # Lines of a known employee and a period are few, as the period is a month of pay.
+    return rows_of_newest_in_window(valid, ["employee_id", "period"], NEWEST).drop("_file_modified_at")
 
 
 def fact_compensation(bronze_comp: DataFrame) -> DataFrame:
