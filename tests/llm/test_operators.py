@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import sys
 
@@ -175,11 +176,31 @@ def test_transducer_is_the_library():
     @hypothesis.given(parts, st.integers(1, 20))
     def check(texts, chunk):
         text = "".join(texts)
-        assert machine.count(text) == machine.count(text, chunk) == len(library.encode(text, add_special_tokens=False).ids)
+        want = len(library.encode(text, add_special_tokens=False).ids)
+        maps = [token_count.SPECIAL if c is None else machine.chunk_map(c) for c in machine.chunks(text, chunk)] or [("", None, "")]
+        left, right = functools.reduce(machine.composed, maps), maps[-1]
+        for m in maps[-2::-1]:  # composing is associative
+            right = machine.composed(m, right)
+        assert machine.count(text) == machine.closed(left) == machine.closed(right) == want
 
     check()
 
 
+def test_token_counts_of_texts_in_many_chunks(spark):
+    """Chunks of several texts over several rounds and partitions; special strings,
+    words across chunks and a text without white space."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    texts = [" ".join(f"word{i}s, antidis establish" for i in range(900)), "x" * 5000, "<|endoftext|>" * 300 + "ab<|startoftext|> cd " * 200,
+             "É t é\n" * 2000, "short", None, "a " * 2600, "z" * 1001, ("y" * 999 + " ") * 9]
+    rows = [(i % 4, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = token_count.count_tokens(df, path, chunk_chars=100, fan=3).select("doc_id", "n_bytes", "n_tokens").collect()
+    same(got, [(d, len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for d, t in rows])
+
+
 def test_substring_dedup(docs, none):
     got = substring_dedup.dedup_substrings(docs, bucket_bytes=4000, flush_bytes=500)
     same(got.select("doc_id", "n_words", "n_removed", "kept_sha256").collect(), brute.substring_dedup(pairs()))

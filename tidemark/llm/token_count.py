@@ -15,12 +15,15 @@ word is read by a final transition, as tokenizers mark it (``</w>``). States
 and transitions are compiled when first met and kept; past ``most_states`` the
 table is emptied and filled anew, as lazily built automata do.
 
-A text is read in chunks. What a chunk does to the machine is a map from the
+A long text is read in chunks. What a chunk does to the machine is a map from the
 state it is entered with: the letters before its first word boundary go to the
 entering word, the words inside count on their own, the letters after the last
-boundary are the word it leaves open. Such maps (``head, count, tail``) compose
-and composing is associative, so the chunks of a long text are mapped one by
-one, and composed in order by the task that has the text.
+boundary are the word it leaves open. Such maps (``head, count, tail``) compose,
+and composing is associative. So the chunks of a text are rows of their own,
+mapped on any executor, and their maps are composed by the up-sweep of a parallel
+prefix scan: every ``FAN`` neighbours become one map, round by round, each round
+a shuffle of maps, never of text. A special string is a map too: a boundary on
+both sides that counts one.
 """
 
 from __future__ import annotations
@@ -30,14 +33,15 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.packing import _byte_letters
+from tidemark.session import scratch_dir
 
 _transducers: dict[str, "Transducer"] = {}
 
@@ -191,18 +195,21 @@ class Transducer:
         """The count of a map entered and left at a text's ends."""
         return self.count_words(self.words.findall(m[0])) + (m[1] or 0) + self.count_words(self.words.findall(m[2]))
 
-    def count(self, text: str, chunk_chars: int = 1 << 20) -> int:
+    def count(self, text: str) -> int:
         """Tokens of a text, special strings in it one token each."""
-        total = 0
+        parts = self.cut_special.split(text)
+        return len(parts) - 1 + sum(self.count_words(self.words.findall(self.normalized(p))) for p in parts)
+
+    def chunks(self, text: str, chunk_chars: int) -> Iterator[str | None]:
+        """The chunks of a text's normalised parts, None for a special string."""
         for i, part in enumerate(self.cut_special.split(text)):
-            total += i > 0
+            if i:
+                yield None
             part = self.normalized(part)
-            if len(part) <= chunk_chars:
-                total += self.count_words(self.words.findall(part))
-            else:
-                maps = (self.chunk_map(part[j:j + chunk_chars]) for j in range(0, len(part), chunk_chars))
-                total += self.closed(reduce(self.composed, maps))
-        return total
+            yield from (part[j:j + chunk_chars] for j in range(0, len(part), chunk_chars))
+
+
+SPECIAL = ("", 1, "")  # the map of a special string
 
 
 def transducer(path: str) -> Transducer:
@@ -212,32 +219,117 @@ def transducer(path: str) -> Transducer:
     return _transducers[path]
 
 
-def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, chunk_chars: int = 1 << 20) -> DataFrame:
-    """doc_id, n_bytes (UTF-8), n_tokens and over_limit of every whole text.
+FAN = 64  # maps composed into one in a round
+_PARTS = "doc_id long, n_bytes long, n_tokens long, row long, chunk long, text string"
+_MAPS = "row long, chunk long, head string, count long, tail string"
 
-    A null text is an empty one (0 tokens); a null doc_id stays; repeated rows
-    are counted each; other columns are not read; an empty table gives no rows.
-    One pass over the rows, no shuffle; a text longer than ``chunk_chars`` is
-    read chunk by chunk.
-    """
+
+def _columns(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "string": pa.string()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(zip(*rows, strict=True), fields, strict=True)],
+                                      [n for n, _ in fields])
+
+
+def _read(tokenizer: str, chunk_chars: int):
+    """Texts -> their counts, and long ones as a row without count and its chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
 
         machine, library = transducer(tokenizer), None
+        row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            counts = []
-            for value in batch.column(2):
+            out, size = [], 0
+            for doc_id, n_bytes, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 text = value.as_py()
-                if _COMMON.fullmatch(text):
-                    counts.append(machine.count(text, chunk_chars))
-                else:
+                if not _COMMON.fullmatch(text):
                     library = library or Tokenizer.from_file(tokenizer)
-                    counts.append(len(library.encode(text, add_special_tokens=False).ids))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64())],
-                                             ["doc_id", "n_bytes", "n_tokens"])
+                    out.append((doc_id, n_bytes, len(library.encode(text, add_special_tokens=False).ids), None, None, None))
+                elif len(text) <= chunk_chars:
+                    out.append((doc_id, n_bytes, machine.count(text), None, None, None))
+                else:
+                    out.append((doc_id, n_bytes, None, row, None, None))
+                    for at, chunk in enumerate(machine.chunks(text, chunk_chars)):
+                        out.append((None, None, None, row, at, chunk))
+                        size += len(chunk or "")
+                        if size > 8 << 20:
+                            yield _columns(out, _PARTS)
+                            out, size = [], 0
+                    row += 1
+            if out:
+                yield _columns(out, _PARTS)
+
+    return run
+
+
+def _map_chunks(tokenizer: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = transducer(tokenizer)
+        for batch in batches:
+            rows = [(row, chunk, *(SPECIAL if not text.is_valid else machine.chunk_map(text.as_py())))
+                    for row, chunk, text in zip(batch.column("row").to_pylist(), batch.column("chunk").to_pylist(), batch.column("text"), strict=True)]
+            if rows:
+                yield _columns(rows, _MAPS)
+    return run
 
+
+def _compose(tokenizer: str, fan: int):
+    """Maps in order of (row, chunk) -> one map for each run of ``fan`` chunks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine, key, held = transducer(tokenizer), None, None
+        for batch in batches:
+            out = []
+            for row, chunk, head, count, tail in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (row, chunk // fan) != key:
+                    if key is not None:
+                        out.append((*key, *held))
+                    key, held = (row, chunk // fan), (head, count, tail)
+                else:
+                    held = machine.composed(held, (head, count, tail))
+            if out:
+                yield _columns(out, _MAPS)
+        if key is not None:
+            yield _columns([(*key, *held)], _MAPS)
+
+    return run
+
+
+def _close(tokenizer: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = transducer(tokenizer)
+        for batch in batches:
+            rows = [(row, machine.closed((head, count, tail))) for row, _, head, count, tail in zip(
+                *(c.to_pylist() for c in batch.columns), strict=True)]
+            if rows:
+                yield _columns(rows, "row long, counted long")
+    return run
+
+
+def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, chunk_chars: int = 1 << 14, fan: int = FAN) -> DataFrame:
+    """doc_id, n_bytes (UTF-8), n_tokens and over_limit of every whole text.
+
+    A null text is an empty one (0 tokens); a null doc_id stays; repeated rows
+    are counted each; other columns are not read; an empty table gives no rows.
+    A text up to ``chunk_chars`` is counted where it is read. The chunks of longer
+    ones are written to the shared folder and dealt to all tasks. A text with
+    characters outside common Latin is the library's, and one task's.
+    """
     text = F.coalesce("text", F.lit(""))
-    read = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
-    out = read.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
-    return out.withColumn("over_limit", F.col("n_tokens") > limit)
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text"))
+    path = f"{scratch_dir(docs.sparkSession, 'token-counts')}/parts"
+    read.mapInArrow(_read(tokenizer, chunk_chars), _PARTS).write.parquet(path)
+    parts = docs.sparkSession.read.schema(_PARTS).parquet(path)
+    chunks = parts.where("chunk is not null").select("row", "chunk", "text")
+    last = chunks.agg(F.max("chunk")).first()[0]
+    counted = parts.where("row is null").select("doc_id", "n_bytes", "n_tokens")
+    if last is not None:
+        maps = chunks.repartition("row", "chunk").mapInArrow(_map_chunks(tokenizer), _MAPS)
+        while last > 0:  # the number of rounds is the logarithm of the longest text's chunks
+            dealt = maps.repartition(F.col("row"), F.floor(F.col("chunk") / fan)).sortWithinPartitions("row", "chunk")
+            maps, last = dealt.mapInArrow(_compose(tokenizer, fan), _MAPS), last // fan
+        long_ = parts.where("row is not null and chunk is null").select("doc_id", "n_bytes", "row")
+        totals = long_.join(maps.mapInArrow(_close(tokenizer), "row long, counted long"), "row")
+        counted = counted.unionByName(totals.select("doc_id", "n_bytes", F.col("counted").alias("n_tokens")))
+    return counted.withColumn("over_limit", F.col("n_tokens") > limit)
