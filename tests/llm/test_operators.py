@@ -98,6 +98,47 @@ def test_html_keeps_paragraphs_beside_a_long_one():
         assert html.main_text(page) == "\n".join(texts)
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<article><section id='search-algorithms'><p>{long}</p></section><p>other</p></article>", "{long}\nother"),
+    ("<article><div class='related-work'><p>aaa</p></div><section class='social-history'>bbb</section><h2 id='related-work'>ccc</h2><p>x</p>"
+     "<div class='related-posts'>zzz</div><section id='comments'><p>c1</p></section><div class='x comment-list-2'>c2</div></article>", "aaa\nbbb\nccc\nx"),
+    ("<article><p>a <span hidden>secret</span> b <span class='sr-only'>no</span></p><p>c <span class='ad'>buy</p><p>d</p></article>", "a b\nc\nd"),
+    ("<main><h1>T</h1></main><p>{long}</p>", "T\n{long}"),
+    ("<div><p>{long} <a class='share-link'>share</a> on</p></div>", "{long} on"),
+    ("<div><span class='menu'><div>links</div></span><p>{long}</p></div>", "{long}"),
+])
+def test_html_marks_count_where_they_stand(page, text):
+    long = "long text " * 30
+    assert html.main_text(page.format(long=long)) == text.format(long=long.strip())
+
+
+def test_html_of_built_pages(spark):
+    """Pages built from parts whose role is known: the article's blocks are its text."""
+    import random
+
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    beside = ["<nav><ul><li>{}</li><li>{}</li></ul></nav>", "<div class='sidebar'><p>{}</p>{}</div>", "<footer>{} {}</footer>",
+              "<div id='cookie-notice'>{}<button>{}</button></div>", "<form><label>{}</label><input value='{}'></form>", "<aside>{}<p>{}</p></aside>",
+              "<script>{} < {}</script>", "<div class='ad-slot'>{} {}</div>", "<div class='user-comments'><p>{}</p><p>{}</p></div>"]
+    pages = []
+    for i in range(60):
+        blocks, body = [], []
+        for _ in range(rng.randint(3, 9)):
+            text = prose(rng.randint(30, 60))
+            blocks.append(text)
+            body.append(rng.choice(["<p>{}</p>", "<p>{}", "<blockquote>{}</blockquote>", "<p class='lead'>{}<span hidden>gone</span></p>"]).format(text))
+            if rng.random() < .3:
+                body.append(rng.choice(beside[1:]).format(word(), word()))
+        tag = rng.choice(["article", "main"])
+        around = [rng.choice(beside).format(prose(2), prose(3)) for _ in range(6)]
+        pages.append((i, f"<html><head><title>{prose(3)}</title></head><body>{''.join(around[:3])}<{tag}>{''.join(body)}</{tag}>"
+                         f"{''.join(around[3:])}</body></html>", "\n".join(blocks)))
+    df = spark.createDataFrame([(p, h) for p, h, _ in pages], "page_id long, html string").withColumn("url", F.lit("u"))
+    assert {r.page_id: r.text for r in html.extract(df).collect()} == {p: t for p, _, t in pages}
+
+
 def test_html_names_mark_no_container_of_the_article():
     text = "A paragraph of the article, long enough to count as text."
     for name in ("has-sidebar", "no-sidebar", "content-with-sidebar", "layout no-comments", "page-sidebar-right"):

@@ -11,9 +11,15 @@ The ratio of characters to tags of the blocks, in page order, is bounded by
 mean; the bound keeps one long block from lifting it above plain paragraphs. Runs
 of blocks above it are the content clusters. A cluster selects a region: the section
 (``article``, ``main``) around it if there is one, else the run itself with the
-short blocks between its ends and the paragraphs and headings that adjoin them. A
-name marks no section, and no element that holds most of the page's text. Inside a region nothing but marked parts is
-dropped, so a one-word paragraph of an article stays.
+short blocks between its ends and the paragraphs and headings that adjoin them.
+Where sections hold less than a fifth of the text in clusters, both regions are
+taken. Inside a region nothing but marked parts is dropped, so a one-word
+paragraph of an article stays.
+
+A name marks no section, no heading, and no element that holds most of the
+page's text. Inside a section it marks only as a whole: ``comments``, or
+``comment-list`` of a dropped word and words of layout, but not ``related-work``.
+Marks of inline elements go with their own text, not with the block around it.
 """
 
 from __future__ import annotations
@@ -47,6 +53,12 @@ DROPPED_NAMES = re.compile(
     r"notification|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|"
     r"recommended|pagination|pager|toolbar|search|complementary|contentinfo|dialog|hidden|sr-only|toc|copyright|"
     r"disclaimer)(?:$|[\s_-])", re.I)
+# Words that stand beside a dropped one in the name of the same kind of part.
+LAYOUT_WORDS = set(
+    "area bar block body bottom box btn bubble button buttons card cards center column container content count entry field first footer form "
+    "group header heading icon icons inner inline item items js label last left link links list main message module more my outer page panel "
+    "pane post posts article articles row section site slot stories story tag text this title top unit user users reader readers view "
+    "wrap wrapper right primary secondary global local mobile desktop sticky fixed floating x".split())
 # What a container says of its parts (has-sidebar, content-with-comments) marks nothing.
 MODIFIED = re.compile(r"(?:^|(?<=[\s_-]))(?:has|no|with|without)[_-]\S*", re.I)
 LONG = 100  # characters a tag from which on a block is text for sure
@@ -54,9 +66,21 @@ PROSE_TAGS = {"p", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6"}
 SPACE = re.compile(r"[\s ]+")
 # A header is the page's own outside an article; inside, it holds the title.
 HEADER_NAMES = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])", re.I)
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _UNCLOSED = re.compile(r"<(?:[a-zA-Z/!?][^<>]*)?$")
 
 
+def marks_as_a_whole(names: str) -> bool:
+    """Whether one of the names (parted by spaces) is made of dropped words and
+    words of layout only, with a dropped one among them."""
+    for name in names.lower().split():
+        words = [w for w in re.split(r"[_-]+", name) if w]
+        dropped = [bool(DROPPED_NAMES.search(w)) for w in words]
+        if DROPPED_NAMES.fullmatch(name) or any(dropped) and all(d or w in LAYOUT_WORDS or w[0].isdigit() for w, d in zip(words, dropped, strict=True)):
+            return True
+    return False
+
+
 class Blocks(HTMLParser):
     """Blocks of one page, in order, as (text, tags, section, dropped, names,
     prose); ``names``: the elements around it that are dropped by name only."""
@@ -66,7 +90,6 @@ class Blocks(HTMLParser):
         self.blocks: list[tuple[str, int, int, bool, tuple[int, ...], bool]] = []
         self.open: list[tuple[str, bool, int, int]] = []  # tag, starts a dropped part, section, number if dropped by name
         self.named = 0
-        self.dropped = 0
         self.sections = 0
         self.parts: list[str] = []
         self.tags = 0
@@ -74,11 +97,20 @@ class Blocks(HTMLParser):
     def section(self) -> int:
         return next((s for _, _, s, _ in reversed(self.open) if s), 0)
 
+    def around(self) -> list[tuple[str, bool, int, int]]:
+        """The open elements, without inline ones inside the innermost block."""
+        n = len(self.open)
+        while n and self.open[n - 1][0] not in BLOCK_TAGS | DROPPED_TAGS:
+            n -= 1
+        return self.open[:n]
+
     def end_block(self) -> None:
         text = SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
-            names = tuple(k for *_, k in self.open if k)
-            self.blocks.append((text, max(self.tags, 1), self.section(), self.dropped > 0, names, any(o[0] in PROSE_TAGS for o in self.open)))
+            around = self.around()
+            names = tuple(k for *_, k in around if k)
+            self.blocks.append((text, max(self.tags, 1), self.section(), any(d for _, d, _, _ in around), names,
+                                any(o[0] in PROSE_TAGS for o in around)))
         self.parts, self.tags = [], 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -96,15 +128,14 @@ class Blocks(HTMLParser):
         names = MODIFIED.sub("", names)
         inside = any(s for _, _, s, _ in self.open)
         drop = tag in DROPPED_TAGS or hidden or not inside and tag == "header"
-        by_name = not drop and tag not in SECTION_TAGS | {"html", "body"} and bool(
-            DROPPED_NAMES.search(names) or not inside and HEADER_NAMES.search(names))
+        by_name = not drop and tag not in SECTION_TAGS | HEADINGS | {"html", "body"} and (
+            marks_as_a_whole(names) if inside else bool(DROPPED_NAMES.search(names) or HEADER_NAMES.search(names)))
         self.named += by_name
         number = 0
         if tag in SECTION_TAGS:
             self.sections += 1
             number = self.sections
         self.open.append((tag, drop, number, self.named if by_name else 0))
-        self.dropped += drop
 
     def close_sibling(self, ends: set[str]) -> None:
         """End an open element of the same list or table, but none outside it."""
@@ -116,7 +147,6 @@ class Blocks(HTMLParser):
                 return
 
     def pop_to(self, i: int) -> None:
-        self.dropped -= sum(d for _, d, _, _ in self.open[i:])
         del self.open[i:]
 
     def handle_endtag(self, tag: str) -> None:
@@ -134,7 +164,8 @@ class Blocks(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_data(self, data: str) -> None:
-        if not (self.open and self.open[-1][0] in ("script", "style")):
+        if not (self.open and self.open[-1][0] in ("script", "style")) and not any(
+                drop or name for _, drop, _, name in self.open[len(self.around()):]):
             self.parts.append(data)
 
 
@@ -181,16 +212,16 @@ def main_text(html: str, sigma: float = 1.0) -> str:
     sections = {blocks[i][2] for i in clusters} - {0}
     if not sections:
         sections = {blocks[i][2] for i in kept} - {0}
-    if sections:
-        chosen = [i for i in kept if blocks[i][2] in sections]
-    else:
-        first, last = clusters[0], clusters[-1]
+    chosen = {i for i in kept if blocks[i][2] in sections}
+    outside = [i for i in clusters if not blocks[i][2]]
+    if not sections or sum(len(blocks[i][0]) for i in outside) > 4 * sum(len(blocks[i][0]) for i in chosen):
+        first, last = outside[0], outside[-1]
         while first and blocks[first - 1][4] and not blocks[first - 1][3]:
             first -= 1
         while last + 1 < len(blocks) and blocks[last + 1][4] and not blocks[last + 1][3]:
             last += 1
-        chosen = [i for i in kept if first <= i <= last]
-    return "\n".join(blocks[i][0] for i in chosen)
+        chosen |= {i for i in kept if first <= i <= last}
+    return "\n".join(blocks[i][0] for i in sorted(chosen))
 
 
 def extract(pages: DataFrame, sigma: float = 1.0) -> DataFrame:
