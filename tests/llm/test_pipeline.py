@@ -61,7 +61,7 @@ def expected_pieces(spark):
     rows = [(d, t) for (d, t), (_, _, c) in zip(rows, brute.jaccard_classes(rows, 80, 5), strict=True) if c == d]
     hit = {d for d, _ in brute.overlaps(rows, items, decontaminate.allowed)}
     rows = [(d, t) for d, t in rows if d not in hit]
-    model = pii.train(pii.described(spark.createDataFrame(rows, "doc_id long, text string")))
+    model = pii.train(spark)
     spans = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
     library = Tokenizer.from_file(path("byte_bpe_50k.json"))
     out = set()

@@ -7,11 +7,16 @@ key-like runs. A candidate is described by a few small counts of its format and
 of the words before it. Boosted trees score it, and a threshold per generator,
 calibrated on candidates the trees have not seen, selects it.
 
-All candidates are labelled by rule (a valid base span, a number with a sound
-check sum or length, a key-like value after a cue word) and summed by feature vector, in Spark. The sums, one row per
-vector and at most ``VECTORS`` of them, the most frequent first, are what the
-boosting loop reads; it is plain Python over that small table. The trees go
-back to Spark as one SQL expression.
+No table has labels for personal data, so the trees learn from *constructed*
+examples (``examples``): values of many shapes, set into contexts of which some
+ask for them (a cue before a key or a number) and others do not (a commit, an
+order, a file). The label is what the example was made as; the features see only
+the text. The same shapes stand on both sides, so neither shape nor cue tells
+alone. Half of the examples, by a hash, fit the trees, the other half calibrate
+and measure them (``quality_by_generator``). The examples are a fixed number of
+rows made in Spark, summed by feature vector; the sums, at most ``VECTORS``,
+are what the boosting loop, plain Python, reads. The trees go back to Spark as
+one SQL expression, and every text is judged by them.
 
 Places are code points. They come from splitting a text at a pattern: the
 lengths of the pieces and of the matches add up to the place of each match.
@@ -24,7 +29,7 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KINDS = ["email", "ip", "card", "phone", "secret"]  # in the order of results
@@ -58,6 +63,7 @@ _NUMBER = {name: i for i, (name, *_) in enumerate(GENERATORS)}
 # A text without a match of this has no base span and no candidate.
 _ANY = r"[0-9@]|\((?:at|AT)\)|\[(?:at|AT)\]"
 VECTORS = 20_000
+EXAMPLES = 20_000  # constructed rows that the trees learn from
 CONTEXT = 24  # code points before a candidate that its features see
 _CUES = {
     "cue_key": "(?i)(?:pass(?:word|wd)?|pwd|token|secret|api|key)[\x20\"'_-]*$|(?i)(?:pass(?:word|wd)?|pwd|token|secret|key)[\x20]*[=:][\x20]*[\"']?$",
@@ -246,7 +252,7 @@ def _best_split(cells: list[tuple], names: list[str]) -> tuple[float, str, int,
     return best
 
 
-def boost(cells: list[tuple[dict[str, int], float, float]], rounds: int = 40, rate: float = 0.3) -> Model:
+def boost(cells: list[tuple[dict[str, int], float, float]], rounds: int = 80, rate: float = 0.3) -> Model:
     """Trees for cells (features, positives, negatives) under logistic loss."""
     names = [n for n in FEATURES if len({x[n] for x, _, _ in cells}) > 1] or FEATURES[:1]
     pos, neg = sum(p for _, p, _ in cells), sum(n for _, _, n in cells)
@@ -267,41 +273,126 @@ def boost(cells: list[tuple[dict[str, int], float, float]], rounds: int = 40, ra
     return model
 
 
-def calibrate(model: Model, held_out: list[tuple], precision: float = 0.98) -> None:
-    """Per generator, the lowest score from which on the held-out cells are
-    positive at ``precision``; without such a score it selects nothing."""
+def calibrate(model: Model, held_out: list[tuple], precision: float = 0.99, least: float = 0.9) -> None:
+    """Per generator, the lowest score whose own held-out cells are positive at
+    ``least`` while all from it on are at ``precision``; without such a score it
+    selects nothing."""
     for g in {x["generator"] for x, _, _ in held_out}:
-        ranked = sorted(((model.score(x), p, n) for x, p, n in held_out if x["generator"] == g), key=lambda r: -r[0])
+        by_score: dict[float, list[float]] = {}
+        for x, p, n in held_out:
+            if x["generator"] == g:
+                sums = by_score.setdefault(round(model.score(x), 9), [0.0, 0.0])
+                sums[0] += p
+                sums[1] += n
         good = all_ = 0.0
-        for i, (s, p, n) in enumerate(ranked):
+        for s, (p, n) in sorted(by_score.items(), reverse=True):
             good, all_ = good + p, all_ + p + n
-            last_of_score = i + 1 == len(ranked) or ranked[i + 1][0] < s
-            if last_of_score and good >= precision * all_ and good > 0:
+            if good < precision * all_:
+                break
+            if p >= least * (p + n):
                 model.thresholds[g] = s - 1e-6
 
 
-def train(rows: DataFrame, vectors: int = VECTORS) -> Model:
-    """Fit the trees on the candidates of ``described`` rows, one half of them,
-    and calibrate on the other, split by a hash of their place."""
+# Examples -------------------------------------------------------------------
+
+# The words of constructed contexts and values.
+_LEADS = ["We wrote: ", "", "Please note the ", "in the log, ", "Das ist ", "1. ", "see also\n", "il faut le ", "el texto: ", "- "]
+_WORDS = ["hunter", "correct", "horse", "battery", "staple", "dragon", "summer", "monkey", "shadow", "winter", "ab", "qwerty"]
+_KEY_CUES = ["password: ", "password=", "Passwd = ", "pwd = ", "pwd:", "token=", "token: ", "auth_token = ", "secret: ", "client secret ",
+             "api key \"", "API_KEY=", "api-key: ", "access key ", "key = ", "key: '", "pass ", "PASSWORD \""]
+_CALL_CUES = ["tel: ", "Tel. ", "phone ", "Phone: ", "call ", "fax: ", "mobile: ", "Telefon ", "t\u00e9l. ", "ruf "]
+_PLAIN = ["commit ", "order ", "version ", "id: ", "id=", "file ", "build: ", "part no. ", "ticket ", "model ", "sha1=", "ref: ", "section ",
+          "https://example.org/a/", "img_", "the number ", "isbn ", "year ", "size=", "", "und ", "page ", "see "]
+
+
+def examples(spark: SparkSession, n: int = EXAMPLES) -> DataFrame:
+    """``n`` constructed texts: text, the value's place (start, end), the kind that
+    was set into it and whether it is personal (label)."""
+    def pick(options: list, salt: int) -> Column:
+        return F.get(F.array(*(o if isinstance(o, Column) else F.lit(o) for o in options)),
+                     F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(len(options))).cast("int"))
+
+    def digits(k: int, salt: int) -> Column:
+        return F.substring(F.translate(F.md5(F.concat_ws("d", "id", F.lit(salt))), "abcdef", "193857"), 1, k)
+
+    def word(salt: int) -> Column:
+        return pick(_WORDS, salt)
+
+    def mixed(k: Column | int, salt: int, letters: str = "K7mQz2XpRt9LvB4s") -> Column:
+        hexes = F.concat(*(F.md5(F.concat_ws("m", "id", F.lit(salt + i))) for i in range(2)))
+        return F.substring(F.translate(hexes, "0123456789abcdef", letters), F.lit(1), k if isinstance(k, Column) else F.lit(k))
+
+    length = F.lit(12) + F.pmod(F.xxhash64("id", F.lit(99)), F.lit(29)).cast("int")
+    sha = F.sha1(F.col("id").cast("string"))
+    key = pick([mixed(length, 1), F.concat(word(2), digits(2, 3), word(4), digits(2, 5)), sha, F.substring(sha, F.lit(1), length),
+                F.concat(word(6), digits(1, 7), word(8), digits(1, 9), word(10), digits(1, 11), word(12)), F.md5(F.col("id").cast("string")),
+                mixed(length, 13, "abc123def456ghi7"), mixed(length, 14, "ZX9KQ2LM5PN8ABCD"),
+                F.concat_ws("-", word(15), digits(4, 16), word(17), word(18))], 20)
+    key = F.when(F.length(key) < 12, F.concat(key, F.lit("x9"), key)).otherwise(key)
+    account = F.concat(pick(["AKIA", "ASIA", "AGPA"], 21), mixed(16, 22, "ZX9KQ2LM5PN8ABCD"))
+    number = pick([F.concat(F.lit("0"), digits(2, 23), F.lit(" "), digits(7, 24)), F.concat_ws("-", digits(3, 25), digits(3, 26), digits(4, 27)),
+                   F.concat(F.lit("0"), digits(3, 28), F.lit(" "), digits(8, 29)), digits(10, 30),
+                   F.concat_ws(" ", F.concat(F.lit("0"), digits(1, 31)), digits(2, 32), digits(2, 33), digits(2, 34), digits(2, 35))], 36)
+    local = F.concat(F.lit("("), digits(3, 37), F.lit(") "), digits(3, 38), F.lit("-"), digits(4, 39))
+    other = pick([F.concat_ws("-", F.lit("2024"), digits(2, 40), digits(2, 41)), F.concat_ws("-", F.lit("978-3"), digits(2, 42), digits(6, 43), digits(1, 44)),
+                  F.concat_ws(" ", digits(1, 45), digits(3, 46), digits(3, 47)), F.concat_ws(".", digits(2, 48), digits(2, 49), digits(4, 50)),
+                  F.concat(digits(4, 51), F.lit(" - "), digits(4, 52))], 53)
+    dialled = F.concat(F.lit("+"), digits(2, 54), F.lit(" "), digits(3, 55), F.lit(" "), digits(3, 56), F.lit(" "), digits(4, 57))
+    short = F.concat(F.lit("+"), digits(1, 58), F.lit(" "), digits(2, 59), F.lit("."), digits(2, 60))
+    card = F.concat_ws(" ", *(digits(4, 61 + i) for i in range(4)))
+    host = F.concat(word(66), pick([".com", ".org", ".co.uk", "-mail.de"], 67))
+    mail = F.concat(word(68), pick([".", "_", "", "\u00e9"], 69), word(70), pick([" (at) ", "(at)", " [at] ", "[AT]", " @ "], 71), host)
+    handle = F.concat(word(72), pick([" @ ", "(at)", "@", " @"], 73), pick(["noon", "home", "work", "5"], 74))
+    # kind, context, value, label
+    made = [("secret", _KEY_CUES, key, True), ("secret", _PLAIN, key, False), ("secret", _PLAIN + _KEY_CUES, account, True),
+            ("phone", _CALL_CUES, number, True), ("phone", _PLAIN, number, False), ("phone", _PLAIN + _CALL_CUES, local, True),
+            ("phone", _PLAIN + _CALL_CUES, other, False), ("phone", _PLAIN + _CALL_CUES, dialled, True), ("phone", _PLAIN, short, False),
+            ("card", _PLAIN, card, luhn(F.regexp_replace(card, " ", ""))), ("email", _PLAIN, mail, True), ("email", _PLAIN, handle, False),
+            ("secret", _CALL_CUES, key, False), ("phone", _KEY_CUES, number, False)]
+    which = F.pmod(F.xxhash64("id", F.lit(75)), F.lit(len(made))).cast("int")
+    rows = F.array(*(F.struct(F.lit(k).alias("kind"), pick(c, 76).alias("before"), v.alias("value"), (F.lit(y) if isinstance(y, bool) else y).alias("label"))
+                     for k, c, v, y in made))
+    one = spark.range(n).select("id", F.get(rows, which).alias("e"))
+    lead = F.concat(pick(_LEADS, 77), F.col("e.before"))
+    return one.select(F.concat(lead, F.col("e.value"), pick([".", "", "\" now", ", then", "\n", "'"], 78)).alias("text"), F.length(lead).cast("long").alias("start"),
+                      (F.length(lead) + F.length("e.value")).cast("long").alias("end"), F.col("e.kind").alias("kind"), F.col("e.label").alias("label"))
+
+
+def example_cells(spark: SparkSession, n: int = EXAMPLES, vectors: int = VECTORS) -> dict[bool, list[tuple]]:
+    """Feature vectors of the examples' candidates with positives and negatives, by
+    whether they are held out. A candidate is positive if it covers a personal
+    value of its kind, at most two characters at either end aside."""
     c = F.col("c")
-    by_rule = F.when(c["generator"] == _NUMBER["key"], c["cue_key"] + c["mixed"] % 2 > 0).when(
-        c["generator"] == _NUMBER["grouped"], c["checked"] > 0).when(
-        c["generator"] == _NUMBER["dialled"], c["digits"].between(4, 5)).otherwise(F.lit(False))
-    equals_base = F.exists("base", lambda s: (s["start"] == c["start"]) & (s["end"] == c["end"]) & (s["kind"] == c["kind"]))
-    labelled = rows.select("doc_id", "base", F.explode("candidates").alias("c")).select(
-        (F.pmod(F.xxhash64("doc_id", c["start"], c["end"]), F.lit(2)) == 1).alias("held_out"),
-        (equals_base | by_rule).cast("int").alias("label"), *(c[n].alias(n) for n in FEATURES))
+    named = F.get(F.array(*(F.lit(k) for k in KINDS)), c["kind"])
+    rows = examples(spark, n).withColumn("c", F.explode(candidates(F.col("text"))))
+    covers = (c["start"] <= F.col("start") + 2) & (c["end"] >= F.col("end") - 2) & (named == F.col("kind"))
+    labelled = rows.select((F.pmod(F.xxhash64("text"), F.lit(2)) == 1).alias("held_out"),
+                           (covers & F.col("label")).cast("int").alias("label"), *(c[f].alias(f) for f in FEATURES))
     sums = labelled.groupBy("held_out", *FEATURES).agg(F.sum("label").alias("p"), F.count(F.lit(1)).alias("n"))
     got = sums.orderBy(F.desc("n"), "held_out", *FEATURES).limit(vectors).collect()
-    part = {h: [({k: r[k] for k in FEATURES}, float(r["p"]), float(r["n"] - r["p"])) for r in got if r["held_out"] == h]
+    return {h: [({k: r[k] for k in FEATURES}, float(r["p"]), float(r["n"] - r["p"])) for r in got if r["held_out"] == h]
             for h in (False, True)}
-    if not part[False]:
-        return Model()
-    model = boost(sorted(part[False], key=lambda cell: tuple(cell[0].values())))
-    calibrate(model, part[True])
+
+
+def train(spark: SparkSession, n: int = EXAMPLES, vectors: int = VECTORS) -> Model:
+    """Fit the trees on one half of the examples and calibrate on the other."""
+    cells = example_cells(spark, n, vectors)
+    model = boost(sorted(cells[False], key=lambda cell: tuple(cell[0].values())))
+    calibrate(model, cells[True])
     return model
 
 
+def quality_by_generator(model: Model, cells: list[tuple]) -> dict[str, tuple[float, float]]:
+    """Precision and recall of the selected candidates, by generator."""
+    out = {}
+    for number, (name, *_) in enumerate(GENERATORS):
+        mine = [cell for cell in cells if cell[0]["generator"] == number]
+        chosen = [cell for cell in mine if model.score(cell[0]) >= model.thresholds.get(number, math.inf)]
+        hit, every = sum(p for _, p, _ in chosen), sum(p + n for _, p, n in chosen)
+        out[name] = hit / every if every else 1.0, hit / max(1.0, sum(p for _, p, _ in mine))
+    return out
+
+
 # Results ------------------------------------------------------------------
 
 
@@ -322,14 +413,13 @@ def _all_spans(model: Model) -> Column:
 
 def find(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, text, base and all spans (arrays of (start, kind, end)) of every
-    document. Without a model one is trained on ``docs``.
+    document. Without a model one is trained on the constructed examples.
 
     A null text is an empty one; a null doc_id stays; repeated rows are judged
-    each; other columns are not read; an empty table gives no rows, and a model
-    without trees, which adds nothing.
+    each; other columns are not read; an empty table gives no rows.
     """
     rows = described(docs)
-    model = train(rows) if model is None else model
+    model = train(docs.sparkSession) if model is None else model
     spans = _all_spans(model)
     return rows.select("doc_id", "text", "base", spans.alias("spans"))
 
@@ -359,7 +449,7 @@ def _redacted(text: Column, spans: Column) -> Column:
 def redacted(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """The rows of ``docs`` with spans in ``text`` replaced; all other columns
     as they are, a null text too."""
-    model = train(described(docs)) if model is None else model
+    model = train(docs.sparkSession) if model is None else model
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text")
     rows = _described(whole, "row", "text").select("row", "text", _all_spans(model).alias("spans"))
     out = rows.select("row", F.when(F.col("text").isNotNull(), _bound(F.col("spans"), lambda s: _redacted(F.col("text"), s))).alias("clean"))
