@@ -320,8 +320,10 @@ def repair_grammar(strings: DataFrame, rounds: int = 8, per_round: int = 8) -> G
     for turn in range(rounds):
         state.write.parquet(f"{folder}/{turn}")
         state = spark.read.parquet(f"{folder}/{turn}")
-        places = state.select("symbols", "n", F.explode(F.sequence(F.lit(1), F.length("symbols") - 1)).alias("i"))
-        pairs = places.groupBy(F.expr("substring(symbols, i, 2)").alias("pair")).agg(F.sum("n").alias("n"))
+        # letters once per string: cutting each pair from it would read it from the start
+        letters = state.select(F.regexp_extract_all("symbols", F.lit("."), F.lit(0)).alias("s"), "n")
+        both = F.zip_with(F.slice("s", F.lit(1), F.size("s") - 1), F.slice("s", F.lit(2), F.size("s") - 1), lambda x, y: F.concat(x, y))
+        pairs = letters.select(F.explode(both).alias("pair"), "n").groupBy("pair").agg(F.sum("n").alias("n"))
         chosen, used = [], set()
         for r in pairs.where("n > 1").orderBy(F.desc("n"), "pair").limit(16 * per_round).collect():
             if len(chosen) < per_round and not used & set(r["pair"]):
