@@ -462,6 +462,46 @@ def test_redaction_joins_overlaps(docs):
     assert got["f"] is None and got["a"] == BASE
 
 
+def test_pii_long_texts_of_many_matches(spark):
+    """More matches than a fold, a run of runs and a block of text hold; places and
+    redaction against plain Python, é and signs of two code units among them."""
+    import random
+
+    rng = random.Random(3)
+    pieces = ["jo@mail.example.org", "10.0.0.7", "10.0.0.256", "4111 1111 1111 1111", "+49 30 1234567", " ", "\n", "é", "\U0001F600", "word ", "a@b.c@d.e", "+1 1.2.3.4 56789"]
+    rows = [(n, " ".join(rng.choice(pieces) for _ in range(n))) for n in (0, 1, 40, 63, 64, 65, 127, 128, 129, 400, 4096, 6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    same([tuple(r)[:6] for r in pii.report(df, pii.Model()).collect()], [brute.pii_row(*d) for d in rows])
+    want = {}
+    for n, text in rows:
+        out, at = "", 0
+        for start, kind, end in brute.pii_base(text):
+            if start >= at:
+                out += text[at:start] + f"[{pii.KINDS[kind].upper()}]"
+            at = max(at, end)
+        want[n] = out + text[at:]
+    assert {r.doc_id: r.text for r in pii.redacted(df, pii.Model()).collect()} == want
+
+
+def test_pii_work_follows_the_text(spark):
+    """Four times the matches of one text take no more than about four times as long
+    (a fold that copies what it has took sixteen times)."""
+    import time
+
+    def seconds(n):
+        df = spark.range(1).select("id", F.repeat(F.lit("10.0.0.7 jo@mail.org token=abc123def456ghi, "), n).alias("text"))
+        df = df.select(F.col("id").alias("doc_id"), "text")
+        began = time.perf_counter()
+        row = pii.report(df, model).collect()[0]
+        assert row.n_email == row.n_ip == n and row.spans.count("secret:") == n
+        assert pii.redacted(df, model).collect()[0].text == "[IP] [EMAIL] token=[SECRET], " * n
+        return time.perf_counter() - began
+
+    model = pii.train(spark)
+    seconds(10)
+    assert seconds(12_000) < 8 * seconds(3_000) + 2
+
+
 def test_pii_by_constructed_examples(spark):
     """Cued keys and national numbers are found; plain ids, hashes and dates are not."""
     model = pii.train(spark)

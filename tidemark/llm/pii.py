@@ -20,7 +20,8 @@ one SQL expression, and every text is judged by them.
 
 Places are code points. They come from splitting a text at a pattern: the
 lengths of the pieces and of the matches add up to the place of each match.
-All of it happens in a document's row; there is no shuffle.
+All of it happens in a document's row; there is no shuffle, and the work follows
+the length of a text, however many matches it holds.
 """
 
 from __future__ import annotations
@@ -59,12 +60,13 @@ GENERATORS = [
     ("key", "secret", r"(?:\G|(?<![A-Za-z0-9+/_-]))(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{12,}+(?![A-Za-z0-9+/_@-])",
      "[0-9]"),
 ]
-_NUMBER = {name: i for i, (name, *_) in enumerate(GENERATORS)}
 # A text without a match of this has no base span and no candidate.
 _ANY = r"[0-9@]|\((?:at|AT)\)|\[(?:at|AT)\]"
 VECTORS = 20_000
 EXAMPLES = 20_000  # constructed rows that the trees learn from
 CONTEXT = 24  # code points before a candidate that its features see
+LEAST_RUN = 16  # values that one fold puts together, at least
+BLOCK = 256  # code points of a piece of text that substrings are taken from
 _CUES = {
     "cue_key": "(?i)(?:pass(?:word|wd)?|pwd|token|secret|api|key)[\x20\"'_-]*$|(?i)(?:pass(?:word|wd)?|pwd|token|secret|key)[\x20]*[=:][\x20]*[\"']?$",
     "cue_call": "(?i)(?:tel|phone|fax|mobile|call|ruf|tél|telefon)[.:\x20]*$",
@@ -77,25 +79,63 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def matches(text: Column, pattern: str, gate: str) -> Column:
-    """All matches, leftmost first: array of (start, end, value)."""
-    kind = "array<struct<start:bigint,end:bigint,value:string>>"
-    cut = F.struct(F.split(text, pattern, -1).alias("pieces"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"))
+def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """The sums or maxima (``join``, from 0 on) of an array of bigint up to each
+    place. A fold copies the array it builds, so one over n values would copy n * n.
+    Runs of values are folded by themselves, each from the total of the runs before
+    it; with runs as long as the cube root of 2 n, some n ** (4/3) are copied."""
+    zero = F.lit(0).cast("long")
+
+    def folded(part: Column, first: Column) -> Column:
+        def step(acc: Column, v: Column) -> Column:
+            at = join(acc["at"], v)
+            return F.struct(at.alias("at"), F.concat(acc["out"], F.array(at)).alias("out"))
+        start = F.struct(first.alias("at"), F.array().cast("array<bigint>").alias("out"))
+        return F.aggregate(part, start, step, lambda acc: acc["out"])
+
+    def put_together(runs: Column) -> Column:
+        totals = folded(F.transform(runs, lambda run: F.aggregate(run, zero, join)), zero)
+        return _bound(totals, lambda t: F.flatten(F.transform(runs, lambda run, i: folded(run, F.coalesce(F.get(t, i - 1), zero)))))
+
+    def runs_of(array: Column) -> Column:
+        length = F.greatest(F.lit(LEAST_RUN), F.ceil(F.cbrt(2 * F.size(array))).cast("int"))
+        return _bound(length, lambda k: F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(array) - 1) / k).cast("int")), lambda i: F.slice(array, i * k + 1, k)))
+
+    return _bound(_bound(values, runs_of), put_together)
 
-    def placed(c: Column) -> Column:
-        start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(kind).alias("out"))
 
-        def step(acc: Column, i: Column) -> Column:
-            value = F.get(c["found"], i)
-            begin = acc["at"] + F.length(F.get(c["pieces"], i))
-            end = begin + F.length(value)
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(
-                F.struct(begin.alias("start"), end.alias("end"), value.alias("value")))).alias("out"))
+def _tops(spans: Column) -> Column:
+    """The largest end up to each of the spans."""
+    return _running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(c["found"]) - 1), start, step, lambda acc: acc["out"])
 
-    return F.when(text.rlike(gate), _bound(cut, lambda c: F.when(F.size(c["found"]) > 0, placed(c)).otherwise(
-        F.array().cast(kind)))).otherwise(F.array().cast(kind))
+def _blocks(text: Column) -> Column:
+    """The text in pieces of ``BLOCK`` code points. A substring of a text is found by
+    walking there from its begin; within a block the way is short."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def _part(blocks: Column, start: Column, end: Column) -> Column:
+    """The code points from start up to end of the text that ``blocks`` hold."""
+    first, last = (F.floor(at / BLOCK).cast("int") for at in (start, end))
+    return F.substring(F.array_join(F.slice(blocks, first + 1, last - first + 1), ""), (start % BLOCK + 1).cast("int"), (end - start).cast("int"))
+
+
+def matches(text: Column, patterns: list[tuple[str, str]]) -> Column:
+    """All matches of every (pattern, gate), leftmost first: an array per pattern of
+    (start, end, value)."""
+    kind = "array<struct<start:bigint,end:bigint,value:string>>"
+    cuts = F.array(*(F.when(text.rlike(gate), F.struct(
+        F.split(text, pattern, -1).alias("pieces"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found")))
+        for pattern, gate in patterns))
+
+    def placed(c: Column) -> Column:
+        steps = F.transform(c["found"], lambda v, i: (F.length(F.get(c["pieces"], i)) + F.length(v)).cast("long"))
+        return _bound(_running(steps, lambda a, b: a + b), lambda ends: F.transform(c["found"], lambda v, i: F.struct(
+            (F.get(ends, i) - F.length(v)).alias("start"), F.get(ends, i).alias("end"), v.alias("value"))))
+
+    return F.transform(cuts, lambda c: F.when(F.size(c["found"]) > 0, placed(c)).otherwise(F.array().cast(kind)))
 
 
 def luhn(digits: Column) -> Column:
@@ -118,14 +158,12 @@ _CHECKS: dict[str, Callable[[Column], Column]] = {
 }
 
 
-def _spans(found: Column, kind: str) -> Column:
-    return F.transform(found, lambda m: F.struct(
-        m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), m["end"].alias("end")))
-
-
-def base_spans(text: Column, kind: str) -> Column:
-    """Checked matches of one base kind, as (start, kind, end)."""
-    return _spans(F.filter(matches(text, BASE[kind], _GATE[kind]), lambda m: _CHECKS[kind](m["value"])), kind)
+def _base_spans(found: Column) -> Column:
+    """The checked matches of the base patterns, as sorted (start, kind, end)."""
+    def of(k: int, kind: str) -> Column:
+        checked = F.filter(F.get(found, F.lit(k)), lambda m: _CHECKS[kind](m["value"]))
+        return F.transform(checked, lambda m: F.struct(m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), m["end"].alias("end")))
+    return F.array_sort(F.concat(*(of(k, kind) for k, kind in enumerate(BASE))))
 
 
 # Candidates ---------------------------------------------------------------
@@ -136,12 +174,12 @@ def _level(value: Column, *edges: int) -> Column:
     return sum(((value >= e).cast("int") for e in edges[1:]), (value >= edges[0]).cast("int"))
 
 
-def features(generator: int, value: Column, before: Column) -> dict[str, Column]:
+def features(generator: Column, value: Column, before: Column) -> dict[str, Column]:
     """Small counts that describe a candidate: format first, then context."""
     length, digits = F.length(value), F.length(_digits(value))
     letters = F.length(F.regexp_replace(value, "[^A-Za-z]", ""))
     return {
-        "generator": F.lit(generator),
+        "generator": generator,
         "length": _level(length, 8, 12, 16, 20, 30, 40),
         "digits": _level(digits, 1, 4, 7, 9, 12, 16, 20),
         "letters": _level(letters, 1, 4, 8, 16),
@@ -158,29 +196,51 @@ def features(generator: int, value: Column, before: Column) -> dict[str, Column]
 FEATURES = ["generator", "length", "digits", "letters", "separators", "domain", "plus", "mixed", "checked", "switches", *_CUES]
 
 
+def _candidates(text: Column, found: Column) -> Column:
+    """The matches of all generators, described by their features."""
+    kinds = F.array(*(F.lit(KINDS.index(kind)) for _, kind, *_ in GENERATORS))
+    proposed = F.flatten(F.transform(found, lambda ms, g: F.transform(
+        ms, lambda m: F.struct(g.alias("generator"), m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value")))))
+
+    def with_context(ms: Column) -> Column:
+        return _bound(_blocks(text), lambda blocks: F.transform(ms, lambda m: F.struct(
+            m["generator"].alias("generator"), m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value"),
+            _part(blocks, F.greatest(m["start"] - CONTEXT, F.lit(0)), m["start"]).alias("before"))))
+
+    return F.transform(_bound(proposed, with_context), lambda m: F.struct(
+        m["start"].alias("start"), F.get(kinds, m["generator"]).alias("kind"), m["end"].alias("end"),
+        *(c.cast("int").alias(n) for n, c in features(m["generator"], m["value"], m["before"]).items())))
+
+
 def candidates(text: Column) -> Column:
     """Candidate spans of all generators with their features."""
-    def of(number: int, kind: str, pattern: str, gate: str) -> Column:
-        def describe(m: Column) -> Column:
-            from_ = F.greatest(m["start"] - CONTEXT, F.lit(0))
-            before = F.substring(text, from_ + 1, m["start"] - from_)
-            return F.struct(m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), m["end"].alias("end"),
-                            *(c.cast("int").alias(n) for n, c in features(number, m["value"], before).items()))
-        return F.transform(matches(text, pattern, gate), describe)
-    return F.concat(*(of(i, *g[1:]) for i, g in enumerate(GENERATORS)))
+    return _bound(matches(text, [g[2:] for g in GENERATORS]), lambda found: _candidates(text, found))
 
 
 _SPANS = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
-def _overlaps_any(c: Column, spans: Column) -> Column:
-    return F.exists(spans, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"]))
+def _overlaps_any(c: Column, spans: Column, tops: Column) -> Column:
+    """Whether ``c`` overlaps one of the sorted spans: of those that start before its
+    end, found by halving, the largest end lies behind its start."""
+    def halve(acc: Column, _: Column) -> Column:
+        middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
+        before = F.get(spans, middle)["start"] < c["end"]
+        return F.when(acc["low"] >= acc["high"], acc).otherwise(F.struct(
+            F.when(before, middle + 1).otherwise(acc["low"]).alias("low"), F.when(before, acc["high"]).otherwise(middle).alias("high")))
+
+    whole = F.struct(F.lit(0).alias("low"), F.size(spans).alias("high"))
+    halvings = F.sequence(F.lit(0), F.ceil(F.log2(F.size(spans) + 1)).cast("int"))
+    searched = F.aggregate(halvings, whole, halve, lambda acc: F.coalesce(F.get(tops, acc["low"] - 1), F.lit(0)) > c["start"])
+    return F.when(F.size(spans) > 0, searched).otherwise(False)
 
 
 def spans_and_candidates(text: Column) -> Column:
     """(base, candidates) of a text in one struct; null where it has neither."""
-    return F.when(text.rlike(_ANY), F.struct(
-        F.array_sort(F.concat(*(base_spans(text, k) for k in BASE))).alias("base"), candidates(text).alias("candidates")))
+    patterns = [(BASE[k], _GATE[k]) for k in BASE] + [g[2:] for g in GENERATORS]
+    return F.when(text.rlike(_ANY), _bound(matches(text, patterns), lambda found: F.struct(
+        _base_spans(found).alias("base"),
+        _candidates(text, F.slice(found, len(BASE) + 1, len(GENERATORS))).alias("candidates"))))
 
 
 def _described(rows: DataFrame, *kept: str) -> DataFrame:
@@ -406,9 +466,12 @@ def _all_spans(model: Model) -> Column:
     """Base spans, and the candidates beside them that the model selects."""
     if not model.thresholds:
         return F.col("base")
-    added = F.filter("candidates", lambda c: model.selects(c) & ~_overlaps_any(c, F.col("base")))
-    return F.when(F.size("candidates") > 0, F.array_distinct(F.array_sort(F.concat("base", F.transform(
-        added, lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"))))))).otherwise(F.col("base"))
+    added = _bound(_tops(F.col("base")), lambda tops: F.filter(
+        "candidates", lambda c: model.selects(c) & ~_overlaps_any(c, F.col("base"), tops)))
+    every = F.array_sort(F.concat("base", F.transform(
+        added, lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))))
+    once = _bound(every, lambda a: F.filter(a, lambda s, i: (i == 0) | (s != F.get(a, i - 1))))  # two generators may propose the same
+    return F.when(F.size("candidates") > 0, once).otherwise(F.col("base"))
 
 
 def find(docs: DataFrame, model: Model | None = None) -> DataFrame:
@@ -434,16 +497,15 @@ def report(docs: DataFrame, model: Model | None = None) -> DataFrame:
 def _redacted(text: Column, spans: Column) -> Column:
     """The text with every span, overlapping ones joined, written as ``[KIND]``."""
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
-    def step(acc: Column, s: Column) -> Column:
-        inside = s["start"] < acc["at"]
-        between = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], between, F.get(names, s["kind"]))).alias("out"))
+    def written(c: Column) -> Column:
+        def piece(s: Column, i: Column) -> Column:
+            begin = F.coalesce(F.get(c["tops"], i - 1), F.lit(0).cast("long"))  # behind all spans before this one
+            return F.when(s["start"] >= begin, F.concat(_part(c["blocks"], begin, s["start"]), F.get(names, s["kind"]))).otherwise("")
+        rest = _part(c["blocks"], F.element_at(c["tops"], -1), F.length(text).cast("long"))
+        return F.concat(F.array_join(F.transform(spans, piece), ""), rest)
 
-    whole = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text).cast("long"))))
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+    return F.when(F.size(spans) > 0, _bound(F.struct(_tops(spans).alias("tops"), _blocks(text).alias("blocks")), written)).otherwise(text)
 
 
 def redacted(docs: DataFrame, model: Model | None = None) -> DataFrame:
