@@ -255,6 +255,45 @@ def test_substring_dedup_hot_passage(spark):
     same(got.select("doc_id", "n_words", "n_removed", "kept_sha256").collect(), brute.substring_dedup(rows))
 
 
+def test_compaction_joins_pieces_along_a_track(spark):
+    """Pieces (doc, start, length, source, source start, shared): three in a row,
+    a gap, another diagonal, another source, and an id of several rows."""
+    rows = [(9, 0, 4, 1, 10, False), (9, 4, 1, 1, 14, False), (9, 5, 7, 1, 15, False), (9, 13, 2, 1, 23, False),
+            (9, 15, 2, 1, 40, False), (9, 17, 3, 2, 42, False), (8, 0, 2, 1, 0, True), (8, 2, 2, 1, 2, True)]
+    found = spark.createDataFrame(rows, substring_dedup._PIECES).repartition(3)
+    got = sorted(tuple(r) for r in substring_dedup.compacted(found).collect())
+    assert got == [(8, 0, 2, 1, 0), (8, 2, 2, 1, 2), (9, 0, 12, 1, 10), (9, 13, 2, 1, 23), (9, 15, 2, 1, 40), (9, 17, 3, 2, 42)]
+
+
+def test_substring_dedup_paths_cross_buckets(spark):
+    """A long passage meets in many buckets; compacted, it is one path a copy."""
+    import random
+
+    rng = random.Random(5)
+    passage = " ".join(f"p{rng.randrange(10**6)}" for _ in range(400))
+    rows = [(i, f"a{i} b{i} {passage} c{i}") for i in range(6)] + [(6, " ".join(passage.split()[100:200]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    found, _ = substring_dedup.repeated_pieces(docs, bucket_bytes=500, flush_bytes=500)
+    found = found.cache()
+    assert found.count() > 50
+    got = sorted(substring_dedup.compacted(found).collect())
+    assert [(r.doc_id, r.start, r.length, r.source_start) for r in got] == [(i, 2, 388, 2) for i in range(1, 6)] + [(6, 0, 88, 102)]
+    assert all(r.source_id < r.doc_id for r in got)  # the first one that a task or bucket knows
+    result = substring_dedup.dedup_substrings(docs, bucket_bytes=500, flush_bytes=500)
+    same(result.select("doc_id", "n_words", "n_removed", "kept_sha256").collect(), brute.substring_dedup(rows))
+
+
+def test_substring_dedup_pieces_of_two_texts_of_one_id(spark):
+    """Texts of one id hold neighbouring halves of a source at the places where
+    one path would hold both; no piece is lost, on either side of the copy."""
+    w = [f"w{i}" for i in range(60)]
+    halves = [(7, " ".join(w[:30] + ["x"])), (7, " ".join(["y"] * 18 + w[18:]))]
+    for rows in ([(1, " ".join(w))] + halves, halves + [(9, " ".join(w))]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        got = substring_dedup.dedup_substrings(docs, bucket_bytes=200, flush_bytes=100)
+        same(got.select("doc_id", "n_words", "n_removed", "kept_sha256").collect(), brute.substring_dedup(rows))
+
+
 def test_substring_dedup_spreads_settled_entries(spark):
     """What tasks settle themselves is dealt out in parts, each a group of its own."""
     rows = [(i, f"{BASE} b{i % 7}") for i in range(200)]

@@ -10,11 +10,15 @@ built from the repeated part only:
    equal anchors. Anchors meet by hash; those of one document only are left out.
 2. *Edges.* Windows whose anchor is repeated become edges: a 128-bit number and
    their place. Edges of one anchor meet; the source of an edge is the smallest
-   (doc_id, place) it occurs at, and each later document's edge is repeated.
-3. *Compaction.* Consecutive edges of a document whose sources are consecutive
-   too form a path and become one row (doc, start, length, source, source start).
-   This is done within a flush or a bucket, so a path is cut where its anchor
-   changes. Rows, not windows, go through the remaining joins.
+   (doc_id, place) that the task or bucket knows, and each later document's edge
+   is repeated.
+   Edges that a task finds side by side leave it as one piece (doc, start,
+   length, source, source start); pieces end where the anchor changes.
+3. *Compaction.* Pieces of a document that run along the same diagonal of the
+   same source lie on one track. The node at which one piece closes is joined to
+   the node at which another opens; a node of one piece in and one piece out does
+   not branch and is inside a path. What is left are the paths' two ends, and
+   rows, not windows, go through the remaining joins.
 4. *Verification.* Paths are joined to the text at their source coordinates;
    a path counts only if the digest of its words equals that of the source.
 
@@ -25,7 +29,9 @@ Hot groups: a task sends each bucket at most two entries for an anchor, and one
 document's entries for an edge, that it has met in several documents itself;
 the others are settled in the task, and travel in parts that are groups of their
 own. So what meets in a bucket grows with the
-number of tasks and distinct windows, not with the copies of a passage.
+number of tasks and distinct windows, not with the copies of a passage. Joins on
+the number of a text or on a source's span, which many documents may share, deal
+the documents to ``DEALS`` parts of a key.
 """
 
 from __future__ import annotations
@@ -36,19 +42,24 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.blobs import bucket_count, dump, filled, load, run_starts, sliding, spread
+from tidemark.llm.salt import dealt_join
 from tidemark.llm.words import U64, gram_mask, grams, words_of
+from tidemark.session import scratch_dir
 
 WINDOW = 13
 ANCHOR = 6
 SPAN = WINDOW - ANCHOR + 1  # anchor candidates in a window
 PART = 1 << 18  # settled entries in one group
+DEALS = 8
 
 _BUCKETS = "bucket long, settled boolean, blob binary"
-_PATHS = "doc_id long, start long, length long, source_id long, source_start long"
+_NAMES = ["doc_id", "start", "length", "source_id", "source_start", "shared"]
+_PIECES = "doc_id long, start long, length long, source_id long, source_start long, shared boolean"
+_TRACK = ["doc_id", "source_id", "diagonal"]
 
 
 def window_anchors(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,24 +169,32 @@ def _repeated_anchors(table: pa.Table) -> pa.Table:
     return pa.table({"doc_id": doc, "place": place.astype(np.int32)})
 
 
-# 2. and 3. Edges and their compaction ------------------------------------
+# 2. Edges ------------------------------------------------------------------
 
 
-def paths(doc: np.ndarray, at: np.ndarray, source: np.ndarray, source_at: np.ndarray) -> dict[str, np.ndarray]:
-    """Repeated edges as nonbranching paths; ``length`` in edges."""
+def pieces(doc: np.ndarray, at: np.ndarray, source: np.ndarray, source_at: np.ndarray, shared: np.ndarray) -> list[np.ndarray]:
+    """Repeated edges that lie side by side as one piece; ``length`` in edges."""
     order = np.lexsort((at, doc))
-    doc, at, source, source_at = doc[order], at[order], source[order], source_at[order]
+    doc, at, source, source_at, shared = (x[order] for x in (doc, at, source, source_at, shared))
     starts = run_starts(doc, source, at - source_at, at - np.arange(len(at)))
-    return {"doc_id": doc[starts], "start": at[starts], "length": np.diff(np.append(starts, len(doc))),
-            "source_id": source[starts], "source_start": source_at[starts]}
+    return [doc[starts], at[starts], np.diff(np.append(starts, len(doc))), source[starts], source_at[starts], shared[starts]]
 
 
-def _sources(a: np.ndarray, b: np.ndarray, doc: np.ndarray, at: np.ndarray):
-    """Edges sorted by number and place, with each one's smallest (doc, place)."""
+def _sources(a: np.ndarray, b: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of edges by number and place, and the smallest place of each as
+    an index into that order."""
     order = np.lexsort((at, doc, b, a))
-    a, b, doc, at = a[order], b[order], doc[order], at[order]
-    starts = run_starts(a, b)
-    return order, doc, at, spread(doc[starts], starts, len(doc)), spread(at[starts], starts, len(doc))
+    starts = run_starts(a[order], b[order])
+    return order, spread(starts, starts, len(order))
+
+
+def _later(a: np.ndarray, b: np.ndarray, doc: np.ndarray, at: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Edges that no smaller document has, and the others as pieces."""
+    order, first = _sources(a, b, doc, at)
+    doc, at, shared = doc[order], at[order], shared[order]
+    later = doc > doc[first]
+    source = first[later]
+    return order[~later], pieces(doc[later], at[later], doc[source], at[source], shared[later] | shared[source])
 
 
 def _send_edges(n_buckets: int, flush_bytes: int):
@@ -186,24 +205,19 @@ def _send_edges(n_buckets: int, flush_bytes: int):
                 part = part.filter(part.column("places").is_valid())
                 if part.num_rows:
                     found.append(_edges_of(part))
-            if not found or not (total := sum(len(f[0]) for f in found)):
+            if not any(len(f[0]) for f in found):
                 continue
-            a, b, doc, at, anchor = (np.concatenate([f[i] for f in found]) for i in range(5))
-            order, doc, at, source, source_at = _sources(a, b, doc, at)
-            a, b, anchor = a[order], b[order], anchor[order]
-            later = doc > source
-            p = paths(doc[later], at[later], source[later], source_at[later])
-            rows = _settled(turn, *p.values())
-            send = np.flatnonzero(~later)
-            bucket = ((anchor[send] >> U64(32)) % U64(n_buckets)).astype(np.int64)
-            send = send[np.lexsort((at[send], doc[send], bucket))]  # neighbours in a text lie together
+            a, b, doc, at, shared, anchor = (np.concatenate([f[i] for f in found]) for i in range(6))
+            send, repeated = _later(a, b, doc, at, shared)
+            rows = _settled(turn, *repeated)
             bucket = ((anchor[send] >> U64(32)) % U64(n_buckets)).astype(np.int64)
+            order = np.lexsort((at[send], doc[send], bucket))  # neighbours in a text lie together
+            send, bucket = send[order], bucket[order]
             cuts = run_starts(bucket)
             for lo, hi in zip(cuts, np.append(cuts[1:], len(bucket)), strict=True):
                 s = send[lo:hi]
-                rows.append((int(bucket[lo]), False, dump(a[s], b[s], doc[s], at[s].astype(np.uint32))))
+                rows.append((int(bucket[lo]), False, dump(a[s], b[s], doc[s], at[s].astype(np.uint32), shared[s])))
             yield _rows(rows)
-            del total
     return run
 
 
@@ -222,7 +236,8 @@ def _edges_of(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     np.add.at(mark, np.clip(anchor + 1, 0, n), -1)
     at = np.flatnonzero((np.cumsum(mark[:n]) > 0) & (least > 0))
     doc = w.doc[at]
-    return (_at(w.hash, at), _at(other.hash, at), _doc_ids(part)[doc], at - w.first[doc], least[at])
+    shared = part.column("shared").to_numpy(zero_copy_only=False).astype(np.uint8)
+    return (_at(w.hash, at), _at(other.hash, at), _doc_ids(part)[doc], at - w.first[doc], shared[doc], least[at])
 
 
 def _at(h: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -230,17 +245,38 @@ def _at(h: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _repeated_edges(table: pa.Table) -> pa.Table:
-    """Paths of a bucket's edges that also start in a smaller document."""
+    """Pieces of a bucket's edges that also start in a smaller document."""
     settled, entries = [], []
     for is_settled, blob in zip(table.column("settled").to_pylist(), table.column("blob").to_pylist(), strict=True):
         (settled if is_settled else entries).append(load(blob))
     if entries:
-        a, b, doc, at = (np.concatenate([e[i] for e in entries]) for i in range(4))
-        _, doc, at, source, source_at = _sources(a, b, doc, at.astype(np.int64))
-        later = doc > source
-        settled.append(list(paths(doc[later], at[later], source[later], source_at[later]).values()))
-    names = ["doc_id", "start", "length", "source_id", "source_start"]
-    return pa.table({n: np.concatenate([s[i] for s in settled]).astype(np.int64) for i, n in enumerate(names)})
+        a, b, doc, at, shared = (np.concatenate([e[i] for e in entries]) for i in range(5))
+        settled.append(_later(a, b, doc, at.astype(np.int64), shared)[1])
+    columns = [np.concatenate([s[i] for s in settled]) for i in range(len(_NAMES))]
+    return pa.table(dict(zip(_NAMES, [*(c.astype(np.int64) for c in columns[:-1]), columns[-1].astype(bool)], strict=True)))
+
+
+# 3. Compaction -------------------------------------------------------------
+
+
+def compacted(found: DataFrame) -> DataFrame:
+    """Pieces as paths (doc_id, start, length, source_id, source_start).
+
+    A piece runs from the node ``start`` to the node ``start + length`` of its
+    track. Nodes at which one piece closes and one opens are inside a path; of
+    the others a path's opening and closing node follow each other. A doc_id of
+    several rows (``shared``) may have pieces of different texts on a track:
+    those stay as they are.
+    """
+    on_track = found.where("not shared").withColumn("diagonal", F.col("start") - F.col("source_start"))
+    opens = on_track.groupBy(*_TRACK, F.col("start").alias("node")).agg(F.count("*").alias("opens"))
+    closes = on_track.groupBy(*_TRACK, (F.col("start") + F.col("length")).alias("node")).agg(F.count("*").alias("closes"))
+    ends = opens.join(closes, [*_TRACK, "node"], "full").where("not (opens <=> 1 and closes <=> 1)")
+    follows = F.lead("node").over(Window.partitionBy(*_TRACK).orderBy("node"))
+    compact = ends.withColumn("end", follows).where("opens = 1").select(
+        "doc_id", F.col("node").alias("start"), (F.col("end") - F.col("node")).alias("length"), "source_id",
+        (F.col("node") - F.col("diagonal")).alias("source_start"))
+    return compact.unionByName(found.where("shared").drop("shared"))
 
 
 # 4. Verification and removal ----------------------------------------------
@@ -301,25 +337,34 @@ def _is_copy() -> Column:
     return F.coalesce(F.array_contains("copied", F.struct(*_text_number())), F.lit(False))
 
 
-def repeated_paths(docs: DataFrame, bucket_bytes: int = 16 << 20, flush_bytes: int = 16 << 20) -> tuple[DataFrame, DataFrame]:
-    """Paths of repeated edges, not yet verified, and the texts that are whole
-    copies, by doc_id (``copied``).
+def repeated_pieces(docs: DataFrame, bucket_bytes: int = 16 << 20, flush_bytes: int = 16 << 20) -> tuple[DataFrame, DataFrame]:
+    """Pieces of repeated edges, not yet compacted or verified, and the texts
+    that are whole copies, by doc_id (``copied``).
 
-    Paths: (doc_id, start, length, source_id, source_start), length in edges.
+    Pieces: (doc_id, start, length, source_id, source_start, shared), length in
+    edges; ``shared`` if one of the ids is that of several rows.
     """
     n_buckets = bucket_count(docs, "text", bucket_bytes)
     whole = docs.where("doc_id is not null").groupBy(*_text_number())
     first = whole.agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last and n is not null")
-    copies = (docs.select("doc_id", *_text_number()).join(first, ["h", "h2", "n"]).where("doc_id > first")
+    copies = (dealt_join(docs.select("doc_id", *_text_number()), first, ["h", "h2", "n"], "doc_id", DEALS).where("doc_id > first")
               .groupBy("doc_id").agg(F.collect_set(F.struct("h", "h2", "n")).alias("copied")))
 
     sent = docs.mapInArrow(_send_anchors(n_buckets, flush_bytes), _BUCKETS)
     anchors = sent.groupBy("bucket").applyInArrow(_repeated_anchors, "doc_id long, place int")
     places = anchors.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-    looked = docs.join(places, "doc_id", "left").join(copies, "doc_id", "left").select(
-        "doc_id", "text", F.when(~_is_copy(), F.col("places")).alias("places"))
+    several = docs.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
+    looked = docs.join(places, "doc_id", "left").join(copies, "doc_id", "left").join(several, "doc_id", "left").select(
+        "doc_id", "text", F.when(~_is_copy(), F.col("places")).alias("places"), F.col("rows").isNotNull().alias("shared"))
     edges = looked.mapInArrow(_send_edges(n_buckets, flush_bytes), _BUCKETS)
-    return edges.groupBy("bucket").applyInArrow(_repeated_edges, _PATHS), copies
+    return edges.groupBy("bucket").applyInArrow(_repeated_edges, _PIECES), copies
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def dedup_substrings(docs: DataFrame, bucket_bytes: int = 16 << 20, flush_bytes: int = 16 << 20) -> DataFrame:
@@ -329,15 +374,17 @@ def dedup_substrings(docs: DataFrame, bucket_bytes: int = 16 << 20, flush_bytes:
     is no source. Rows that share a doc_id are each judged on their own text,
     and none is a source for the others, as no id is smaller. Texts under
     ``WINDOW`` words keep all. Other columns are not read; an empty table gives
-    no rows.
+    no rows. Pieces and paths are written to the shared folder once each.
     """
     docs = docs.select("doc_id", "text")
-    found, copies = repeated_paths(docs, bucket_bytes, flush_bytes)
-    asked = found.select("source_id", "source_start", "length").distinct().groupBy(F.col("source_id").alias("doc_id")).agg(
+    found, copies = repeated_pieces(docs, bucket_bytes, flush_bytes)
+    found = _written(compacted(_written(found, "pieces")), "paths")
+    span = ["source_id", "source_start", "length"]
+    asked = found.select(*span).distinct().groupBy(F.col("source_id").alias("doc_id")).agg(
         F.collect_list(F.struct("source_start", "length")).alias("asked"))
     digests = docs.join(asked, "doc_id", "left").mapInArrow(
         _source_digests, "source_id long, source_start long, length long, digest binary")
-    spans = found.join(digests, ["source_id", "source_start", "length"]).groupBy("doc_id").agg(
+    spans = dealt_join(found, digests, span, "doc_id", DEALS).groupBy("doc_id").agg(
         F.collect_list(F.struct("start", "length", "digest")).alias("spans"))
     rows = docs.join(spans, "doc_id", "left").join(copies, "doc_id", "left")
     return rows.select("doc_id", "text", _is_copy().alias("is_copy"), "spans").mapInArrow(
