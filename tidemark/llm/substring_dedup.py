@@ -173,10 +173,12 @@ def _repeated_anchors(table: pa.Table) -> pa.Table:
 
 
 def pieces(doc: np.ndarray, at: np.ndarray, source: np.ndarray, source_at: np.ndarray, shared: np.ndarray) -> list[np.ndarray]:
-    """Repeated edges that lie side by side as one piece; ``length`` in edges."""
+    """Repeated edges that lie side by side as one piece; ``length`` in edges.
+    Those of a ``shared`` id may be of different texts and stay single."""
     order = np.lexsort((at, doc))
     doc, at, source, source_at, shared = (x[order] for x in (doc, at, source, source_at, shared))
-    starts = run_starts(doc, source, at - source_at, at - np.arange(len(at)))
+    n = np.arange(len(at))
+    starts = run_starts(doc, source, at - source_at, at - n, np.where(shared, n, -1))
     return [doc[starts], at[starts], np.diff(np.append(starts, len(doc))), source[starts], source_at[starts], shared[starts]]
 
 
