@@ -408,6 +408,45 @@ def test_decontamination(spark, docs, none):
     assert decontaminate.overlaps(df, bench.where("false")).count() == 0
 
 
+def test_decontamination_of_a_phrase_that_many_items_share(spark):
+    """A window that all items and many documents hold meets once."""
+    phrase = " ".join(f"s{i}" for i in range(13))
+    items = [(i, f"{phrase} of item {i}") for i in range(400)]
+    rows = [(i, f"{phrase.upper()} in doc {i}") for i in range(30)] + [(100 + i, f"clean text {i} of other words") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(4)
+    by_doc, by_item, met = decontaminate._met(df, bench)
+    phrase_pairs = met.where(F.col("doc_words") == F.col("item_words")).count()
+    assert phrase_pairs == 1
+    got = {tuple(r) for r in decontaminate.overlaps(df, bench).collect()}
+    assert got == {(d, i) for d in range(30) for i in range(400)}
+    assert sorted(r.doc_id for r in decontaminate.decontaminated(df, bench).collect()) == list(range(100, 130))
+
+
+def test_decontamination_bitmap_only_saves_work(spark, monkeypatch):
+    """A bitmap in which nearly every bit is set changes no result."""
+    rows = [(i, " ".join(f"v{i}x{j % 17}" for j in range(60))) for i in range(20)]
+    items = [(i, " ".join(f"v{i}x{j % 17}" for j in range(20, 45))) for i in range(0, 40, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = brute.overlaps(rows, items, decontaminate.allowed)
+    assert want
+    for most in (decontaminate.MOST_BITS, 7):
+        monkeypatch.setattr(decontaminate, "LEAST_BITS", 6)
+        monkeypatch.setattr(decontaminate, "MOST_BITS", most)
+        assert {tuple(r) for r in decontaminate.overlaps(df, bench).collect()} == want
+    assert decontaminate.bitmap_bits(0) == 6 and decontaminate.bitmap_bits(10 ** 9) == 7
+
+
+def test_decontamination_of_a_very_long_text(spark):
+    long = " ".join(f"w{i % 9973}" for i in range(200_000))
+    rows = [(1, long + " " + ITEMS[0][1]), (2, long), (3, None), (None, ITEMS[0][1]), (4, ""), (1, long + " " + ITEMS[0][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    assert {tuple(r) for r in decontaminate.overlaps(df, bench).collect()} == {(1, 1)}
+    assert decontaminate.decontaminated(df, bench).count() == 4
+
+
 @pytest.mark.parametrize("window", range(5, 14))
 def test_masks_lose_no_substitution(window):
     from itertools import combinations

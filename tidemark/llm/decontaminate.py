@@ -11,10 +11,12 @@ mask's seed agrees. No overlap is lost, and six words or so must agree at once
 for a hit by chance.
 
 Benchmark seeds are a table; documents' seeds are joined to it by hash. Before
-that, a bitmap of the benchmark's seeds, of fixed size whatever the benchmark,
-drops nearly all seeds that cannot join while they are made. Hits carry the
-words of their window, and a hit counts after its words have been compared
-place by place.
+that, a bitmap of the benchmark's seeds drops nearly all seeds that cannot join
+while they are made. Its size follows the number of seeds up to ``MOST_BITS``;
+beyond, it drops fewer, and the join alone decides. Hits carry the words of
+their window. Distinct windows meet, each pair once however many documents and
+items hold them, and are compared word by word; only then do the pairs that
+hold lead back to documents and items.
 """
 
 from __future__ import annotations
@@ -27,11 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.words import U64, gram_mask, mix, slices, words_of
+from tidemark.llm.salt import dealt_join
+from tidemark.llm.words import U64, Words, gram_mask, mix, slices, words_of
+from tidemark.session import scratch_root
 
 WINDOW = 13
 LEAST_ITEM = 5  # items of fewer words are no evidence
-BITMAP_BITS = 26  # 8 MiB
+LEAST_BITS, MOST_BITS = 16, 30  # of the bitmap: 8 KiB to 128 MiB
+SPARE_BITS = 5  # 32 bits a seed: about 3 of 100 seeds pass by chance
+DEALS = 16
 
 _STEP = U64(0x9FB21C651E98DF25)
 
@@ -61,15 +67,15 @@ def seeds(h: np.ndarray, window: int, number: int, places: list[int]) -> np.ndar
         return mix(out)
 
 
-def _windows(h: np.ndarray, at: np.ndarray, window: int) -> pa.Array:
-    """32 bits of each word of the windows at ``at``, as one binary value each."""
-    low = (h & U64(0xFFFFFFFF)).astype("<u4")
-    rows = np.ascontiguousarray(low[at[:, None] + np.arange(window)])
-    return pa.array([r.tobytes() for r in rows], pa.binary())
+def _windows(w: Words, at: np.ndarray, window: int) -> pa.Array:
+    """The folded words of the windows at ``at``, joined by one space."""
+    spans = zip(w.start[at].tolist(), w.end[at + window - 1].tolist(), strict=True)
+    return pa.array([b" ".join(w.data[a:b].tobytes().split()) for a, b in spans], pa.binary())
 
 
 def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
-    """seed, item_id, words of every window of every item under every mask."""
+    """seed, item_id, words of every window of every item under every mask, and
+    the window's length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -84,13 +90,19 @@ def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
                     for number, places in enumerate(masks(length)):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(seeds(w.hash, length, number, places)[at].view(np.int64)),
-                             ids.take(pa.array(w.doc[at])), _windows(w.hash, at, length)], ["seed", "item_id", "item_words"])
+                             ids.take(pa.array(w.doc[at])), _windows(w, at, length),
+                             pa.array(np.full(len(at), length, np.int32))], ["seed", "item_id", "item_words", "window"])
 
     return benchmark.select("item_id", "text").where("item_id is not null").mapInArrow(
-        run, "seed long, item_id long, item_words binary")
+        run, "seed long, item_id long, item_words binary, window int")
 
 
-def seed_bitmap(table: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
+def bitmap_bits(n_seeds: int) -> int:
+    """The size of the bitmap for a number of seeds, as a power of two."""
+    return min(max(n_seeds.bit_length() + SPARE_BITS, LEAST_BITS), MOST_BITS)
+
+
+def seed_bitmap(table: DataFrame, bits: int) -> np.ndarray:
     """Bit ``seed >> (64 - bits)`` is set for every seed. Spark sets the bits of
     each 64-bit cell; at most ``2 ** (bits - 6)`` cells come to the driver."""
     top = F.shiftrightunsigned("seed", 64 - bits)
@@ -102,7 +114,7 @@ def seed_bitmap(table: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
     return out.view(U64)
 
 
-def document_seeds(docs: DataFrame, lengths: list[int], bitmap: np.ndarray, bits: int = BITMAP_BITS) -> DataFrame:
+def document_seeds(docs: DataFrame, lengths: list[int], bitmap: np.ndarray, bits: int) -> DataFrame:
     """seed, doc_id, words of the documents' windows whose seed is in the bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +131,7 @@ def document_seeds(docs: DataFrame, lengths: list[int], bitmap: np.ndarray, bits
                         at = np.flatnonzero((hit > 0) & inside)
                         if len(at):
                             yield pa.RecordBatch.from_arrays(
-                                [pa.array(seed[at].view(np.int64)), ids.take(pa.array(w.doc[at])), _windows(w.hash, at, length)],
+                                [pa.array(seed[at].view(np.int64)), ids.take(pa.array(w.doc[at])), _windows(w, at, length)],
                                 ["seed", "doc_id", "doc_words"])
 
     return docs.select("doc_id", "text").where("doc_id is not null").mapInArrow(
@@ -127,19 +139,26 @@ def document_seeds(docs: DataFrame, lengths: list[int], bitmap: np.ndarray, bits
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose windows differ in no more words than allowed."""
+    """Pairs of windows that differ in no more words than allowed."""
     for batch in batches:
-        left = batch.column("doc_words").to_pylist()
-        right = batch.column("item_words").to_pylist()
         good = []
-        for a, b in zip(left, right, strict=True):
-            if len(a) == len(b):
-                differ = int((np.frombuffer(a, "<u4") != np.frombuffer(b, "<u4")).sum())
-                good.append(differ <= allowed(len(a) // 4))
-            else:
-                good.append(False)
-        kept = batch.filter(pa.array(good, pa.bool_()))
-        yield pa.RecordBatch.from_arrays([kept.column("doc_id"), kept.column("item_id")], ["doc_id", "item_id"])
+        for left, right in zip(batch.column("doc_words").to_pylist(), batch.column("item_words").to_pylist(), strict=True):
+            a, b = left.split(b" "), right.split(b" ")
+            good.append(len(a) == len(b) and sum(x != y for x, y in zip(a, b, strict=True)) <= allowed(len(a)))
+        yield batch.filter(pa.array(good, pa.bool_()))
+
+
+def _met(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Windows by document (doc_id, doc_words) and by item (item_id, item_words),
+    and the pairs of distinct windows (doc_words, item_words) that overlap."""
+    scratch_root(docs.sparkSession)
+    table = benchmark_seeds(benchmark).checkpoint()
+    n_seeds, lengths = table.agg(F.count("*"), F.collect_set("window")).first()
+    bits = bitmap_bits(n_seeds)
+    hits = document_seeds(docs, sorted(lengths), seed_bitmap(table, bits), bits).checkpoint()
+    pairs = hits.select("seed", "doc_words").distinct().join(table.select("seed", "item_words").distinct(), "seed")
+    met = pairs.select("doc_words", "item_words").distinct().mapInArrow(_verified, "doc_words binary, item_words binary")
+    return hits.select("doc_id", "doc_words").distinct(), table.select("item_id", "item_words").distinct(), met
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -149,14 +168,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     item_id cannot be named and are left out; repeated rows give a pair once;
     other columns are not read; an empty table on either side gives no rows.
     """
-    table = benchmark_seeds(benchmark)
-    lengths = sorted(r[0] // 4 for r in table.select(F.octet_length("item_words")).distinct().collect())
-    bitmap = seed_bitmap(table)
-    joined = document_seeds(docs, lengths, bitmap).join(table, "seed").select("doc_id", "item_id", "doc_words", "item_words")
-    return joined.mapInArrow(_verified, "doc_id long, item_id long").distinct()
+    by_doc, by_item, met = _met(docs, benchmark)
+    items = dealt_join(by_item, met, ["item_words"], "item_id", DEALS).select("doc_words", "item_id").distinct()
+    return dealt_join(by_doc, items, ["doc_words"], "doc_id", DEALS).select("doc_id", "item_id").distinct()
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that overlap no benchmark item, all columns kept.
-    Rows without doc_id are kept."""
-    return docs.join(overlaps(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    Rows without doc_id are kept. Items are not told apart."""
+    by_doc, _, met = _met(docs, benchmark)
+    found = dealt_join(by_doc, met.select("doc_words").distinct(), ["doc_words"], "doc_id", DEALS).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*(f"`{c}`" for c in docs.columns))
