@@ -36,7 +36,7 @@ from tidemark.session import scratch_root
 WINDOW = 13
 LEAST_ITEM = 5  # items of fewer words are no evidence
 LEAST_BITS, MOST_BITS = 16, 30  # of the bitmap: 8 KiB to 128 MiB
-SPARE_BITS = 5  # 32 bits a seed: about 3 of 100 seeds pass by chance
+SPARE_BITS = 8  # 256 bits a seed or more, two of them set: under 1 of 10,000 seeds passes by chance
 DEALS = 16
 
 _STEP = U64(0x9FB21C651E98DF25)
@@ -103,17 +103,27 @@ def bitmap_bits(n_seeds: int) -> int:
 
 
 def seed_bitmap(table: DataFrame, bits: int) -> np.ndarray:
-    """Bit ``seed >> (64 - bits)`` is set for every seed. Spark sets the bits of
-    each 64-bit cell; at most ``2 ** (bits - 6)`` cells come to the driver."""
-    top = F.shiftrightunsigned("seed", 64 - bits)
-    cells = table.groupBy(F.shiftrightunsigned(top, 6).alias("cell")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(seed, {64 - bits}) & 63 as int))")).alias("word"))
+    """For every seed the bits at its upper and at its lower ``bits`` are set.
+    Spark sets the bits of each 64-bit cell; at most ``2 ** (bits - 6)`` cells
+    come to the driver."""
+    places = F.array(F.shiftrightunsigned("seed", 64 - bits), F.col("seed").bitwiseAND(F.lit((1 << bits) - 1)))
+    cells = table.select(F.explode(places).alias("place")).groupBy(F.shiftrightunsigned("place", 6).alias("cell")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("word"))
     out = np.zeros(1 << (bits - 6), np.int64)
     got = cells.toArrow()
     out[got.column("cell").to_numpy()] = got.column("word").to_numpy()
     return out.view(U64)
 
 
+def _in_bitmap(seed: np.ndarray, bitmap: np.ndarray, bits: int) -> np.ndarray:
+    """Indexes of seeds that may be in the table."""
+    def is_set(place: np.ndarray) -> np.ndarray:
+        return (bitmap[place >> U64(6)] >> (place & U64(63))) & U64(1) > 0
+
+    at = np.flatnonzero(is_set(seed >> U64(64 - bits)))
+    return at[is_set(seed[at] & U64((1 << bits) - 1))]
+
+
 def document_seeds(docs: DataFrame, lengths: list[int], bitmap: np.ndarray, bits: int) -> DataFrame:
     """seed, doc_id, words of the documents' windows whose seed is in the bitmap."""
 
@@ -126,9 +136,8 @@ def document_seeds(docs: DataFrame, lengths: list[int], bitmap: np.ndarray, bits
                     inside = gram_mask(w.doc, length)
                     for number, places in enumerate(masks(length)):
                         seed = seeds(w.hash, length, number, places)
-                        top = seed >> U64(64 - bits)
-                        hit = (bitmap[top >> U64(6)] >> (top & U64(63))) & U64(1)
-                        at = np.flatnonzero((hit > 0) & inside)
+                        at = _in_bitmap(seed, bitmap, bits)
+                        at = at[inside[at]]
                         if len(at):
                             yield pa.RecordBatch.from_arrays(
                                 [pa.array(seed[at].view(np.int64)), ids.take(pa.array(w.doc[at])), _windows(w, at, length)],
