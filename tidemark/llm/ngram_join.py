@@ -26,7 +26,8 @@ Groups of near copies are joined without looking at all their pairs:
    component already, or shares no leading shingle.
 
 Leaders with many candidates are split into blocks, each with its own trie.
-Tables between the steps are checkpointed in the shared folder; components are
+Tables between the steps are checkpointed in the shared folder, and a step's
+shuffle files go when it ends; components are
 found by star contraction in Spark, nothing is gathered on the driver but the
 table of frequent shingles, which has ``HOT`` rows at most.
 """
@@ -43,6 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.blobs import bucket_count, dump, filled, load, run_starts, spread
+from tidemark.llm.steps import shuffles_dropped
 from tidemark.llm.words import U64, grams, mix, slices, words_of
 from tidemark.session import scratch_root
 
@@ -445,6 +447,11 @@ def jaccard_components(docs: DataFrame, percent: int = 90, bucket_bytes: int = 1
     component. Rows that share a doc_id are one node: what links one links all.
     Other columns are not read; an empty table gives no rows.
     """
+    with shuffles_dropped(docs.sparkSession):
+        return _components(docs, percent, bucket_bytes, flush_bytes, shingle)
+
+
+def _components(docs: DataFrame, percent: int, bucket_bytes: int, flush_bytes: int, shingle: int) -> DataFrame:
     spark = docs.sparkSession
     scratch_root(spark)
     docs = docs.select("doc_id", "text")
