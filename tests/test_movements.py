@@ -68,3 +68,15 @@ def test_null_change_options_and_rehire(spark):
     periods = sorted(per)
     for a, b in zip(periods, periods[1:]):
         assert net[b] == per[b] - per[a]
+
+
+def test_the_shuffle_by_key_is_not_merged_to_few_tasks(spark):
+    # The rows are few, so AQE would merge them to a task or two; what a task
+    # holds (window, the counts above it) must not depend on that.
+    rows = [(f"E{i}", "D1", f"R{i % 3}", f"2025-0{1 + j}") for i in range(40) for j in range(1 + i % 4)]
+    out = movements(hc(spark, rows), KEYS, "period", TRACKED)
+    cores = spark.sparkContext.defaultParallelism
+    assert out.rdd.getNumPartitions() >= max(8, 4 * cores)
+    assert sorted((e[0], e[1]) for e in ev(out) if e[2] == "HIRE") == sorted((f"E{i}", "2025-01") for i in range(40))
+    assert sorted((e[0], e[1]) for e in ev(out) if e[2] == "TERMINATION") == sorted(
+        (f"E{i}", f"2025-0{2 + i % 4}") for i in range(40) if i % 4 < 3)

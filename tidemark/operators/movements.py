@@ -6,6 +6,11 @@ yields zero to two events (an ``explode`` of optional events, kept in generated
 code), so the three event kinds come out of one scan of the snapshots, one
 shuffle by key and one scan of the period column.
 
+What stands above the events runs in the tasks of that shuffle too (joins, the
+map side of a count, which may hold nearly as many groups as there are events).
+So its partitions are many by number: left to AQE they are merged to as many as
+there are cores, and a task's memory grows with the input.
+
 Semantics (defaults follow the reference):
 
 * HIRE — the key's first period.
@@ -34,6 +39,16 @@ from tidemark.operators.periods import period_sequence
 
 HIRE, TRANSFER, TERMINATION = "HIRE", "TRANSFER", "TERMINATION"
 
+# Fixed value: the shuffle by key has at least so many tasks for each core.
+WAVES = 4
+
+
+def _by_key(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` dealt by key to a number of partitions that AQE keeps."""
+    spark = rows.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), WAVES * spark.sparkContext.defaultParallelism)
+    return rows.repartition(n, *keys)
+
 
 def movements(snapshots: DataFrame, keys: Sequence[str], period_col: str,
               tracked: Sequence[str], rehire: bool = False, null_safe: bool = False,
@@ -43,7 +58,7 @@ def movements(snapshots: DataFrame, keys: Sequence[str], period_col: str,
     keys, tracked = list(keys), list(tracked)
     seq = period_sequence(snapshots if periods is None else periods, period_col).select(
         period_col, "_prev", "_next")
-    s = snapshots.select(*keys, period_col, *tracked).join(seq, period_col)
+    s = _by_key(snapshots.select(*keys, period_col, *tracked).join(seq, period_col), keys)
     w = Window.partitionBy(*keys).orderBy(period_col)
     prev_seen = F.lag(period_col).over(w)
     next_seen = F.lead(period_col).over(w)
